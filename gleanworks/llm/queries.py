@@ -5,8 +5,9 @@ from __future__ import annotations
 from gleanworks.llm.media import op10_flac
 from gleanworks.llm.mixing import op9_entropy_mix
 from gleanworks.llm.ngram_join import op3_ngram_join
+from gleanworks.llm.packing import op2_best_fit_pack
 from gleanworks.llm.sharding import op8_ring_shards
 from gleanworks.llm.url_filter import OP4_SQL, op4_url_terms
 
-QUERIES = {f.__name__: f for f in (op4_url_terms, op8_ring_shards, op9_entropy_mix, op10_flac, op3_ngram_join)}
+QUERIES = {f.__name__: f for f in (op4_url_terms, op8_ring_shards, op9_entropy_mix, op10_flac, op3_ngram_join, op2_best_fit_pack)}
 ORACLES = {"op4_url_terms": OP4_SQL}

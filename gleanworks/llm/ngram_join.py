@@ -6,7 +6,7 @@
    number of entities that hold them.
 3. An entity of n shingles can link only if at least 0.75 n of them are shared. The rest drop out.
 4. Near copies of one text mostly agree in the least hash under some order: each entity is compared
-   with the first entity of its agreeing group, exactly. That joins large groups by a link each.
+   with the most copied entity of its agreeing group, exactly. That joins large groups by a link each.
 5. Every other possible pair shares one of its (shared - 0.75 n + 1) rarest shingles. Entities
    meet in tiles of (size band, such a shingle) unless all of a tile are in one component already;
    large tiles are cut into pairs of blocks. In a tile, hashed bitmaps whose width follows the band
@@ -109,7 +109,9 @@ def _gathered(pdf: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
 
 def shared_sets(docs: DataFrame, k: int = 5) -> DataFrame:
-    """(entity, n, hashes, prefix, firsts, map0, map1) of the entities of which enough is shared."""
+    """(entity, n, weight, hashes, prefix, firsts, band, map0, map1) of the entities of which enough is shared.
+
+    weight: how many entities hold a shingle of the set, on average; large for what others copy."""
     size = docs.agg(F.sum(F.octet_length("text")).alias("b")).first()["b"] or 0
     buckets = max(LEAST_BUCKETS, -(-size // BUCKET_BYTES))
 
@@ -159,6 +161,7 @@ def shared_sets(docs: DataFrame, k: int = 5) -> DataFrame:
         h, held = np.frombuffer(b"".join(pdf["data"]), np.uint64), np.frombuffer(b"".join(pdf["held"]), np.uint16)
         order = np.lexsort((h, held, entity))
         entity, n, h = entity[order], n[order].astype(np.int64), h[order]
+        held = held[order]
         ends, rows = np.append(_runs(entity), len(entity)), []
         for a, b in zip(ends[:-1], ends[1:]):
             own, size = h[a:b], int(n[a])
@@ -166,13 +169,13 @@ def shared_sets(docs: DataFrame, k: int = 5) -> DataFrame:
                 continue
             band = int(np.searchsorted(EDGES, size, side="right")) - 1
             firsts = [int(mixed(own ^ np.uint64(s)).min().view(np.int64)) for s in SEEDS]
-            rows.append((int(entity[a]), size, np.sort(own).view(np.int64), own[: spare + 1].view(np.int64), firsts, band, bitmap(own, band), bitmap(own, band + 1)))
-        return pd.DataFrame(rows, columns=["entity", "n", "hashes", "prefix", "firsts", "band", "map0", "map1"])
+            rows.append((int(entity[a]), size, int(held[a:b].sum(dtype=np.int64)) * 1000 // size, np.sort(own).view(np.int64), own[: spare + 1].view(np.int64), firsts, band, bitmap(own, band), bitmap(own, band + 1)))
+        return pd.DataFrame(rows, columns=["entity", "n", "weight", "hashes", "prefix", "firsts", "band", "map0", "map1"])
 
     dealt = docs.mapInPandas(deal, "target long, entities binary, sizes binary, counts binary, data binary")
     found = dealt.groupBy("target").applyInPandas(find, "target long, entities binary, sizes binary, counts binary, data binary, held binary")
     return found.groupBy("target").applyInPandas(
-        keep, "entity long, n long, hashes array<long>, prefix array<long>, firsts array<long>, band int, map0 binary, map1 binary"
+        keep, "entity long, n long, weight long, hashes array<long>, prefix array<long>, firsts array<long>, band int, map0 binary, map1 binary"
     )
 
 
@@ -253,8 +256,8 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     members = durable(memberships(docs, k))
     sets = durable(shared_sets(docs, k))
-    spots = sets.select("entity", F.posexplode("firsts").alias("seed", "first"))
-    heads = spots.groupBy("seed", "first").agg(F.min("entity").alias("u"), F.count("*").alias("rows")).where("rows > 1").drop("rows")
+    spots = sets.select("entity", "weight", F.posexplode("firsts").alias("seed", "first"))
+    heads = spots.groupBy("seed", "first").agg(F.max(F.struct("weight", "entity"))["entity"].alias("u"), F.count("*").alias("rows")).where("rows > 1").drop("rows")
     stars = spots.join(heads, ["seed", "first"]).where("entity <> u").select("u", F.col("entity").alias("v")).distinct()
     first_links = durable(linked(stars, sets))
     more_links = linked(tile_pairs(sets, components(first_links)), sets)

@@ -25,7 +25,7 @@ def literal_table(spark: SparkSession, rows: list[dict], schema: str) -> DataFra
     return spark.range(1).select(F.inline(arrays))
 
 
-def pieces_of(n_rows: int, per_piece: int = 20_000) -> int:
+def pieces_of(n_rows: int, per_piece: int = 5_000) -> int:
     """Number of pieces that a hot group is split into; depends on the row count alone."""
     return max(4, -(-n_rows // per_piece))
 

@@ -132,9 +132,10 @@ def nearest_join(candidates: DataFrame, queries: DataFrame, k: int = 20) -> Data
     tasks = -(-sum(-(-r["rows"] // BLOCK) for r in data_cells) // BLOCKS_A_TASK) or 1
     # At most PIVOTS^2 rows of needed, and goal_keys has a row for each block of queries.
     goal_blocks = durable(_packed(goal_parts, ["goal", "goal_part"]))
-    goal_keys = goal_blocks.select("goal", "goal_part")
-    task = F.pmod(F.xxhash64("cell", "part"), F.lit(tasks)).cast("int").alias("task")
-    sent = blocks.join(F.broadcast(needed), "cell").join(goal_keys, "goal").select("goal", "goal_part", task, "dim", "vids", "data")
+    goal_keys = goal_blocks.select(F.col("goal").alias("to"), F.col("goal_part").alias("to_part"))
+    task = F.pmod(F.xxhash64("cell", "part"), F.lit(tasks)).cast("int")
+    sent = blocks.join(F.broadcast(needed), "cell").join(goal_keys, F.col("goal") == F.col("to"))
+    sent = sent.select(F.col("to").alias("s_goal"), F.col("to_part").alias("s_part"), task.alias("s_task"), "dim", "vids", "data")
     asked_blocks = goal_blocks.select("goal", "goal_part", F.explode(F.sequence(F.lit(0), F.lit(tasks - 1))).alias("task"), "dim", "vids", "data")
 
     def solve(left, right):
@@ -151,8 +152,8 @@ def nearest_join(candidates: DataFrame, queries: DataFrame, k: int = 20) -> Data
             held_s, held_v = np.take_along_axis(scores, order, 1), np.take_along_axis(names, order, 1)
         return pd.DataFrame({"qid": np.repeat(qids, held_v.shape[1]), "vid": held_v.ravel(), "score": held_s.ravel()})
 
-    keys = ["goal", "goal_part", "task"]
-    best = sent.groupBy(*keys).cogroup(asked_blocks.groupBy(*keys)).applyInPandas(solve, "qid long, vid long, score long")
+    pairs = sent.groupBy("s_goal", "s_part", "s_task").cogroup(asked_blocks.groupBy("goal", "goal_part", "task"))
+    best = pairs.applyInPandas(solve, "qid long, vid long, score long")
     top = lambda df: df.withColumn("nth", F.row_number().over(Window.partitionBy("qid").orderBy(F.col("score").desc(), "vid"))).where(F.col("nth") <= k + 1).drop("nth")
     ids = top(best).join(distinct.select("vid", "ids"), "vid").select("qid", "score", F.explode("ids").alias("vid"))
     answers = top(ids).groupBy("qid").agg(F.sort_array(F.collect_list(F.struct((-F.col("score")).alias("minus"), "vid"))).alias("found"))
@@ -169,9 +170,9 @@ def op6_voronoi_knn(spark, sf_dir):
 
 
 OP6_SQL = """
-WITH v AS (SELECT vec_id, list_transform(embedding, x -> CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
-  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
-s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(range(1, len(q.v) + 1), i -> q.v[i] * c.v[i])) AS BIGINT) AS score
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * c.v[i])) AS BIGINT) AS score
   FROM v q JOIN v c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id),
 r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INT) AS rank FROM s)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20"""

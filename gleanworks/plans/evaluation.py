@@ -16,7 +16,7 @@ def preds(spark, sf_dir):
 
 #: preds(vec_id, y, i, p, rn): one row per class, ranked.
 PREDS_SQL = """
-WITH z AS (SELECT vec_id, label AS y, UNNEST(range(10)) AS i, UNNEST(list_transform(embedding[1:10], x -> CAST(x AS DOUBLE) * 10.0)) AS z FROM embeddings),
+WITH z AS (SELECT vec_id, label AS y, UNNEST(range(10)) AS i, UNNEST(list_transform(embedding[1:10], lambda x: CAST(x AS DOUBLE) * 10.0)) AS z FROM embeddings),
 m AS (SELECT vec_id, max(z) AS mz FROM z GROUP BY vec_id),
 e AS (SELECT z.*, exp(z.z - m.mz) AS e FROM z JOIN m USING (vec_id)),
 pr AS (SELECT vec_id, y, CAST(i AS INT) AS i, e / sum(e) OVER (PARTITION BY vec_id) AS p FROM e),

@@ -1,25 +1,172 @@
-"""Classifier evaluation over a hub table preds(id, y, p) with p an array<double>."""
+"""Classifier evaluation over a hub table preds(id, y, p, ord, pred, conf), p an array<double>.
+
+Shares are left unrounded. Zero denominators give what each metric defines: 0 per class and in the
+serving sweep, NaN in accuracies and curves, NULL for a share of no `other` rows.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gleanworks.functions.arrays import ranked_classes, softmax
 
+NAN = float("nan")
+
+
+def class_dim(spark: SparkSession, n: int) -> DataFrame:
+    """classes(class): 0..n-1."""
+    return spark.range(n).select(F.col("id").cast("int").alias("class"))
+
+
+def predictions(df: DataFrame, id_col: str, label_col: str, logits: Column) -> DataFrame:
+    """preds: softmax probabilities, the class order, the first class and its probability."""
+    return with_ranks(df.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y"), softmax(logits).alias("p")))
 
-def predictions(df: DataFrame, id_col: str, label_col: str, logits) -> DataFrame:
-    """preds(id, y, p, ord): softmax probabilities and the class order of each row."""
-    return (
-        df.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y"), logits.alias("z"))
-        .select("id", "y", softmax(F.col("z")).alias("p"))
-        .withColumn("ord", ranked_classes(F.col("p")))
-        .withColumn("pred", F.element_at("ord", 1))
-        .withColumn("conf", F.array_max("p"))
-    )
+
+def with_ranks(df: DataFrame) -> DataFrame:
+    """Adds ord (classes by probability, ties to the lower index), pred and conf."""
+    return df.withColumn("ord", ranked_classes(F.col("p"))).withColumn("pred", F.element_at("ord", 1)).withColumn("conf", F.array_max("p"))
+
+
+def hit(k: int, order: str = "ord") -> Column:
+    return F.array_contains(F.slice(order, 1, k), F.col("y")).cast("double")
+
+
+def share(a: Column, b: Column) -> Column:
+    """a / b, and 0 over nothing."""
+    return F.coalesce(F.try_divide(a.cast("double"), b.cast("double")), F.lit(0.0))
 
 
 def topk_accuracy(preds: DataFrame, ks: tuple[int, ...] = (1, 3)) -> DataFrame:
     """Share of rows whose label is among the first k classes; NaN over no rows."""
-    hit = lambda k: F.avg(F.array_contains(F.slice("ord", 1, k), F.col("y")).cast("double"))
-    return preds.agg(F.count("*").alias("n"), *(F.coalesce(hit(k), F.lit(float("nan"))).alias(f"top{k}") for k in ks))
+    return preds.agg(F.count("*").alias("n"), *(F.coalesce(F.avg(hit(k)), F.lit(NAN)).alias(f"top{k}") for k in ks))
+
+
+def per_class(preds: DataFrame, classes: DataFrame) -> DataFrame:
+    """(class, support, precision, recall, f1, top3_recall) for every class, also unseen ones."""
+    true = preds.select(F.col("y").alias("class"), F.lit(1).alias("s"), (F.col("pred") == F.col("y")).cast("int").alias("tp"), hit(3).cast("int").alias("h3"), F.lit(0).alias("pn"))
+    said = preds.select(F.col("pred").alias("class"), F.lit(0).alias("s"), F.lit(0).alias("tp"), F.lit(0).alias("h3"), F.lit(1).alias("pn"))
+    sums = true.unionByName(said).groupBy("class").agg(*(F.sum(c).alias(c) for c in ("s", "tp", "h3", "pn")))
+    df = classes.join(sums, "class", "left").na.fill(0)
+    precision, recall = share(F.col("tp"), F.col("pn")), share(F.col("tp"), F.col("s"))
+    df = df.select("class", F.col("s").alias("support"), precision.alias("precision"), recall.alias("recall"), share(F.col("h3"), F.col("s")).alias("top3_recall"))
+    f1 = share(2 * F.col("precision") * F.col("recall"), F.col("precision") + F.col("recall"))
+    return df.withColumn("f1", f1)
+
+
+def confusion(preds: DataFrame, classes: DataFrame) -> DataFrame:
+    """(y, pred, n) for every pair of classes, zero cells too."""
+    cells = classes.select(F.col("class").alias("y")).crossJoin(classes.select(F.col("class").alias("pred")))
+    counts = preds.groupBy("y", "pred").agg(F.count("*").alias("n"))
+    return cells.join(counts, ["y", "pred"], "left").na.fill(0)
+
+
+def confusion_shares(preds: DataFrame, classes: DataFrame) -> DataFrame:
+    """(y, pred, n, share): cells over their row's sum; rows of unseen classes are 0."""
+    total = F.sum("n").over(Window.partitionBy("y"))
+    return confusion(preds, classes).withColumn("share", share(F.col("n"), total))
+
+
+def confusable_pairs(preds: DataFrame, classes: DataFrame, groups: list[list[int]]) -> DataFrame:
+    """(a, b, ab, ba, kind, source) for pairs within a group of which 5 % or more go one way.
+
+    Symmetric if both ways are used and differ by less than a factor of 2; else asymmetric, and
+    source is the class that loses more (of equal ones the second).
+    """
+    pairs = [(a, b) for g in groups for i, a in enumerate(g) for b in g[i + 1 :]]
+    spark = preds.sparkSession
+    dim = spark.range(1).select(F.inline(F.array(*(F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a, b in pairs))))
+    cells = confusion_shares(preds, classes)
+    one = cells.select(F.col("y").alias("a"), F.col("pred").alias("b"), (F.col("share") * 100).alias("ab"))
+    two = cells.select(F.col("y").alias("b"), F.col("pred").alias("a"), (F.col("share") * 100).alias("ba"))
+    df = F.broadcast(dim).join(one, ["a", "b"]).join(two, ["a", "b"]).where(F.greatest("ab", "ba") >= 5)
+    low, high = F.least("ab", "ba"), F.greatest("ab", "ba")
+    even = (low > 0) & (F.try_divide(high, low) < 2)
+    kind = F.when(even, "symmetric").otherwise("asymmetric")
+    return df.withColumn("kind", kind).withColumn("source", F.when(even, F.lit(None)).otherwise(F.when(F.col("ab") > F.col("ba"), F.col("a")).otherwise(F.col("b"))))
+
+
+def macro_and_ood(preds: DataFrame, classes: DataFrame, other: int) -> DataFrame:
+    """Mean recall over all classes, and the share of other classes' rows predicted as `other`."""
+    macro = per_class(preds, classes).agg(F.avg("recall").alias("macro_recall"))
+    wrong = preds.where(F.col("y") != other).agg(F.coalesce(F.avg((F.col("pred") == other).cast("double")), F.lit(0.0)).alias("other_fp"))
+    return macro.crossJoin(wrong)
+
+
+def thresholds(spark: SparkSession, values: list[float]) -> DataFrame:
+    return spark.range(1).select(F.explode(F.array(*map(F.lit, values))).alias("t"))
+
+
+def _mean(c: Column, when: Column, default) -> Column:
+    return F.coalesce(F.avg(F.when(when, c)), F.lit(default))
+
+
+def threshold_curve(preds: DataFrame, values: list[float]) -> DataFrame:
+    """(t, reject_rate, top1, top3) where conf >= t keeps a row; accuracies of the kept, NaN if none."""
+    kept = F.col("conf") >= F.col("t")
+    rows = preds.select("conf", hit(1).alias("h1"), hit(3).alias("h3")).crossJoin(F.broadcast(thresholds(preds.sparkSession, values)))
+    return rows.groupBy("t").agg(F.avg((~kept).cast("double")).alias("reject_rate"), _mean(F.col("h1"), kept, NAN).alias("top1"), _mean(F.col("h3"), kept, NAN).alias("top3"))
+
+
+def serving_sweep(preds: DataFrame, values: list[float], other: int) -> DataFrame:
+    """As threshold_curve by the serving rule: uncertain below t or where `other` is first; ranks without `other`."""
+    rows = preds.withColumn("fish_ord", F.filter("ord", lambda i: i != other))
+    rows = rows.select("conf", "pred", "y", hit(1, "fish_ord").alias("h1"), hit(3, "fish_ord").alias("h3"))
+    rows = rows.crossJoin(F.broadcast(thresholds(preds.sparkSession, values)))
+    rows = rows.withColumn("unsure", (F.col("conf") < F.col("t")) | (F.col("pred") == other))
+    fish, unsure = F.col("y") != other, F.col("unsure").cast("double")
+    kept = fish & ~F.col("unsure")
+    return rows.groupBy("t").agg(
+        _mean(unsure, fish, NAN).alias("fish_reject_rate"),
+        _mean(F.col("h3"), kept, 0.0).alias("top3_on_kept"),
+        _mean(F.col("h1"), kept, 0.0).alias("top1_on_kept"),
+        F.avg(F.when(~fish, unsure)).alias("other_caught"),
+        F.count_if(kept).alias("kept_n"),
+    )
+
+
+def choose_threshold(sweep: DataFrame, cap: float = 0.10) -> DataFrame:
+    """The row of best top3_on_kept within the cap, ties to the lower rejection; without one the least rejection."""
+    ok = F.col("fish_reject_rate") <= cap
+    order = [ok.desc(), F.when(ok, F.col("top3_on_kept")).desc(), F.col("fish_reject_rate"), F.col("t")]
+    return sweep.orderBy(*order).limit(1)
+
+
+def worst_cases(preds: DataFrame, n: int = 50) -> DataFrame:
+    """The n surest mistakes."""
+    return preds.where("pred <> y").orderBy(F.col("conf").desc(), "id").limit(n).select("id", "y", "pred", "conf")
+
+
+def bottom_classes(preds: DataFrame, classes: DataFrame, n: int = 8, floor: float = 0.60) -> DataFrame:
+    """The n classes of least recall, flagged below the floor."""
+    df = per_class(preds, classes).orderBy("recall", "class").limit(n)
+    return df.select("class", "recall", "support", (F.col("recall") < floor).alias("below"))
+
+
+def source_metrics(preds: DataFrame, by: str) -> DataFrame:
+    """Accuracy by a column of the predictions."""
+    return preds.groupBy(by).agg(F.count("*").alias("n"), F.avg(hit(1)).alias("top1"), F.avg(hit(3)).alias("top3"))
+
+
+def served_rows(preds: DataFrame, t: float, other: int, k: int = 3) -> DataFrame:
+    """(id, rank, class, confidence, uncertain, top1_confidence, other_confidence): k candidates without `other`, not renormalised."""
+    rows = preds.withColumn("c", F.slice(F.filter("ord", lambda i: i != other), 1, k))
+    unsure = (F.col("conf") < t) | (F.col("pred") == other)
+    rows = rows.select("id", unsure.alias("uncertain"), F.col("conf").alias("top1_confidence"), F.element_at("p", other + 1).alias("other_confidence"), "p", F.posexplode("c").alias("at", "class"))
+    return rows.select("id", (F.col("at") + 1).alias("rank"), "class", F.element_at("p", F.col("class") + 1).alias("confidence"), "uncertain", "top1_confidence", "other_confidence")
+
+
+def served_json(preds: DataFrame, t: float, other: int, version: str, k: int = 3) -> DataFrame:
+    """(id, response): the response document of each row as JSON."""
+    candidates = F.transform(F.slice(F.filter("ord", lambda i: i != other), 1, k), lambda c, i: F.struct((i + 1).alias("rank"), c.alias("class"), F.element_at("p", c + 1).alias("confidence")))
+    unsure = (F.col("conf") < t) | (F.col("pred") == other)
+    body = F.struct(unsure.alias("uncertain"), F.lit(version).alias("model_version"), candidates.alias("predictions"), F.element_at("p", other + 1).alias("other_confidence"), F.col("conf").alias("top1_confidence"))
+    return preds.select("id", F.to_json(body).alias("response"))
+
+
+def field_summary(preds: DataFrame, t: float, other: int) -> DataFrame:
+    """Uncertain share and accuracies of a field test; an `other` row succeeds if it is uncertain."""
+    rows = preds.withColumn("c", F.filter("ord", lambda i: i != other)).withColumn("unsure", (F.col("conf") < t) | (F.col("pred") == other))
+    ok = lambda k: F.when(F.col("y") == other, F.col("unsure").cast("double")).otherwise(hit(k, "c"))
+    return rows.agg(F.count("*").alias("n"), F.avg(F.col("unsure").cast("double")).alias("uncertain_rate"), F.avg(ok(1)).alias("top1"), F.avg(ok(3)).alias("top3"))

@@ -1,3 +1,3 @@
 """Imports every query module, so that each registers its queries."""
 
-from gleanworks.plans import evaluation  # noqa: F401
+from gleanworks.plans import curation, evaluation  # noqa: F401

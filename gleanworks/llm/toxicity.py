@@ -2,7 +2,7 @@
 
 Two dictionaries of equal size are trained from a bounded sample of labelled texts: of the words
 with far more different neighbours in the one class than in the other, the commonest. Every window
-of a text (words up to about WINDOW bytes) is compressed with each; the gap is how much shorter the
+of a text (words until they hold WINDOW bytes; at 1, each word) is compressed with each; the gap is how much shorter the
 toxic dictionary makes it. Both dictionaries end in one anchor that stands before each window, so a
 window is always coded by matches and a gap means matched words. How many windows reach each
 gap, with the number of windows, gives the score by a logistic calibration fitted on labelled texts
@@ -34,7 +34,7 @@ from gleanworks.session import table
 
 THRESHOLD = 0.3
 SAMPLE, SAMPLE_CHARS = 2000, 50_000
-WINDOW = 8
+WINDOW = 1
 DICTIONARY_BYTES = 8192
 #: A word is a dictionary's if it is so many times (e^2) likelier in its class, by such a log-likelihood ratio.
 LEAST_ODDS, LEAST_EVIDENCE = 2.0, 15.0
@@ -106,8 +106,9 @@ class ToxicityModel:
 
     def features(self, texts) -> np.ndarray:
         """Per text: how many windows have each gap from LOW to HIGH (plain and by logarithm), and how many there are."""
-        ordinary, toxic = self.compressors()
-        known: dict[bytes, int] = {}
+        if "_memo" not in self.__dict__:  # one for all batches of a task
+            self._memo = (*self.compressors(), {})
+        ordinary, toxic, known = self._memo
         rows = []
         for text in texts:
             gaps, own = [], windows(words(text))
@@ -186,6 +187,8 @@ def dictionaries(toxic: list[list[bytes]], ordinary: list[list[bytes]]) -> Toxic
 def scored(docs: DataFrame, model: ToxicityModel, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """docs with score and predicted."""
 
+    model = ToxicityModel(model.toxic, model.ordinary, model.weights)
+
     @F.pandas_udf("double")
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:

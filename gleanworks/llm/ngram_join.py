@@ -36,8 +36,8 @@ from gleanworks.session import table
 
 #: Two sets link when PART * |both| >= SHARE * |either|.
 SHARE, PART = 75, 100
-BUCKET_BYTES, LEAST_BUCKETS = 12_000_000, 48
-FLUSH = 1_500_000
+BUCKET_BYTES, LEAST_BUCKETS = 6_000_000, 48
+FLUSH = 750_000
 BLOCK_ROWS = 2000
 SEEDS = (0, 0x5851F42D4C957F2D, 0x14057B7EF767814F)
 
@@ -68,9 +68,9 @@ def bitmap(s: np.ndarray, band: int) -> bytes:
 
 def _sets(frames, k):
     for pdf in frames:
-        data = [(t or "").encode("utf-8", "surrogatepass") for t in pdf["text"]]
-        for part in groups([len(d) for d in data], GROUP_BYTES):
-            yield pdf["doc_id"].iloc[part], shingle_sets(data[part], k)
+        for part in groups([len(t or "") for t in pdf["text"]], GROUP_BYTES):
+            data = [(t or "").encode("utf-8", "surrogatepass") for t in pdf["text"].iloc[part]]
+            yield pdf["doc_id"].iloc[part], shingle_sets(data, k)
 
 
 def memberships(docs: DataFrame, k: int = 5) -> DataFrame:
@@ -180,16 +180,13 @@ def shared_sets(docs: DataFrame, k: int = 5) -> DataFrame:
 
 
 def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Those of pairs(u, v) that link, by exact intersection of sorted arrays."""
+    """Those of pairs(u, v) that link, by the exact intersection of their sorted arrays."""
     a = sets.select(F.col("entity").alias("u"), F.col("n").alias("n1"), F.col("hashes").alias("h1"))
     b = sets.select(F.col("entity").alias("v"), F.col("n").alias("n2"), F.col("hashes").alias("h2"))
 
-    def check(frames):
-        for pdf in frames:
-            both = np.array([len(np.intersect1d(x, y, assume_unique=True)) for x, y in zip(pdf["h1"], pdf["h2"])], np.int64)
-            yield pdf.loc[PART * both >= SHARE * (pdf["n1"].to_numpy() + pdf["n2"].to_numpy() - both), ["u", "v"]]
-
-    return pairs.join(a, "u").join(b, "v").mapInPandas(check, "u long, v long")
+    both = F.size(F.array_intersect("h1", "h2"))
+    met = pairs.join(a, "u").join(b, "v").withColumn("both", both)
+    return met.where(PART * F.col("both") >= SHARE * (F.col("n1") + F.col("n2") - F.col("both"))).select("u", "v")
 
 
 def tile_pairs(sets: DataFrame, component: DataFrame) -> DataFrame:

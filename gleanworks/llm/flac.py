@@ -209,7 +209,10 @@ def read_header(media: bytes) -> tuple[int, np.ndarray, int, bytes]:
     """(samples, seek offsets of all frames, place of the first frame, MD5) of a stream."""
     if media[:4] != b"fLaC" or media[4] & 0x7F or int.from_bytes(media[5:8], "big") != 34:
         raise FlacError("no stream header")
-    samples = int.from_bytes(media[18:26], "big") & ((1 << 36) - 1)
+    form = int.from_bytes(media[18:26], "big")
+    samples = form & ((1 << 36) - 1)
+    if form >> 36 != RATE << 8 | 7:  # one channel, eight bits
+        raise FlacError("another rate or form of samples")
     last, at, offsets = media[4] >> 7, 42, []
     while not last:
         kind, size = media[at], int.from_bytes(media[at + 1 : at + 4], "big")

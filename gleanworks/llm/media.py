@@ -46,10 +46,10 @@ def encode_media(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     def encode(frames):
         for pdf in frames:
-            data = [(t or "").encode() for t in pdf["text"]]
-            for part in groups([len(d) for d in data]):
-                media = encode_streams([padded(d) for d in data[part]], lpc_order)
-                yield pd.DataFrame({"id": pdf["id"].iloc[part], "n_bytes": [len(d) for d in data[part]], "media": media})
+            for part in groups([len(t or "") for t in pdf["text"]]):
+                data = [(t or "").encode() for t in pdf["text"].iloc[part]]
+                media = encode_streams([padded(d) for d in data], lpc_order)
+                yield pd.DataFrame({"id": pdf["id"].iloc[part], "n_bytes": [len(d) for d in data], "media": media})
 
     rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     return rows.mapInPandas(encode, "id long, n_bytes long, media binary")

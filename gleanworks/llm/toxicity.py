@@ -63,12 +63,15 @@ def windows(own: list[bytes], size: int = WINDOW) -> list[bytes]:
     return out
 
 
-def neighbours(texts: list[list[bytes]]) -> Counter:
+def neighbours(texts: list[str]) -> Counter:
     """For each word the number of different pairs of words around it; copies of a text count once."""
-    seen = set()
-    for own in texts:
-        seen.update(zip([b"", *own], own, [*own[1:], b""]))
-    return Counter(w for _, w, _ in seen)
+    ids: dict[bytes, int] = {b"": 0}
+    codes = []
+    for text in texts:
+        x = np.array([0, *(ids.setdefault(w, len(ids)) for w in words(text)), 0], np.int64)
+        codes.append(x[1:-1] << 40 | (x[:-2] & 0xFFFFF) << 20 | x[2:] & 0xFFFFF)
+    counts = np.bincount(np.unique(np.concatenate(codes)) >> 40, minlength=len(ids)) if codes else []
+    return Counter({w: int(n) for w, n in zip(ids, counts) if n})
 
 
 def dictionary(own: Counter, other: Counter, size: int) -> bytes:
@@ -163,7 +166,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         rows.append([r[0] for r in found.select(text_col).collect()])
     if not all(rows):
         return ToxicityModel(b" ", b" ")
-    toxic, ordinary = ([words(t) for t in own] for own in rows)
+    toxic, ordinary = rows
     x, y = [], []
     for fold in (0, 1):  # each half meets dictionaries of the other
         model = dictionaries(toxic[1 - fold :: 2], ordinary[1 - fold :: 2])
@@ -178,7 +181,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     return model
 
 
-def dictionaries(toxic: list[list[bytes]], ordinary: list[list[bytes]]) -> ToxicityModel:
+def dictionaries(toxic: list[str], ordinary: list[str]) -> ToxicityModel:
     toxic_n, ordinary_n = neighbours(toxic), neighbours(ordinary)
     bad = dictionary(toxic_n, ordinary_n, DICTIONARY_BYTES)
     return ToxicityModel(bad, dictionary(ordinary_n, toxic_n, len(bad)))

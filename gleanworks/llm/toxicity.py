@@ -1,7 +1,7 @@
 """Toxicity by compression distance: zstandard dictionaries of toxic and of ordinary text.
 
 Two dictionaries of equal size are trained from a bounded sample of labelled texts: of the words
-with far more different neighbours in the one class than in the other, the commonest. Every window
+and word stems with far more different neighbours in the one class than in the other, the commonest. Every window
 of a text (words until they hold WINDOW bytes; at 1, each word) is compressed with each; the gap is how much shorter the
 toxic dictionary makes it. Both dictionaries end in one anchor that stands before each window, so a
 window is always coded by matches and a gap means matched words. How many windows reach each
@@ -38,6 +38,7 @@ WINDOW = 1
 DICTIONARY_BYTES = 8192
 #: A word is a dictionary's if it is so many times (e^2) likelier in its class, by such a log-likelihood ratio.
 LEAST_ODDS, LEAST_EVIDENCE = 2.0, 15.0
+STEM = 5
 ANCHOR = bytes(range(1, 25))
 LOW, HIGH = 1, 9
 BLIND = 0.0
@@ -74,9 +75,19 @@ def neighbours(texts: list[str]) -> Counter:
     return Counter({w: int(n) for w, n in zip(ids, counts) if n})
 
 
+def with_stems(counts: Counter) -> Counter:
+    """counts with those of the first STEM bytes of longer words, which inflected forms share."""
+    out = Counter(counts)
+    for w, n in counts.items():
+        if len(w) > STEM:
+            out[w[:STEM]] += n
+    return out
+
+
 def dictionary(own: Counter, other: Counter, size: int) -> bytes:
-    """Words that mark the class of `own`, the commonest last, between spaces."""
+    """Words and stems that mark the class of `own`, the commonest last, between spaces."""
     n_own, n_other = sum(own.values()) + 1, sum(other.values()) + 1
+    own, other = with_stems(own), with_stems(other)
     marks = []
     for w, a in own.items():
         b = other[w]

@@ -267,10 +267,13 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """docs(doc_id, text, ...) with one document of each group of near copies: that of the least id."""
+    """docs(doc_id, text, ...) with one document of each group of near copies: that of the least id.
+
+    Rows without an id are all kept; of rows with one id, one is."""
     groups_ = near_groups(docs)
     kept = groups_.where("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
+    named = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
+    return named.unionByName(docs.where("doc_id IS NULL"))
 
 
 def op3_ngram_join(spark, sf_dir):

@@ -30,6 +30,8 @@ CAP = 3
 UNIT = 1 << 20
 OFFSETS = 32
 STEPS_A_JOB, MOST_JOBS = 4, 15
+#: Up to so many sources the solver's state (a row of seven numbers each) is broadcast; beyond, it is joined by shuffle.
+MOST_BROADCAST = 10_000
 
 
 def word_count(text: Column) -> Column:
@@ -78,17 +80,18 @@ def rates(counts: DataFrame, targets: DataFrame) -> DataFrame:
             F.lit(None).cast("double").alias("off"),
         )
     )
+    few = state.count() <= MOST_BROADCAST
     x, lam = F.col("size") / F.col("mean"), F.col("lam")
     for _ in range(MOST_JOBS):
         for _ in range(STEPS_A_JOB):
             r = F.least(F.lit(float(CAP)), F.exp(F.least(F.lit(50.0), lam * x)))
-            sums = (
-                counts.join(state, "source_key")
-                .groupBy("source_key")
+            # The state's columns go along as keys, so that a step reads the step before it once.
+            step = (
+                counts.join(F.broadcast(state) if few else state, "source_key")
+                .groupBy("source_key", "mean", "goal", "lam", "lo", "hi")
                 .agg(F.sum(F.col("n") * r * x).alias("got"), F.sum(F.when(r < CAP, F.col("n") * r * x * x).otherwise(0.0)).alias("slope"))
             )
-            g = F.col("got") - F.col("goal")
-            step = state.join(sums, "source_key").withColumn("g", g)
+            step = step.withColumn("g", F.col("got") - F.col("goal"))
             # The lower end is unknown below 0: it doubles until the rates fall short of the goal.
             lo = F.when(F.col("g") < 0, lam).when(F.col("lo") >= lam, F.col("lo") * 2 - 1).otherwise(F.col("lo"))
             step = step.withColumn("lo", lo).withColumn("hi", F.when(F.col("g") > 0, lam).otherwise(F.col("hi")))

@@ -1,34 +1,51 @@
 """Cross-entropy difference: bigram models of a target and of the background text score documents.
 
-Both models share a vocabulary (the VOCABULARY - 2 commonest words of target and background
-together, a start sign and one sign for all other words), their order and their smoothing. Words
-and pairs are counted over all texts: each task sums its own, Spark sums the tasks'. A model is a
-table of VOCABULARY^2 losses, bounded at any data size, so the two go to every task; documents are
-scored where they lie. A document's score is the mean over its words of target loss minus
-background loss, in nats: the lower, the more the text is like the target.
+Both models share a vocabulary (all words of target and background, a start sign and one sign for
+words of neither), their order and their smoothing. A document's score is the mean over its words
+of target loss minus background loss, in nats: the lower, the more the text is like the target.
+
+1. Words are counted as such and as contexts: a table (word, n and c of each text kind).
+2. Pairs that occur HOT times among the documents or more are counted alone, by partial sums over
+   the hot words; their losses go to every task. There are at most (words / HOT) of them.
+3. All other pairs, summed for each document, are dealt to hash buckets of about BUCKET_BYTES of
+   text, as are those of the target and background. A bucket asks the word table for its words,
+   counts its pairs, and sums their losses for each document.
+4. The buckets' sums are added up by document, in units of 1 / UNIT nats: the same on any layout.
+
+All tables grow with the texts; the driver gets totals, hot words and hot pairs only. Words and
+pairs are known by 64-bit hashes, so they are told apart up to collisions. With a `size`, only the
+size - 2 commonest words are told apart (ties by the word's hash).
 
 Nulls: a null text has no words; texts without words have null losses and score. Very long texts
-are scored whole. Repeated rows count and score each. Ties of frequency: by the word's hash. Without
-any target text the target model is uniform over the vocabulary. Empty input: an empty result.
-Extra columns are ignored.
+are scored whole. Repeated rows count and score each. Without any target text the target model is
+uniform over the vocabulary. Empty input: an empty result. Extra columns are ignored.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gleanworks.llm.common import durable
 from gleanworks.llm.media import groups
-from gleanworks.llm.shingles import GROUP_BYTES, word_hashes
+from gleanworks.llm.shingles import GROUP_BYTES, mixed, word_hashes
 from gleanworks.session import table
 
-VOCABULARY = 1024
-OTHER, START = 0, 1
+#: Codes that stand for no word of their own.
+OTHER, START = np.uint64(0), np.uint64(1)
 #: Share of a pair's own frequency in its probability; the rest is the word's.
 OWN = 0.7
-FLUSH = 4_000_000
+FLUSH = 2_000_000
+DEALT = 750_000
+BUCKET_BYTES, LEAST_BUCKETS = 12_000_000, 8
+HOT = 200_000
+UNIT = 1 << 30
+#: Kinds of text; a bucket's rows of kind ROWS name the documents themselves.
+TARGET, BACKGROUND, DOCS, ROWS = range(4)
+COUNTS = ("n0", "c0", "n1", "c1", "n2", "c2")
 
 
 def _word_batches(frames):
@@ -38,86 +55,268 @@ def _word_batches(frames):
             yield pdf.iloc[part], *word_hashes([(t or "").encode("utf-8", "surrogatepass") for t in pdf["text"].iloc[part]])
 
 
-def _counted(frames, codes_of, name):
-    """Sums of a task: (name, n) of every different code, in bounded flushes."""
-    held, total = [], 0
+def _signed(codes: np.ndarray) -> np.ndarray:
+    return np.ascontiguousarray(codes).view(np.int64)
 
-    def flush():
-        codes, n = np.unique(np.concatenate(held), return_counts=True)
-        return pd.DataFrame({name: codes.astype(np.int64) if name == "pair" else codes.view(np.int64), "n": n})
 
-    for _, hashes, counts in _word_batches(frames):
-        held.append(codes_of(hashes, counts))
-        total += len(hashes)
-        if total >= FLUSH:
-            yield flush()
-            held, total = [], 0
-    if held:
-        yield flush()
+def _coded(frames, known):
+    """(rows, code before each word, code of each word, words a row); each text begins after START."""
+    for own, words, counts in _word_batches(frames):
+        if known is not None:
+            words = np.where(np.isin(words, known), words, OTHER)
+        before = np.concatenate([[START], words[:-1]]) if len(words) else words
+        first = np.cumsum(counts) - counts
+        before[first[counts > 0]] = START
+        yield own, before, words, counts
 
 
-def vocabulary(texts: DataFrame, size: int = VOCABULARY) -> np.ndarray:
+def pair_keys(before: np.ndarray, words: np.ndarray) -> np.ndarray:
+    return mixed(mixed(before) * np.uint64(0x9E3779B97F4A7C15) + words)
+
+
+def _place(codes: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Where the codes are in the sorted known ones; len(known) for others."""
+    if not len(known):
+        return np.zeros(len(codes), np.int64)
+    at = np.minimum(np.searchsorted(known, codes), len(known) - 1)
+    return np.where(known[at] == codes, at, len(known))
+
+
+def vocabulary(texts: DataFrame, size: int) -> np.ndarray:
     """The sorted hashes of the size - 2 commonest words of texts(text)."""
-    words = texts.mapInPandas(lambda frames: _counted(frames, lambda h, c: h, "word"), "word long, n long")
-    top = words.groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.col("n").desc(), "word").limit(size - 2)
+    words = _word_rows(texts, None).groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") > 0)
+    top = words.orderBy(F.col("n").desc(), "word").limit(size - 2)
     return np.sort(np.array([r["word"] for r in top.collect()], np.int64).view(np.uint64))
 
 
-def word_ids(hashes: np.ndarray, known: np.ndarray) -> np.ndarray:
-    if not len(known):
-        return np.zeros(len(hashes), np.int64)
-    at = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
-    return np.where(known[at] == hashes, at + 2, OTHER)
+def _word_rows(texts: DataFrame, known) -> DataFrame:
+    """(word, n, c) of texts(text): how often a word occurs and comes before another; sums of bounded flushes."""
+
+    def rows(frames):
+        held, total = [], 0
+
+        def flush():
+            codes, n = np.unique(np.concatenate([w for w, _ in held]), return_counts=True)
+            last = np.concatenate([x for _, x in held])
+            c = n - np.bincount(np.searchsorted(codes, last), minlength=len(codes))
+            return pd.DataFrame({"word": _signed(np.append(codes, START)), "n": np.append(n, 0), "c": np.append(c, len(last))})
 
+        for _, _, words, counts in _coded(frames, known):
+            held.append((words, words[np.cumsum(counts)[counts > 0] - 1]))
+            total += len(words)
+            if total >= FLUSH:
+                yield flush()
+                held, total = [], 0
+        if total:
+            yield flush()
 
-def pair_codes(hashes: np.ndarray, counts: np.ndarray, known: np.ndarray, size: int = VOCABULARY) -> np.ndarray:
-    """previous word * size + word; each text begins after START."""
-    ids = word_ids(hashes, known)
-    before = np.concatenate([[START], ids[:-1]]) if len(ids) else ids
-    first = np.cumsum(counts) - counts
-    before[first[counts > 0]] = START
-    return before * size + ids
+    return texts.mapInPandas(rows, "word long, n long, c long")
 
 
-def pair_counts(texts: DataFrame, known: np.ndarray, size: int = VOCABULARY) -> np.ndarray:
-    """(size, size) counts of pairs over texts(text); at most size^2 sums reach the driver."""
-    codes = lambda h, c: pair_codes(h, c, known, size)
-    sums = texts.mapInPandas(lambda frames: _counted(frames, codes, "pair"), "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
-    pdf = sums.toPandas()
-    out = np.zeros(size * size, np.int64)
-    out[pdf["pair"].to_numpy(np.int64)] = pdf["n"].to_numpy(np.int64)
-    return out.reshape(size, size)
+def word_table(texts: dict[int, DataFrame], known) -> DataFrame:
+    """(word, n0, c0, n1, c1, n2, c2): _word_rows of each kind of texts(text)."""
+    out = None
+    for kind, own in texts.items():
+        named = {f"{x}{kind}": F.col(x) for x in "nc"}
+        rows = _word_rows(own, known).select("word", *(named.get(c, F.lit(0).cast("long")).alias(c) for c in COUNTS))
+        out = rows if out is None else out.unionByName(rows)
+    return out.groupBy("word").agg(*(F.sum(c).alias(c) for c in COUNTS))
 
 
-def losses(counts: np.ndarray, own: float = OWN) -> np.ndarray:
+def losses(pair, context, word, total: int, size: int, own: float = OWN) -> np.ndarray:
     """-log p(word | previous word): the pair's frequency and the word's, each word counted once more."""
-    word = (counts.sum(0) + 1.0) / (counts.sum() + counts.shape[1])
-    context = counts.sum(1, keepdims=True)
-    p = np.where(context > 0, own * counts / np.maximum(context, 1) + (1 - own) * word, word)
-    return -np.log(p)
-
-
-def score_texts(docs: DataFrame, target: DataFrame, background: DataFrame, size: int = VOCABULARY) -> DataFrame:
-    """(doc_id, n_words, target_loss, background_loss, score) of docs(doc_id, text); the others are (text)."""
-    spark = docs.sparkSession
-    known = vocabulary(target.select("text").unionByName(background.select("text")), size)
-    models = [losses(pair_counts(t.select("text"), known, size)).astype(np.float32).ravel() for t in (target, background)]
-    shared = spark.sparkContext.broadcast((known, *models))
-
-    def score(frames):
-        known, target_loss, background_loss = shared.value
-        for own, hashes, counts in _word_batches(frames):
-            codes, ends = pair_codes(hashes, counts, known, size), np.cumsum(counts)
-            out = {"doc_id": own["doc_id"].to_numpy(), "n_words": counts}
-            for name, loss in (("target_loss", target_loss), ("background_loss", background_loss)):
-                total = np.concatenate([[0.0], np.cumsum(loss[codes], dtype=np.float64)])
-                out[name] = np.where(counts > 0, (total[ends] - total[ends - counts]) / np.maximum(counts, 1), np.nan)
-            yield pd.DataFrame(out)
-
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    out = rows.mapInPandas(score, "doc_id long, n_words long, target_loss double, background_loss double")
-    clean = lambda c: F.when(F.col("n_words") > 0, F.col(c)).alias(c)
-    out = out.select("doc_id", "n_words", clean("target_loss"), clean("background_loss"))
+    p = (word + 1.0) / (total + size)
+    return -np.log(np.where(context > 0, own * pair / np.maximum(context, 1) + (1 - own) * p, p))
+
+
+def hot_pairs(texts: dict[int, DataFrame], known, hot: np.ndarray, most: int) -> pd.DataFrame:
+    """(a, b, p0, p1, p2): counts of each kind, of the pairs of hot words that texts of the last kind hold `most` times."""
+
+    def rows_of(kind):
+        def rows(frames):
+            for _, before, words, _ in _coded(frames, known):
+                a, b = _place(before, hot), _place(words, hot)
+                both = (a < len(hot)) & (b < len(hot))
+                codes, n = np.unique(a[both] * len(hot) + b[both], return_counts=True)
+                out = {"a": _signed(hot[codes // len(hot)]), "b": _signed(hot[codes % len(hot)])}
+                yield pd.DataFrame(out | {f"p{k}": n if k == kind else 0 for k in (TARGET, BACKGROUND, DOCS)})
+
+        return texts[kind].mapInPandas(rows, "a long, b long, p0 long, p1 long, p2 long")
+
+    out = None
+    for kind in texts:
+        out = rows_of(kind) if out is None else out.unionByName(rows_of(kind))
+    sums = out.groupBy("a", "b").agg(*(F.sum(f"p{k}").alias(f"p{k}") for k in (TARGET, BACKGROUND, DOCS)))
+    return sums.where(F.col(f"p{max(texts)}") >= most).toPandas()
+
+
+def _pair_losses(pairs, contexts, words, totals, size) -> list[np.ndarray]:
+    """Losses under both models, in units; each argument has the target's figures, then the background's."""
+    return [np.rint(losses(p, c, n, t, size) * UNIT).astype(np.int64) for p, c, n, t in zip(pairs, contexts, words, totals)]
+
+
+def _sums(at: np.ndarray, values: np.ndarray, size: int) -> np.ndarray:
+    out = np.zeros(size, np.int64)
+    np.add.at(out, at, values)
+    return out
+
+
+DEALT_ROWS = "target long, kind int, base long, words binary, a binary, b binary, docs binary, doc binary, n binary"
+
+
+def _dealt(texts: DataFrame, kind: int, known, hot, buckets: int) -> DataFrame:
+    """Pairs that are not hot, by bucket, with the documents they are of; for kind DOCS also rows of the documents."""
+
+    def rows(frames):
+        keys, *hot_losses = hot.value
+        task = TaskContext.get().partitionId()
+        held, total, seen = [], 0, 0
+
+        def flush(first):
+            counts = np.concatenate([c for *_, c in held]).astype(np.int64)
+            before, words = np.concatenate([b for _, b, _, _ in held]), np.concatenate([w for *_, w, _ in held])
+            ids = pd.concat([r["doc_id"] for r, *_ in held]) if kind == DOCS else None
+            held.clear()
+            doc = np.repeat(np.arange(len(counts), dtype=np.uint32), counts) if kind == DOCS else np.zeros(len(words), np.uint32)
+            key = pair_keys(before, words)
+            at, base = _place(key, keys), (task << 33) + first
+            out = []
+            if kind == DOCS:
+                null = ids.isna().to_numpy()
+                done = at < len(keys)
+                sums = [_sums(doc[done], x[at[done]], len(counts)).tobytes() for x in hot_losses]
+                out.append((-1 - task, ROWS, base, ids.fillna(0).to_numpy(np.int64).tobytes(), null.tobytes(), counts.tobytes(), b"", *sums))
+            rest = at == len(keys)
+            before, words, doc, key = before[rest], words[rest], doc[rest], key[rest]
+            order = np.argsort(key, kind="stable")  # by bucket and pair, documents in order
+            before, words, doc, key = before[order], words[order], doc[order], key[order]
+            del at, rest, order
+            if len(key):
+                new = np.concatenate([[True], key[1:] != key[:-1]])
+                once = np.flatnonzero(new | np.concatenate([[True], doc[1:] != doc[:-1]]))
+                n = np.diff(np.append(once, len(key)))
+                doc, first = doc[once], np.flatnonzero(new[once])
+                before, words, key = before[new], words[new], key[new]
+                ends = np.append(first, len(once))
+                bucket = (key >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
+                cuts = np.append(np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])), len(bucket))
+                for i, j in zip(cuts[:-1], cuts[1:]):
+                    own, place = np.unique(np.concatenate([before[i:j], words[i:j]]), return_inverse=True)
+                    place, entries = place.astype(_width(len(own))), slice(ends[i], ends[j])
+                    sizes = (np.diff(ends[i : j + 1]), doc[entries], n[entries])
+                    out.append((int(bucket[i]), kind, base, own.tobytes(), place[: j - i].tobytes(), place[j - i :].tobytes(), *(_planes(x) for x in sizes)))
+            return pd.DataFrame(out, columns=["target", "kind", "base", "words", "a", "b", "docs", "doc", "n"])
+
+        for batch in _coded(frames, known):
+            held.append(batch)
+            total += len(batch[2])
+            if total >= DEALT:
+                more = sum(len(c) for *_, c in held)
+                yield flush(seen)
+                seen, total = seen + more, 0
+        if held:
+            yield flush(seen)
+
+    return texts.mapInPandas(rows, DEALT_ROWS)
+
+
+def _width(n: int):
+    return np.uint16 if n <= 1 << 16 else np.uint32
+
+
+def _planes(x: np.ndarray) -> bytes:
+    """Numbers under 2^32, all their lowest bytes first: the high ones compress to nothing."""
+    return np.ascontiguousarray(x.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
+
+
+def _unplaned(data: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(4, -1).T).view("<u4")[:, 0]
+
+
+def score_texts(docs: DataFrame, target: DataFrame, background: DataFrame, size: int | None = None) -> DataFrame:
+    """(doc_id, n_words, target_loss, background_loss, score) of docs(doc_id, text); the others are (text).
+
+    Where the background is docs itself, its pairs are dealt once."""
+    sc, same = docs.sparkSession.sparkContext, background is docs
+    text = F.col("text").cast("string").alias("text")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text)
+    texts = {TARGET: target.select(text)} | ({} if same else {BACKGROUND: background.select(text)}) | {DOCS: rows}
+    n_bytes = sum(t.agg(F.sum(F.octet_length("text")).alias("b")).first()["b"] or 0 for t in texts.values())
+    buckets = max(LEAST_BUCKETS, -(-n_bytes // BUCKET_BYTES))
+    known = None if size is None else vocabulary(target.select("text").unionByName(background.select("text")), size)
+
+    words = word_table({k: t.select("text") for k, t in texts.items()}, known)
+    if same:
+        words = words.withColumns({"n1": F.col("n2"), "c1": F.col("c2")})
+    words = durable(words)
+    facts = words.agg(F.count_if(F.col("n0") + F.col("n1") > 0).alias("v"), F.sum("n0").alias("t0"), F.sum("n1").alias("t1")).first()
+    size, totals = size or facts["v"] + 2, (facts["t0"] or 0, facts["t1"] or 0)
+
+    hot = words.where(F.greatest("n2", "c2") >= HOT).toPandas().sort_values("word")
+    keys, hot_losses = np.zeros(0, np.uint64), [np.zeros(0, np.int64)] * 2
+    if len(hot):
+        pairs = hot_pairs({k: t.select("text") for k, t in texts.items()}, known, np.sort(hot["word"].to_numpy(np.int64).view(np.uint64)), HOT)
+        if same:
+            pairs["p1"] = pairs["p2"]
+        hot = hot.set_index("word")
+        a, b = hot.loc[pairs["a"]], hot.loc[pairs["b"]]
+        keys = pair_keys(*(pairs[x].to_numpy(np.int64).view(np.uint64) for x in "ab"))
+        order = np.argsort(keys)
+        found = _pair_losses(*([d[c].to_numpy() for c in own] for d, own in ((pairs, ("p0", "p1")), (a, ("c0", "c1")), (b, ("n0", "n1")))), totals, size)
+        keys, hot_losses = keys[order], [x[order] for x in found]
+    shared = sc.broadcast((keys, *hot_losses))
+
+    dealt = None
+    for kind, own in texts.items():
+        part = _dealt(own, kind, known, shared, buckets)
+        dealt = part if dealt is None else dealt.unionByName(part)
+
+    def wanted(pdf):
+        own = pdf.loc[pdf["kind"] != ROWS, "words"]
+        codes = np.unique(np.frombuffer(b"".join(own), np.uint64))
+        return pd.DataFrame({"target": np.full(len(codes), pdf["target"].iloc[0]), "word": _signed(codes)})
+
+    def score(key, pdf, facts):
+        names, parts = ["ref", "doc_id", "n_words", "t0", "t1"], []
+        if key[0] < 0:
+            for r in pdf.itertuples():
+                ids = pd.array(np.frombuffer(r.words, np.int64), dtype="Int64")
+                ids[np.frombuffer(r.a, bool)] = pd.NA
+                counts, t0, t1 = (np.frombuffer(x, np.int64) for x in (r.b, r.doc, r.n))
+                parts.append(pd.DataFrame(dict(zip(names, (r.base + np.arange(len(counts)), ids, counts, t0, t1)))))
+            return pd.concat(parts)
+        facts = facts.assign(word=facts["word"].to_numpy(np.int64).view(np.uint64)).sort_values("word")
+        known_words = facts["word"].to_numpy()
+        stats = {c: np.append(facts[c].to_numpy(np.int64), int(same and c[1] == "1")) for c in ("n0", "c0", "n1", "c1")}  # words not told of last
+        for r in pdf.itertuples():
+            own = np.frombuffer(r.words, np.uint64)
+            at = _place(own, known_words)
+            a, b = (at[np.frombuffer(x, _width(len(own)))] for x in (r.a, r.b))
+            pair, n = np.repeat(a * (len(known_words) + 1) + b, _unplaned(r.docs)), _unplaned(r.n)
+            parts.append((pair, n, np.full(len(n), r.kind, np.int8), r.base + _unplaned(r.doc).astype(np.int64)))
+        pair, n, kind, ref = (np.concatenate(x) for x in zip(*parts))
+        del parts
+        pairs, at = np.unique(pair, return_inverse=True)
+        a, b = pairs // (len(known_words) + 1), pairs % (len(known_words) + 1)
+        counts = [np.bincount(at, np.where(kind == k, n, 0), len(pairs)) for k in (TARGET, DOCS if same else BACKGROUND)]
+        if same:  # a pair of a lone word is as lone
+            lone = (a == len(known_words)) | (b == len(known_words))
+            counts = [np.where(lone, x, c) for x, c in enumerate(counts)]
+        found = _pair_losses(counts, (stats["c0"][a], stats["c1"][a]), (stats["n0"][b], stats["n1"][b]), totals, size)
+        at, n, ref = at[kind == DOCS], n[kind == DOCS].astype(np.int64), ref[kind == DOCS]
+        refs, row = np.unique(ref, return_inverse=True)
+        sums = [_sums(row, x[at] * n, len(refs)) for x in found]
+        return pd.DataFrame(dict(zip(names, (refs, pd.array([pd.NA] * len(refs), dtype="Int64"), np.zeros(len(refs), np.int64), *sums))))
+
+    asked = dealt.groupBy("target").applyInPandas(wanted, "target long, word long")
+    facts = words.select("word", "n0", "c0", "n1", "c1")
+    if same:  # of words that occur once in all texts, and are no text's last, nothing is told
+        facts = facts.where("NOT (n0 = 0 AND c0 = 0 AND n1 = 1 AND c1 = 1)")
+    told = asked.join(facts, "word").select("target", "word", "n0", "c0", "n1", "c1")
+    parts = dealt.groupBy("target").cogroup(told.groupBy("target")).applyInPandas(score, "ref long, doc_id long, n_words long, t0 long, t1 long")
+    out = parts.groupBy("ref").agg(F.max("doc_id").alias("doc_id"), F.sum("n_words").alias("n_words"), F.sum("t0").alias("t0"), F.sum("t1").alias("t1"))
+    mean = lambda c: F.when(F.col("n_words") > 0, F.col(c) / F.col("n_words") / UNIT)
+    out = out.select("doc_id", "n_words", mean("t0").alias("target_loss"), mean("t1").alias("background_loss"))
     return out.withColumn("score", F.col("target_loss") - F.col("background_loss"))
 
 

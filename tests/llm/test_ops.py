@@ -253,6 +253,40 @@ def test_lm_scores_match_plain_counts(spark):
         assert got[i]["score"] == pytest.approx(want, abs=1e-4) and got[i]["n_words"] == len(w)
 
 
+def plain_lm_scores(texts, target, background):
+    """{position: (target loss, background loss)} by plain counts over the whole vocabulary."""
+    size = len({w for t in target + background for w in t.split()}) + 2
+
+    def model(corpus):
+        pairs = Counter(p for t in corpus for p in zip(["<s>", *t.split()], t.split()))
+        word, context = Counter(), Counter()
+        for (a, b), c in pairs.items():
+            word[b] += c
+            context[a] += c
+        own = lambda b: (word[b] + 1) / (sum(word.values()) + size)
+        return lambda a, b: -math.log(0.7 * pairs[a, b] / context[a] + 0.3 * own(b) if context[a] else own(b))
+
+    models = model(target), model(background)
+    return {i: [sum(m(a, b) for a, b in zip(["<s>", *t.split()], t.split())) / len(t.split()) for m in models] for i, t in enumerate(texts) if t.split()}
+
+
+@pytest.mark.parametrize("hot", [10**9, 30])
+@pytest.mark.parametrize("apart", [False, True])
+def test_lm_tells_all_words_apart(spark, monkeypatch, hot, apart):
+    monkeypatch.setattr(lm_score, "HOT", hot)
+    rng = random.Random(5)
+    texts = [" ".join(["the", "of"][rng.randrange(2)] if rng.random() < 0.4 else f"w{rng.randrange(3000)}" for _ in range(rng.randrange(0, 120))) for _ in range(120)]
+    assert len({w for t in texts for w in t.split()}) > 1024
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    background = df.where("doc_id >= 60") if apart else df
+    want = plain_lm_scores(texts, texts[:15], texts[60:] if apart else texts)
+    rows = lm_score.score_texts(df.repartition(3), df.where("doc_id < 15"), background).collect() if apart else lm_score.score_texts(df, df.where("doc_id < 15"), df).collect()
+    got = {r["doc_id"]: [r["target_loss"], r["background_loss"]] for r in rows if r["n_words"]}
+    assert len(rows) == len(texts) and got.keys() == want.keys()
+    for i in want:
+        assert got[i] == pytest.approx(want[i], abs=1e-6)
+
+
 def test_lm_cases(spark):
     got = lm_score.score_texts(cases(spark), cases(spark).where("doc_id = 1"), cases(spark))
     assert got.count() == 10 and got.where("score IS NULL").count() == 3

@@ -22,10 +22,10 @@ from gleanworks.session import table
 #: Fixed rules: (rule, verdict).
 RULES = (("com/", "allow"), ("example.com/en/", "block"), ("www.example.com/en/", "allow"), ("net/es/", "block"), ("net/fr/", "block"))
 
-#: One hit of these blocks.
-STRICT = ("bestiality", "bukkake", "camgirl", "camgirls", "deepfakeporn", "escortservice", "hardcore", "hentai", "milf", "nsfw", "porn", "porno", "pornhub", "pornography", "sexcam", "sexcams", "sexshop", "xnxx", "xvideos", "xxx")
-#: SOFT_LIMIT different ones of these block.
-SOFT = ("adult", "babes", "bet", "betting", "casino", "cam", "cams", "crack", "dating", "erotic", "escort", "escorts", "fetish", "gambling", "girls", "hot", "jackpot", "keygen", "nude", "nudes", "pills", "poker", "sex", "sexy", "slots", "strip", "teen", "torrent", "viagra", "warez", "webcam")
+#: One hit of these blocks: adult, gambling, pharmacy and ad fraud terms of one meaning.
+STRICT = ("adclick", "adserver", "adservers", "adultdating", "adultsex", "adultvideo", "adultvideos", "bangbros", "bestiality", "blowjob", "blowjobs", "brazzers", "bukkake", "callgirl", "callgirls", "camgirl", "camgirls", "camsex", "cialis", "clickfraud", "creampie", "cumshot", "cumshots", "deepfakeporn", "doorwaypage", "escortservice", "escortservices", "gangbang", "gangbangs", "hardcore", "hentai", "kamagra", "keygen", "keygens", "levitra", "linkfarm", "linkfarms", "livesex", "milf", "milfs", "nsfw", "onlinebetting", "onlinecasino", "onlinecasinos", "onlinegambling", "onlinepharmacy", "onlinepoker", "onlyfansleak", "onlyfansleaks", "phonesex", "popunder", "popunders", "porn", "pornhub", "porno", "pornographic", "pornography", "pornos", "porns", "pornstar", "pornstars", "redtube", "sexcam", "sexcams", "sexchat", "sexdating", "sexshop", "sextape", "sextapes", "sextoy", "sextoys", "sexvideo", "sexvideos", "sildenafil", "spamdexing", "sportsbetting", "sportsbook", "sportsbooks", "tadalafil", "upskirt", "upskirts", "viagra", "warez", "xhamster", "xnxx", "xvideos", "xxx", "youporn")
+#: SOFT_LIMIT different ones of these block: terms that also have a harmless meaning, inflected forms, and bait words.
+SOFT = ("ads", "adult", "adults", "advert", "adverts", "affiliate", "affiliates", "ambien", "babe", "babes", "baccarat", "banner", "banners", "bet", "bets", "betting", "bettor", "bettors", "bingo", "blackjack", "bonus", "bonuses", "bookie", "bookies", "bookmaker", "bookmakers", "cam", "cams", "casino", "casinos", "cheap", "cheapest", "clickbait", "crack", "cracked", "cracks", "dating", "discount", "discounts", "erotic", "erotica", "escort", "escorts", "fetish", "fetishes", "free", "freebie", "freebies", "gamble", "gambler", "gamblers", "gambling", "girls", "hot", "jackpot", "jackpots", "kink", "kinky", "lesbians", "lingerie", "lotteries", "lottery", "lotto", "meds", "naked", "nude", "nudes", "nudist", "nudity", "opioid", "pharma", "pharmacies", "pharmacy", "phentermine", "pill", "pills", "poker", "popup", "popups", "prize", "prizes", "roulette", "serialz", "sex", "sexual", "sexy", "slot", "slots", "spam", "spammer", "spammers", "spammy", "sponsored", "steroid", "steroids", "strip", "stripper", "strippers", "striptease", "swinger", "swingers", "tablets", "teen", "teens", "torrent", "torrents", "track", "tracker", "trackers", "tracking", "tramadol", "valium", "wager", "wagering", "wagers", "webcam", "webcams", "win", "winner", "winners", "winning", "xanax")
 SOFT_LIMIT = 2
 #: What the SQL form needs: a term between boundaries.
 BOUNDED = "(^|[^a-z0-9]){}([^a-z0-9]|$)"

@@ -220,6 +220,14 @@ def test_urls(spark):
     assert url_filter.judge(df.where("page_id < 0")).count() == 0
 
 
+def test_terms_block_urls_without_a_rule(spark):
+    blocked = ["http://a.org/roulette-bonus", "http://lotto-prizes.org/", "http://bookmakers.a.org/wagers", "http://a.org/xanax/discount", "http://sildenafil.org", "http://a.org/popups-ads", "http://strippers.org/naked"]
+    allowed = ["http://a.org/adult-education", "http://a.org/free/software", "http://a.org/track/7", "http://a.org/pharmacy", "http://a.org/alphabets", "http://winners.a.org/"]
+    df = spark.createDataFrame([(u,) for u in blocked + allowed], "url string")
+    got = {r["url"]: (r["rule"], r["verdict"]) for r in url_filter.judge(df).collect()}
+    assert got == {u: (None, "block") for u in blocked} | {u: (None, "allow") for u in allowed}
+
+
 # 5 language models
 
 

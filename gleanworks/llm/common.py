@@ -3,7 +3,11 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -49,3 +53,40 @@ def ranked(df: DataFrame, keys: list[str], order: list[str], n_rows: int, rank:
 
 def text_or_empty(c: str | Column = "text") -> Column:
     return F.coalesce(F.col(c) if isinstance(c, str) else c, F.lit(""))
+
+
+def groups(sizes: list[int], most: int) -> Iterator[slice]:
+    """Slices of consecutive rows of `most` bytes or one row."""
+    start, held = 0, 0
+    for i, n in enumerate(sizes):
+        if i > start and held + n > most:
+            yield slice(start, i)
+            start, held = i, 0
+        held += n
+    if start < len(sizes):
+        yield slice(start, len(sizes))
+
+
+def text_groups(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+    """(rows, their texts as UTF-8) of batches with a column `text`, in groups of `most` bytes or one row; null texts are empty.
+
+    Texts are taken from Arrow's memory a group at a time, never a whole batch as Python objects."""
+    for batch in batches:
+        texts = batch.column("text")
+        sizes = pc.fill_null(pc.binary_length(texts), 0).to_pylist()
+        for part in groups(sizes, most):
+            own = texts.slice(part.start, part.stop - part.start)
+            yield batch.slice(part.start, part.stop - part.start), [t or b"" for t in own.cast(pa.large_binary()).to_pylist()]
+
+
+def joined_bytes(column: pa.ChunkedArray, dtype) -> np.ndarray:
+    """The values of a binary column as one array of numbers, straight from Arrow's buffers."""
+    parts = []
+    for chunk in column.chunks:
+        if len(chunk):
+            ends = np.frombuffer(chunk.buffers()[1], np.int64 if pa.types.is_large_binary(chunk.type) else np.int32)
+            data, first, last = chunk.buffers()[2], ends[chunk.offset], ends[chunk.offset + len(chunk)]
+            if last > first:
+                parts.append(np.frombuffer(data, np.uint8)[first:last])
+    whole = np.concatenate(parts) if parts else np.zeros(0, np.uint8)
+    return whole.view(dtype)

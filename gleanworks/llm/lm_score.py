@@ -29,8 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gleanworks.llm.common import durable
-from gleanworks.llm.media import groups
+from gleanworks.llm.common import durable, groups
 from gleanworks.llm.shingles import GROUP_BYTES, mixed, word_hashes
 from gleanworks.session import table
 

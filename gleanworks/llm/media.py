@@ -19,6 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gleanworks.llm.common import groups
 from gleanworks.llm.flac import BLOCK, decode_streams, encode_streams
 from gleanworks.session import table
 
@@ -29,24 +30,12 @@ def padded(data: bytes) -> bytes:
     return data + b"\xff" * (-len(data) % BLOCK if data else BLOCK)
 
 
-def groups(sizes: list[int], most: int = GROUP_BYTES):
-    """Slices of consecutive rows of `most` bytes or one row."""
-    start, held = 0, 0
-    for i, n in enumerate(sizes):
-        if i > start and held + n > most:
-            yield slice(start, i)
-            start, held = i, 0
-        held += n
-    if start < len(sizes):
-        yield slice(start, len(sizes))
-
-
 def encode_media(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lpc_order: int = 2) -> DataFrame:
     """(id, n_bytes, media): each text as a FLAC stream."""
 
     def encode(frames):
         for pdf in frames:
-            for part in groups([len(t or "") for t in pdf["text"]]):
+            for part in groups([len(t or "") for t in pdf["text"]], GROUP_BYTES):
                 data = [(t or "").encode() for t in pdf["text"].iloc[part]]
                 media = encode_streams([padded(d) for d in data], lpc_order)
                 yield pd.DataFrame({"id": pdf["id"].iloc[part], "n_bytes": [len(d) for d in data], "media": media})
@@ -57,7 +46,7 @@ def encode_media(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def _decoded(frames):
     for pdf in frames:
-        for part in groups([len(m) for m in pdf["media"]]):
+        for part in groups([len(m) for m in pdf["media"]], GROUP_BYTES):
             own = pdf.iloc[part]
             yield own.assign(payload=decode_streams(list(own["media"])))
 
@@ -73,7 +62,7 @@ def pcm_blocks(media: DataFrame, blocks_a_row: int = 64) -> DataFrame:
     def cut(frames):
         step = blocks_a_row * BLOCK
         for pdf in frames:
-            for part in groups([len(m) for m in pdf["media"]]):
+            for part in groups([len(m) for m in pdf["media"]], GROUP_BYTES):
                 own = pdf.iloc[part]
                 for i, payload in zip(own["id"], decode_streams(list(own["media"]))):
                     pcm = (np.frombuffer(payload, np.uint8) ^ 0x80).tobytes()

@@ -9,36 +9,41 @@
    with the most copied entity of its agreeing group, exactly. That joins large groups by a link each.
 5. Every other possible pair shares one of its (shared - 0.75 n + 1) rarest shingles. Entities
    meet in tiles of (size band, such a shingle) unless all of a tile are in one component already;
-   large tiles are cut into pairs of blocks. In a tile, hashed bitmaps whose width follows the band
-   bound the overlap from above; the pairs that are left are compared exactly, by their sorted
-   arrays of shared hashes.
+   large tiles are cut into pairs of blocks by bytes. Tiles are dealt to parts by hash; an entity's
+   bitmaps go to a part once, whatever the number of its tiles there. In a tile, hashed bitmaps
+   whose width follows the band bound the overlap from above; the pairs that are left are compared
+   exactly, by their sorted arrays of shared hashes.
 
 All filters are exact bounds: no pair is lost at any frequency or group size. Hashes have 64 bits
 (48 and the bucket's from step 2 on), so sets are compared up to collisions.
 
 Nulls and texts without words: an empty set, linked with nothing. Texts shorter than five words:
 one shingle, the whole sequence. Repeated rows: as other copies; a null id takes no part in
-the naming of a component. Empty input: an empty result. Extra columns are ignored.
+the naming of a component. Empty input: an empty result. Extra columns are ignored by near_groups
+and kept by one_of_each, whatever their names.
 """
 
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gleanworks.llm.common import durable
+from gleanworks.llm.common import durable, joined_bytes, text_groups
 from gleanworks.llm.components import components
-from gleanworks.llm.media import groups
 from gleanworks.llm.shingles import GROUP_BYTES, mixed, set_key, shingle_sets
 from gleanworks.session import table
 
 #: Two sets link when PART * |both| >= SHARE * |either|.
 SHARE, PART = 75, 100
-BUCKET_BYTES, LEAST_BUCKETS = 6_000_000, 48
-FLUSH = 750_000
-BLOCK_ROWS = 2000
+BUCKET_BYTES, LEAST_BUCKETS = 4_000_000, 48
+FLUSH = 500_000
+#: Bytes of bitmaps in a block of a tile, and in what one task compares at once.
+BLOCK_BYTES, PART_BYTES = 500_000, 8_000_000
+TILE_ROW = 40
+BUCKETS_A_TASK = 4
 SEEDS = (0, 0x5851F42D4C957F2D, 0x14057B7EF767814F)
 
 
@@ -66,22 +71,17 @@ def bitmap(s: np.ndarray, band: int) -> bytes:
     return np.packbits(bits).tobytes()
 
 
-def _sets(frames, k):
-    for pdf in frames:
-        for part in groups([len(t or "") for t in pdf["text"]], GROUP_BYTES):
-            data = [(t or "").encode("utf-8", "surrogatepass") for t in pdf["text"].iloc[part]]
-            yield pdf["doc_id"].iloc[part], shingle_sets(data, k)
-
-
 def memberships(docs: DataFrame, k: int = 5) -> DataFrame:
-    """(doc_id, n_shingles, entity) of each row; entity is null for an empty set."""
+    """(doc_id, text_hash, n_shingles, entity) of docs(doc_id, text_hash, text); entity is null for an empty set."""
 
-    def rows(frames):
-        for ids, sets in _sets(frames, k):
-            keys = pd.array([set_key(s) if len(s) else None for s in sets], dtype="Int64")
-            yield pd.DataFrame({"doc_id": ids.to_numpy(), "n_shingles": [len(s) for s in sets], "entity": keys})
+    def rows(batches):
+        for own, texts in text_groups(batches, GROUP_BYTES):
+            sets = shingle_sets(texts, k)
+            keys = pa.array([set_key(s) if len(s) else None for s in sets], pa.int64())
+            sizes = pa.array([len(s) for s in sets], pa.int64())
+            yield pa.RecordBatch.from_arrays([own["doc_id"], own["text_hash"], sizes, keys], ["doc_id", "text_hash", "n_shingles", "entity"])
 
-    return docs.mapInPandas(rows, "doc_id long, n_shingles long, entity long")
+    return docs.mapInArrow(rows, "doc_id long, text_hash long, n_shingles long, entity long")
 
 
 def _runs(sorted_values: np.ndarray) -> np.ndarray:
@@ -89,7 +89,7 @@ def _runs(sorted_values: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.concatenate([[True], sorted_values[1:] != sorted_values[:-1]])) if len(sorted_values) else np.zeros(0, np.int64)
 
 
-def _dealt(target: np.ndarray, entity: np.ndarray, size: np.ndarray, columns: dict[str, np.ndarray]) -> pd.DataFrame:
+def _dealt(target: np.ndarray, entity: np.ndarray, size: np.ndarray, columns: dict[str, np.ndarray]) -> pa.RecordBatch:
     """A row for each target: its entities, their sizes and counts, and columns in order of entity; all in bytes."""
     order = np.lexsort((entity, target))
     target, entity, size = target[order], entity[order], size[order]
@@ -99,12 +99,13 @@ def _dealt(target: np.ndarray, entity: np.ndarray, size: np.ndarray, columns: di
         first = _runs(entity[a:b]) + a
         counts = np.diff(np.append(first, b)).astype(np.uint32)
         rows.append((int(target[a]), entity[first].tobytes(), size[first].astype(np.uint32).tobytes(), counts.tobytes(), *(v[a:b].tobytes() for v in columns.values())))
-    return pd.DataFrame(rows, columns=["target", "entities", "sizes", "counts", *columns])
+    names = ["target", "entities", "sizes", "counts", *columns]
+    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.binary() if i else pa.int64()) for i in range(len(names))], names)
 
 
-def _gathered(pdf: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+def _gathered(t: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     """(entity, size) of each entry of the rows that _dealt made."""
-    entity, size, counts = (np.frombuffer(b"".join(pdf[c]), t) for c, t in (("entities", np.int64), ("sizes", np.uint32), ("counts", np.uint32)))
+    entity, size, counts = (joined_bytes(t[c], d) for c, d in (("entities", np.int64), ("sizes", np.uint32), ("counts", np.uint32)))
     return np.repeat(entity, counts), np.repeat(size, counts)
 
 
@@ -115,19 +116,20 @@ def shared_sets(docs: DataFrame, k: int = 5) -> DataFrame:
     size = docs.agg(F.sum(F.octet_length("text")).alias("b")).first()["b"] or 0
     buckets = max(LEAST_BUCKETS, -(-size // BUCKET_BYTES))
 
-    def deal(frames):
+    def deal(batches):
         seen, held, total = set(), [], 0
 
         def flush():
             h = np.concatenate([s for _, s in held])
-            n = np.array([len(s) for _, s in held])
+            n = np.array([len(s) for _, s in held], np.uint32)
             entity = np.repeat(np.array([e for e, _ in held], np.int64), n)
+            held.clear()
             bucket = ((h >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
             low = np.ascontiguousarray(h.view(np.uint8).reshape(-1, 8)[:, :6])
             return _dealt(bucket.astype(np.int64), entity, np.repeat(n, n), {"data": low})
 
-        for _, sets in _sets(frames, k):
-            for s in sets:
+        for _, texts in text_groups(batches, GROUP_BYTES):
+            for s in shingle_sets(texts, k):
                 if len(s) and (e := set_key(s)) not in seen:
                     if len(seen) < 1_000_000:  # beyond, copies are only found later
                         seen.add(e)
@@ -135,30 +137,29 @@ def shared_sets(docs: DataFrame, k: int = 5) -> DataFrame:
                     total += len(s)
             if total >= FLUSH:
                 yield flush()
-                held, total = [], 0
+                total = 0
         if held:
             yield flush()
 
-    def find(pdf):
-        entity, n = _gathered(pdf)
+    def find(t):
+        entity, n = _gathered(t)
         low = np.zeros((len(entity), 8), np.uint8)
-        low[:, :6] = np.frombuffer(b"".join(pdf["data"]), np.uint8).reshape(-1, 6)
-        h = low.view(np.uint64)[:, 0] | (np.uint64(pdf["target"].iloc[0] & 0xFFFF) << np.uint64(48))
+        low[:, :6] = joined_bytes(t["data"], np.uint8).reshape(-1, 6)
+        h = low.view(np.uint64)[:, 0] | (np.uint64(t["target"][0].as_py() & 0xFFFF) << np.uint64(48))
         order = np.lexsort((entity, h))
         h, entity, n = h[order], entity[order], n[order]
         once = np.concatenate([[True], (h[1:] != h[:-1]) | (entity[1:] != entity[:-1])])
         h, entity, n = h[once], entity[once], n[once]
-        held = np.diff(np.append(starts := _runs(h), len(h)))
+        held = np.diff(np.append(_runs(h), len(h)))
         held = np.repeat(held, held)
         shared = held > 1
         h, entity, n, held = h[shared], entity[shared], n[shared], np.minimum(held[shared], 65535).astype(np.uint16)
-        del starts
         target = (mixed(entity.view(np.uint64)) % np.uint64(buckets)).astype(np.int64)
-        return _dealt(target, entity, n, {"data": h, "held": held})
+        return pa.Table.from_batches([_dealt(target, entity, n, {"data": h, "held": held})])
 
-    def keep(pdf):
-        entity, n = _gathered(pdf)
-        h, held = np.frombuffer(b"".join(pdf["data"]), np.uint64), np.frombuffer(b"".join(pdf["held"]), np.uint16)
+    def keep(t):
+        entity, n = _gathered(t)
+        h, held = joined_bytes(t["data"], np.uint64), joined_bytes(t["held"], np.uint16)
         order = np.lexsort((h, held, entity))
         entity, n, h = entity[order], n[order].astype(np.int64), h[order]
         held = held[order]
@@ -170,11 +171,15 @@ def shared_sets(docs: DataFrame, k: int = 5) -> DataFrame:
             band = int(np.searchsorted(EDGES, size, side="right")) - 1
             firsts = [int(mixed(own ^ np.uint64(s)).min().view(np.int64)) for s in SEEDS]
             rows.append((int(entity[a]), size, int(held[a:b].sum(dtype=np.int64)) * 1000 // size, np.sort(own).view(np.int64), own[: spare + 1].view(np.int64), firsts, band, bitmap(own, band), bitmap(own, band + 1)))
-        return pd.DataFrame(rows, columns=["entity", "n", "weight", "hashes", "prefix", "firsts", "band", "map0", "map1"])
-
-    dealt = docs.mapInPandas(deal, "target long, entities binary, sizes binary, counts binary, data binary")
-    found = dealt.groupBy("target").applyInPandas(find, "target long, entities binary, sizes binary, counts binary, data binary, held binary")
-    return found.groupBy("target").applyInPandas(
+        long, longs = pa.int64(), pa.list_(pa.int64())
+        kinds = [long, long, long, longs, longs, longs, pa.int32(), pa.binary(), pa.binary()]
+        return pa.table([pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)], ["entity", "n", "weight", "hashes", "prefix", "firsts", "band", "map0", "map1"])
+
+    dealt = docs.mapInArrow(deal, "target long, entities binary, sizes binary, counts binary, data binary")
+    # As many partitions as the data asks for: a task's share does not grow with them.
+    by_bucket = lambda df: df.repartition(max(1, buckets // BUCKETS_A_TASK), "target").groupBy("target")
+    found = by_bucket(dealt).applyInArrow(find, "target long, entities binary, sizes binary, counts binary, data binary, held binary")
+    return by_bucket(found).applyInArrow(
         keep, "entity long, n long, weight long, hashes array<long>, prefix array<long>, firsts array<long>, band int, map0 binary, map1 binary"
     )
 
@@ -193,46 +198,56 @@ def tile_pairs(sets: DataFrame, component: DataFrame) -> DataFrame:
     """(u, v): pairs of different components that share a tile and pass the bounds."""
     known = sets.join(component.withColumnRenamed("node", "entity"), "entity", "left")
     known = known.select("entity", "n", "band", "prefix", F.size("hashes").alias("c"), "map0", "map1", F.coalesce("component", "entity").alias("component"))
-    spots = known.select("entity", "component", F.explode(F.array(F.col("band"), F.col("band") + 1)).alias("tile"), "prefix")
-    spots = spots.select("entity", "component", "tile", F.explode("prefix").alias("h"))
+    spots = known.select("entity", "component", F.explode(F.array(F.col("band"), F.col("band") + 1)).alias("tile"), "prefix", F.octet_length("map1").cast("long").alias("bytes"))
+    spots = spots.select("entity", "component", "tile", F.explode("prefix").alias("h"), "bytes")
     mixed_tiles = (
         spots.groupBy("tile", "h")
-        .agg(F.min("component").alias("a"), F.max("component").alias("b"), F.count("*").alias("rows"))
+        .agg(F.min("component").alias("a"), F.max("component").alias("b"), F.sum(F.col("bytes") + TILE_ROW).alias("bytes"))
         .where("a <> b")
-        .select("tile", "h", F.ceil(F.col("rows") / BLOCK_ROWS).cast("int").alias("blocks"))
+        .select("tile", "h", F.ceil(F.col("bytes") / BLOCK_BYTES).cast("int").alias("blocks"))
     )
     own = F.pmod(F.xxhash64("entity"), F.col("blocks")).cast("int")
-    met = spots.select("entity", "tile", "h").join(mixed_tiles, ["tile", "h"]).withColumn("own", own)
+    met = spots.join(mixed_tiles, ["tile", "h"]).withColumn("own", own)
     met = met.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    met = met.select("entity", "tile", "h", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+    met = durable(met.select("entity", "tile", "h", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "bytes"))
+    # An upper bound: as if an entity's bitmaps went along with each of its tiles.
+    total = met.agg(F.sum(2 * F.col("bytes") + TILE_ROW).alias("b")).first()["b"] or 0
+    parts = -(-total // PART_BYTES) or 1
+    met = met.withColumn("part", F.pmod(F.xxhash64("tile", "h", "i", "j"), F.lit(parts)).cast("int"))
+    packed = met.groupBy("part", "entity").agg(F.collect_list(F.struct("tile", "h", "i", "j", "own")).alias("spots"))
     facts = known.select("entity", "n", "c", "band", "component", "map0", "map1")
-    met = met.join(facts, "entity").withColumn("bits", F.when(F.col("band") == F.col("tile"), F.col("map0")).otherwise(F.col("map1"))).drop("map0", "map1")
-    met = met.repartition("tile", "h", "i", "j").sortWithinPartitions("tile", "h", "i", "j", "entity")
-
-    def compare(frames):
-        rest = None
-        for pdf in frames:
-            pdf = pdf if rest is None else pd.concat([rest, pdf])
-            keys = pdf[["tile", "h", "i", "j"]].to_numpy()
-            starts = np.flatnonzero(np.concatenate([[True], (keys[1:] != keys[:-1]).any(1)]))
-            for a, b in zip(starts[:-1], starts[1:]):
-                yield from _tile(pdf.iloc[a:b])
-            rest = pdf.iloc[starts[-1] :]
-        if rest is not None:
-            yield from _tile(rest)
-
-    return met.mapInPandas(compare, "u long, v long").distinct()
+    rows = packed.join(facts, "entity").repartition(parts, "part").groupBy("part")
+    return rows.applyInArrow(_part_pairs, "u long, v long").distinct()
+
+
+def _part_pairs(t: pa.Table) -> pa.Table:
+    """(u, v) of the tiles of one part, whose rows are its entities with their bitmaps and their spots in tiles."""
+    t = t.combine_chunks()
+    held = t["spots"].combine_chunks() if isinstance(t["spots"], pa.ChunkedArray) else t["spots"]
+    held = held.chunk(0) if isinstance(held, pa.ChunkedArray) else held
+    row = np.repeat(np.arange(len(t)), pc.list_value_length(held).to_numpy())
+    tile, h, i, j, own = held.flatten().flatten()
+    tile, h, i, j, own = (x.to_numpy() for x in (tile, h, i, j, own))
+    entity, n, c, comp, band = (t[x].to_numpy() for x in ("entity", "n", "c", "component", "band"))
+    maps = [t[x].to_pylist() for x in ("map0", "map1")]
+    order = np.lexsort((entity[row], j, i, h, tile))
+    row, tile, h, i, j, own = (x[order] for x in (row, tile, h, i, j, own))
+    new = (tile[1:] != tile[:-1]) | (h[1:] != h[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])
+    ends = np.concatenate([[0], np.flatnonzero(new) + 1, [len(row)]])
+    us, vs = [], []
+    for a, b in zip(ends[:-1], ends[1:]):
+        if b - a > 1:
+            r = row[a:b]
+            bits = np.frombuffer(b"".join(maps[int(band[x] != tile[a])][x] for x in r), np.uint64).reshape(b - a, -1)
+            for u, v in _tile(tile[a], i[a] != j[a], entity[r], n[r], c[r], comp[r], own[a:b], band[r], bits):
+                us.append(np.minimum(u, v))
+                vs.append(np.maximum(u, v))
+    return pa.table([pa.array(np.concatenate(x) if x else [], pa.int64()) for x in (us, vs)], ["u", "v"])
 
 
-def _tile(pdf: pd.DataFrame):
+def _tile(tile, cut, entity, n, c, comp, own, band, maps):
     """The pairs of one tile that may link: different components, sizes and bitmaps within the bounds."""
-    if len(pdf) < 2:
-        return
-    entity, n, c, comp, own, band = (pdf[x].to_numpy() for x in ("entity", "n", "c", "component", "own", "band"))
-    maps = np.frombuffer(b"".join(pdf["bits"]), np.uint64).reshape(len(pdf), -1)
-    tile, cut = pdf["tile"].iloc[0], pdf["i"].iloc[0] != pdf["j"].iloc[0]
-    found = []
-    for x in range(len(pdf) - 1):
+    for x in range(len(entity) - 1):
         y = slice(x + 1, None)
         ok = (comp[y] != comp[x]) & ((band[y] == tile) | (band[x] == tile))
         ok &= (PART * np.minimum(n[y], n[x]) >= SHARE * np.maximum(n[y], n[x])) & ((own[y] != own[x]) | (not cut))
@@ -242,15 +257,13 @@ def _tile(pdf: pd.DataFrame):
             most = (c[y] + c[x] - apart) // 2
             y = y[PART * most >= SHARE * (n[y] + n[x] - most)]
             if y.size:
-                found.append((np.full(y.size, entity[x]), entity[y]))
-    if found:
-        u, v = (np.concatenate(z) for z in zip(*found))
-        yield pd.DataFrame({"u": np.minimum(u, v), "v": np.maximum(u, v)})
+                yield np.full(y.size, entity[x]), entity[y]
 
 
-def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5) -> DataFrame:
-    """(doc_id, n_shingles, component_id): component_id is the least id reachable by links."""
-    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+def grouped(docs: DataFrame, k: int = 5) -> DataFrame:
+    """(doc_id, text_hash, n_shingles, entity, group, component_id) of docs(doc_id, text_hash, text).
+
+    group: an entity of the component; component_id: its least doc_id; both null for an empty set."""
     members = durable(memberships(docs, k))
     sets = durable(shared_sets(docs, k))
     spots = sets.select("entity", "weight", F.posexplode("firsts").alias("seed", "first"))
@@ -260,20 +273,41 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     more_links = linked(tile_pairs(sets, components(first_links)), sets)
     comps = components(first_links.unionByName(more_links)).withColumnRenamed("node", "entity")
     named = members.where("entity IS NOT NULL").groupBy("entity").agg(F.min("doc_id").alias("least"))
-    named = durable(named.join(comps, "entity", "left").withColumn("component", F.coalesce("component", "entity")))
-    least = named.groupBy("component").agg(F.min("least").alias("component_id"))
-    named = named.join(least, "component").select("entity", "component_id")
-    return members.join(named, "entity", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    named = durable(named.join(comps, "entity", "left").withColumn("group", F.coalesce("component", "entity")))
+    least = named.groupBy("group").agg(F.min("least").alias("component_id"))
+    named = named.join(least, "group").select("entity", "group", "component_id")
+    return members.join(named, "entity", "left")
 
 
-def one_of_each(docs: DataFrame) -> DataFrame:
-    """docs(doc_id, text, ...) with one document of each group of near copies: that of the least id.
+def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    text = F.col(text_col).cast("string")
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
 
-    Rows without an id are all kept; of rows with one id, one is."""
-    groups_ = near_groups(docs)
-    kept = groups_.where("doc_id = component_id").select("doc_id").distinct()
-    named = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
-    return named.unionByName(docs.where("doc_id IS NULL"))
+
+def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5) -> DataFrame:
+    """(doc_id, n_shingles, component_id): component_id is the least id reachable by links."""
+    out = grouped(_keyed(docs, id_col, text_col), k)
+    return out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """docs with one row of each group of near copies: that of the least id, and of those the least text hash.
+
+    Rows are chosen by narrow keys (id, text hash); a null id comes last. Rows without words all
+    stay. Of rows that agree in id and text, the one of the least hash of all columns stays."""
+    rows = grouped(_keyed(docs, id_col, text_col))
+    key = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
+    kept = rows.where("entity IS NOT NULL").groupBy("group").agg(F.min(key).alias("key")).select("key.doc_id", "key.text_hash")
+    mark = lambda doc, text: F.struct(F.coalesce(doc.cast("string"), F.lit("null")), text)
+    kept = kept.select(mark(F.col("doc_id"), F.col("text_hash")).alias("_mark"))
+    blank = rows.where("entity IS NULL").select(mark(F.col("doc_id"), F.col("text_hash")).alias("_mark"), F.lit(True).alias("_blank")).distinct()
+    chosen = kept.withColumn("_blank", F.lit(False)).unionByName(blank)
+    # The caller's columns go along in a struct, so that none of their names can clash.
+    own = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
+    text = F.col(text_col).cast("string")
+    held = docs.select(own.alias("_row"), mark(F.col(id_col).cast("long"), F.xxhash64(text)).alias("_mark")).join(chosen, "_mark")
+    nth = F.row_number().over(Window.partitionBy("_mark").orderBy(F.xxhash64("_row")))
+    return held.withColumn("_nth", nth).where("_blank OR _nth = 1").select("_row.*")
 
 
 def op3_ngram_join(spark, sf_dir):

@@ -22,8 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gleanworks.llm.common import durable, literal_table, ranked
-from gleanworks.llm.media import groups
+from gleanworks.llm.common import durable, groups, literal_table, ranked
 from gleanworks.llm.tokens import encoder
 from gleanworks.session import table
 

@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gleanworks.llm.media import groups
+from gleanworks.llm.common import groups
 from gleanworks.session import table
 
 RANKS = "byte_bpe_50k.tiktoken"

@@ -169,7 +169,8 @@ def test_near_groups_match_all_pairs(spark, seed):
 
 
 def test_near_groups_with_cut_tiles(spark, monkeypatch):
-    monkeypatch.setattr(ngram_join, "BLOCK_ROWS", 7)
+    monkeypatch.setattr(ngram_join, "BLOCK_BYTES", 700)
+    monkeypatch.setattr(ngram_join, "PART_BYTES", 5_000)
     rows = copies(4, 120)
     got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in ngram_join.near_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got == brute.near_groups(rows)
@@ -205,6 +206,16 @@ def test_near_cases(spark):
     assert kept.columns == cases(spark).columns and sorted(r["doc_id"] for r in kept.where("doc_id IS NOT NULL").collect()) == [1, 2, 3, 4, 5, 7]
 
 
+def test_one_of_each_by_id_and_text(spark):
+    a, b, c = ("one two three four five six seven", "other words are in this text here", "a third text of seven words again")
+    rows = [(1, a, "x"), (1, b, "x"), (2, a, "x"), (3, b, "y"), (3, b, "y"), (3, b, "z"), (None, c, "x"), (None, c, "x"), (None, a, "x"), (4, None, "x"), (4, None, "x"), (None, "", "x")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, _mark string").withColumns({x: F.lit("mine") for x in ("_row", "_nth", "_blank", "group", "text_hash", "entity", "a.b")})
+    kept = ngram_join.one_of_each(df)
+    assert kept.columns == df.columns and {r["_row"] for r in kept.collect()} == {"mine"}
+    key = lambda r: (r[0] or 0, r[1] or "", r[2])
+    assert sorted(map(key, kept.collect())) == sorted(map(key, [(1, a, "x"), (1, b, "x"), (None, c, "x"), (4, None, "x"), (4, None, "x"), (None, "", "x")]))
+
+
 # 4 url filter
 
 

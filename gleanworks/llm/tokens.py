@@ -16,7 +16,7 @@ import numpy as np
 LETTERS = "a-zß-öø-ÿœ"
 UNSAFE = re.compile("[^\t\n\r -~À-ÖØ-öø-ÿŒœ–—‘’“”…«»•€¿¡]")
 PIECES = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[0-9]|[^\s{LETTERS}0-9]+")
-MOST_CACHED = 600_000
+MOST_CACHED = 150_000
 JOINED = 4_000
 _encoders: dict[str, PieceEncoder] = {}
 

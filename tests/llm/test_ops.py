@@ -89,12 +89,58 @@ def test_toxicity_learns_nothing_from_the_held_out_fold(spark):
 def test_toxicity_cases(spark):
     df = toxic_table(spark, 300)
     model = toxicity.fit(df, df)
-    rows = toxicity.scored(cases(spark).drop("score"), model).collect()
+    rows = toxicity.scored(cases(spark), model).collect()
     assert len(rows) == 10 and all(0 <= r["score"] <= 1 for r in rows)
     assert toxicity.scored(empty(spark), model).count() == 0
     blind = toxicity.fit(df, df.where("toxic = 0"))
     assert {r["score"] for r in toxicity.scored(df, blind).collect()} == {toxicity.BLIND}
-    assert toxicity.without_toxic(cases(spark), df.select("doc_id", "toxic")).columns == cases(spark).columns
+    named = cases(spark).withColumns({c: F.lit("mine") for c in ("score", "predicted", "_row", "_text", "_score", "_id", "toxic", "fold")})
+    kept = toxicity.without_toxic(named, df.select("doc_id", "toxic"))
+    assert kept.columns == named.columns and {(r["score"], r["predicted"], r["_score"]) for r in kept.collect()} == {("mine", "mine", "mine")}
+
+
+def test_toxicity_scores_recomputed_plainly(spark):
+    import zstandard as zs
+
+    df = toxic_table(spark, 300)
+    model = toxicity.fit(df, df)
+    assert model.toxic != model.ordinary and b"grumzi" in model.toxic
+    size = max(len(model.toxic), len(model.ordinary))
+    params = zs.ZstdCompressionParameters.from_level(3, min_match=5, strategy=zs.STRATEGY_DFAST, window_log=17, hash_log=15, chain_log=15, format=zs.FORMAT_ZSTD1_MAGICLESS, write_content_size=False, write_checksum=False, write_dict_id=False)
+
+    def length(own, window):
+        d = zs.ZstdCompressionDict((b"\n" * size + own)[-size:] * (size > 0) + toxicity.ANCHOR, dict_type=zs.DICT_TYPE_RAWCONTENT)
+        d.precompute_compress(compression_params=params)
+        return len(zs.ZstdCompressor(dict_data=d, compression_params=params).compress(toxicity.ANCHOR + b" " + window + b" "))
+
+    def score(text):
+        w, gaps, i = (text or "").lower().encode().split(), [], 0
+        while True:
+            part = b" ".join(w[i : i + 4])
+            gaps.append(length(model.ordinary, part) - length(model.toxic, part))
+            i += 2
+            if i > max(0, len(w) - 3):
+                break
+        h, less = [sum(g >= x for g in gaps) for x in range(1, 13)], [sum(g <= -x for g in gaps) for x in (1, 2, 3, 5)]
+        x = [math.log(1 + n) for n in h] + [math.log(1 + n) for n in less] + [min(n, 6) / 2 for n in h] + [math.log(len(gaps))]
+        return 1 / (1 + math.exp(-(model.weights[0] + sum(a * b for a, b in zip(model.weights[1:], x)))))
+
+    rows = toxicity.scored(df.where("doc_id % 12 = 0").unionByName(cases(spark).select("doc_id", "text").where("doc_id IS NULL OR doc_id <> 4").withColumn("toxic", F.lit(0))), model).collect()
+    assert len(rows) > 30 and all(abs(r["score"] - score(r["text"])) < 1e-9 for r in rows)
+
+
+def test_toxicity_windows_depend_on_the_order_of_words(spark):
+    df = toxic_table(spark, 300)
+    model, rng = toxicity.fit(df, df), random.Random(5)
+    texts = [r["text"] for r in df.where("toxic = 1").collect()]
+    changed = 0
+    for text in texts:
+        words = text.split()
+        rng.shuffle(words)
+        a, b = model.features([text.encode(), " ".join(words).encode()])
+        changed += not np.array_equal(a, b)
+    assert changed > len(texts) / 2
+    assert [toxicity.windows(b"a b c d e f g"), toxicity.windows(b""), toxicity.windows(b"x" * 40)] == [[b"a b c d", b"c d e f", b"e f g"], [b""], [b"x" * 32 + b" " + b"x" * 8]]
 
 
 # 2 packing

@@ -16,10 +16,11 @@ import zlib
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gleanworks.llm.common import groups
+from gleanworks.llm.common import groups, text_groups
 from gleanworks.llm.flac import BLOCK, decode_streams, encode_streams
 from gleanworks.session import table
 
@@ -33,15 +34,14 @@ def padded(data: bytes) -> bytes:
 def encode_media(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lpc_order: int = 2) -> DataFrame:
     """(id, n_bytes, media): each text as a FLAC stream."""
 
-    def encode(frames):
-        for pdf in frames:
-            for part in groups([len(t or "") for t in pdf["text"]], GROUP_BYTES):
-                data = [(t or "").encode() for t in pdf["text"].iloc[part]]
-                media = encode_streams([padded(d) for d in data], lpc_order)
-                yield pd.DataFrame({"id": pdf["id"].iloc[part], "n_bytes": [len(d) for d in data], "media": media})
+    def encode(batches):
+        for own, data in text_groups(batches, GROUP_BYTES):
+            media = encode_streams([padded(d) for d in data], lpc_order)
+            columns = [own["id"], pa.array([len(d) for d in data], pa.int64()), pa.array(media, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["id", "n_bytes", "media"])
 
     rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInPandas(encode, "id long, n_bytes long, media binary")
+    return rows.mapInArrow(encode, "id long, n_bytes long, media binary")
 
 
 def _decoded(frames):

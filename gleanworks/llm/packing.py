@@ -18,18 +18,18 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gleanworks.llm.common import durable, groups, literal_table, ranked
+from gleanworks.llm.common import durable, literal_table, ranked, text_groups
 from gleanworks.llm.tokens import encoder
 from gleanworks.session import table
 
 TOKENIZER = "word_bpe_49k.json"
 CONTEXT = 2048
 END_ID = 0
-GROUP_BYTES = 2 << 20
+GROUP_BYTES = 1 << 20
 RUN = "length int, first long, last long, sequence long, each long, at long"
 
 
@@ -43,21 +43,21 @@ def token_pieces(docs: DataFrame, path: str, context: int = CONTEXT, end_id: int
     """(doc_id, piece, start, length, ids_crc32[, ids]): pieces of at most context ids; ids as little-endian 32-bit numbers."""
     end = np.array([end_id], "<u4").tobytes()
 
-    def cut(frames):
+    kinds = {"doc_id": pa.int64(), "piece": pa.int32(), "start": pa.int64(), "length": pa.int64(), "ids_crc32": pa.int64()} | ({"ids": pa.binary()} if ids else {})
+
+    def cut(batches):
         encode = encoder(path).encode
-        for pdf in frames:
-            texts = [t or "" for t in pdf["text"]]
-            for part in groups([len(t) for t in texts], GROUP_BYTES):
-                rows = []
-                for doc, own in zip(pdf["doc_id"].iloc[part], encode(texts[part])):
-                    own += end
-                    for piece, a in enumerate(range(0, len(own), 4 * context)):
-                        data = own[a : a + 4 * context]
-                        rows.append((doc, piece, a // 4, len(data) // 4, zlib.crc32(data), *([data] if ids else [])))
-                yield pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32", *(["ids"] if ids else [])])
+        for own, texts in text_groups(batches, GROUP_BYTES):
+            rows = []
+            for doc, data in zip(own["doc_id"].to_pylist(), encode([t.decode(errors="replace") for t in texts])):
+                data += end
+                for piece, a in enumerate(range(0, len(data), 4 * context)):
+                    part = data[a : a + 4 * context]
+                    rows.append((doc, piece, a // 4, len(part) // 4, zlib.crc32(part), part))
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds.values())], list(kinds))
 
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + (", ids binary" if ids else "")
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInPandas(cut, schema)
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(cut, schema)
 
 
 def plan(counts: dict[int, int], context: int = CONTEXT) -> list[dict]:

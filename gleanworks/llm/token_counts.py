@@ -18,16 +18,16 @@ from __future__ import annotations
 import base64
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gleanworks.llm.common import groups
+from gleanworks.llm.common import text_groups
 from gleanworks.session import table
 
 RANKS = "byte_bpe_50k.tiktoken"
 RULES = ("first", "last", "most")
-GROUP_CHARS = 1 << 20
+GROUP_BYTES = 1 << 20
 _encodings: dict[str, tuple] = {}
 
 
@@ -83,24 +83,23 @@ def section_tokens(docs: DataFrame, path: str, rule: str = "first", id_col: str
     if rule not in RULES:
         raise ValueError(f"rule must be one of {RULES}")
 
-    def count(frames):
+    def count(batches):
         encode, size = encoding(path)
-        for pdf in frames:
-            texts = [t or "" for t in pdf["text"]]
-            for part in groups([len(t) for t in texts], GROUP_CHARS):
-                held, sections, starts, stops, counts = [], [], [], [], []
-                for doc, text in zip(pdf["doc_id"].iloc[part], texts[part]):
-                    at = line_starts(text)
-                    held += [doc] * len(at)
-                    sections.append(np.arange(len(at)))
-                    starts.append(at)
-                    stops.append(np.append(at[1:], len(text)))
-                    counts.append(allocate(*token_spans(text, encode(text), size), at, rule))
-                cat = np.concatenate
-                yield pd.DataFrame({"doc_id": held, "section": cat(sections), "start": cat(starts), "stop": cat(stops), "n_tokens": cat(counts)})
+        for own, texts in text_groups(batches, GROUP_BYTES):
+            held, sections, starts, stops, counts = [], [], [], [], []
+            for doc, data in zip(own["doc_id"].to_pylist(), texts):
+                text = data.decode(errors="replace")
+                at = line_starts(text)
+                held += [doc] * len(at)
+                sections.append(np.arange(len(at), dtype=np.int32))
+                starts.append(at)
+                stops.append(np.append(at[1:], len(text)))
+                counts.append(allocate(*token_spans(text, encode(text), size), at, rule))
+            columns = [pa.array(held, pa.int64()), *(pa.array(np.concatenate(x)) for x in (sections, starts, stops, counts))]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "section", "start", "stop", "n_tokens"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInPandas(count, "doc_id long, section int, start long, stop long, n_tokens long")
+    return rows.mapInArrow(count, "doc_id long, section int, start long, stop long, n_tokens long")
 
 
 def op7_section_tokens(spark, sf_dir):

@@ -45,6 +45,8 @@ from gleanworks.session import table
 THRESHOLD = 0.3
 SAMPLE = 2000
 PASSAGES, PASSAGE_BYTES = 2500, 1200
+#: Partitions of the sample, whose texts come from limits and so from one task each.
+PARTS = 32
 #: Words in a window, and from one window's start to the next's; longer words are cut.
 WINDOW, STEP, WORD_BYTES = 4, 2, 32
 TRAINED_BYTES, DICTIONARY_BYTES = 16_384, 8192
@@ -211,7 +213,7 @@ def sampled(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, labe
         found = texts.join(F.broadcast(picked), "_id").groupBy("_id").agg(one.alias("text")).orderBy(F.xxhash64("_id"), "_id").limit(2 * sample)
         found = found.select(F.lit(toxic).alias("toxic"), F.pmod(F.xxhash64("_id", F.lit(1)), F.lit(2)).cast("int").alias("fold"), "text")
         out = found if out is None else out.unionByName(found)
-    return durable(out)
+    return durable(out.repartition(PARTS))
 
 
 def passages(texts: DataFrame, most: int = PASSAGES) -> dict[tuple[int, int], list[bytes]]:

@@ -2,17 +2,23 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value) with value computed once a row, however often the body uses it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def softmax(z: Column) -> Column:
-    """exp(x - max) / sum over an array<double>; computed in double."""
-    top = F.array_max(z)
-    return F.transform(
-        F.transform(z, lambda x: F.exp(x - top)),
-        lambda e: e / F.aggregate(F.transform(z, lambda x: F.exp(x - top)), F.lit(0.0), lambda a, x: a + x),
-    )
+    """exp(x - max) / sum over an array<double>; computed in double, each exponential once."""
+    powers = bound(F.struct(z.alias("z"), F.array_max(z).alias("top")), lambda s: F.transform(s["z"], lambda x: F.exp(x - s["top"])))
+    total = lambda e: F.aggregate(e, F.lit(0.0), lambda a, x: a + x)
+    summed = bound(powers, lambda e: F.struct(e.alias("e"), total(e).alias("total")))
+    return bound(summed, lambda s: F.transform(s["e"], lambda x: x / s["total"]))
 
 
 def ranked_classes(p: Column) -> Column:
@@ -30,3 +36,14 @@ def group_sum(p: Column, ids: list[int]) -> Column:
     """Sum of the entries whose index is in ids."""
     kept = F.filter(p, lambda x, i: i.isin(ids))
     return F.aggregate(kept, F.lit(0.0), lambda a, x: a + x)
+
+
+def largest_difference(a: Column, b: Column) -> Column:
+    """max |a - b| over two arrays of one length; NaN where their lengths differ, null for a null array."""
+    apart = F.array_max(F.zip_with(a, b, lambda x, y: F.abs(x - y)))
+    return F.when(F.size(a) == F.size(b), apart).when(a.isNotNull() & b.isNotNull(), F.lit(float("nan")))
+
+
+def normalised(x: Column, mean: Column, spread: Column) -> Column:
+    """(x - 255 mean) / (255 spread) for each element of a flat plane."""
+    return F.transform(x, lambda v: (v - mean * 255) * (1 / (spread * 255)))

@@ -98,3 +98,33 @@ def per_keyword(need_: Column, keywords: Column, least: int = 10) -> Column:
 
 def over_fetch(need_: Column) -> Column:
     return F.floor(need_ * 1.6).cast("int") + 10
+
+
+def deficit_per_keyword(limit: Column, ratio: float, have: Column, keywords: Column, least: int = 5) -> Column:
+    """A bucket's fetch for each keyword: its share of the limit less what it has; null where nothing is missing."""
+    missing = F.greatest(F.lit(0), F.floor(limit * ratio).cast("int") - have)
+    return F.when(missing > 0, F.greatest(F.lit(least), F.ceil(F.try_divide(missing, keywords)).cast("int")))
+
+
+def taxon_limit(limit: Column, ratio: float, taxa: Column, have_before: Column, least: int = 5) -> Column:
+    """What a taxon may reach: what was there before and its share of the bucket."""
+    return have_before + F.greatest(F.lit(least), F.floor(F.try_divide(F.floor(limit * ratio), taxa)).cast("int"))
+
+
+#: Targets by difficulty.
+TARGETS = {"easy": 350, "medium": 600, "hard": 1000}
+
+
+def target_of(target: Column, difficulty: Column) -> Column:
+    """The explicit target, else the difficulty's; null without either."""
+    by = F.create_map(*(F.lit(x) for kv in TARGETS.items() for x in kv))
+    return F.coalesce(target, F.try_element_at(by, difficulty))
+
+
+def is_fish(habitat: Column) -> Column:
+    return habitat != "other"
+
+
+def class_text(name: Column, index: Column) -> Column:
+    """A class's name, else `idx` and its number."""
+    return F.coalesce(name, F.concat(F.lit("idx"), index.cast("string")))

@@ -12,7 +12,7 @@ def score_buckets(df: DataFrame, score: str, order: list[str], hits: dict[str, C
     """Buckets of n // buckets rows by ascending score (1 at least); the last takes the rest.
 
     Each row's bucket follows from its rank. Rows are ranked within ranges of the score and shifted
-    by the counts of the ranges before, so they are never sorted in one task.
+    by the counts of the ranges before, so they are never sorted in one task. Null scores come last.
     """
     n = df.count()
     size = max(n // buckets, 1)
@@ -20,10 +20,10 @@ def score_buckets(df: DataFrame, score: str, order: list[str], hits: dict[str, C
     part = F.lit(0)
     for c in sorted(set(cuts)):
         part = part + (F.col(score) > c).cast("int")
-    df = df.withColumn("_part", part)
+    df = df.withColumn("_part", F.coalesce(part, F.lit(len(cuts) + 1)) if cuts else part)
     counts = df.groupBy("_part").agg(F.count("*").alias("_n"))
     shifts = counts.select("_part", (F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).alias("_shift"))
-    own = F.row_number().over(Window.partitionBy("_part").orderBy(score, *order)) - 1
+    own = F.row_number().over(Window.partitionBy("_part").orderBy(F.col(score).asc_nulls_last(), *order)) - 1
     ranked = df.withColumn("_own", own).join(F.broadcast(shifts), "_part")
     bucket = F.least(F.floor((F.col("_own") + F.col("_shift")) / size), F.lit(buckets - 1)).cast("int")
     means = [F.avg(c.cast("double")).alias(name) for name, c in hits.items()]

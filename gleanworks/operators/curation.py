@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import random
 
 import pandas as pd
@@ -22,6 +23,15 @@ def split_table(df: DataFrame, splits: list[str]) -> DataFrame:
     return df.rollup("class").agg(*cells, F.count("*").alias("total"))
 
 
+def split_flags(df: DataFrame, targets: DataFrame, splits: list[str]) -> DataFrame:
+    """split_table's rows for every class of targets(class, target), with low (under half its target) and empty, and the grand total."""
+    counts = split_table(df, splits)
+    rows = F.broadcast(targets).join(counts, "class", "left").na.fill(0, [*splits, "total"])
+    rows = rows.withColumn("low", F.col("total") < F.col("target") * 0.5).withColumn("empty", F.col("total") == 0)
+    grand = counts.where("class IS NULL").withColumns({"target": F.lit(None).cast("long"), "low": F.lit(None).cast("boolean"), "empty": F.lit(None).cast("boolean")})
+    return rows.select("class", *splits, "total", "low", "empty").unionByName(grand.select("class", *splits, "total", "low", "empty"))
+
+
 def with_default(df: DataFrame, scores: DataFrame, keys: list[str], score: str, default: float) -> DataFrame:
     """df with its score, or the default where it has none."""
     return df.join(scores, keys, "left").withColumn(score, F.coalesce(score, F.lit(default)))
@@ -56,60 +66,66 @@ def without_conflicts(df: DataFrame, key: str, label: str) -> DataFrame:
     return df.join(bad, key, "left_anti")
 
 
-def funnel(df: DataFrame, stage: str) -> DataFrame:
-    """Counts of (raw, rejected, broken, exact, kept) by class and over all (class null). `rejected` is not in the total's raw."""
+def funnel(df: DataFrame, stage: str, names: tuple[str, ...] = ("rejected", "broken", "exact", "kept")) -> DataFrame:
+    """Counts of (raw, rejected, broken, exact, kept) by class and over all (class null); near too, where that stage is among names."""
     of = lambda s: F.count_if(F.col(stage) == s)
-    return df.rollup("class").agg(F.count("*").alias("raw"), *(of(s).alias(s) for s in ("rejected", "broken", "exact", "kept")))
+    return df.rollup("class").agg(F.count("*").alias("raw"), *(of(s).alias(s) for s in names))
+
+
+def near_stage(df: DataFrame, most: int, area: Column, name: str) -> DataFrame:
+    """(class, id, stage): `kept` for the best row of each leader group of its class, `near` for its others. df(class, id, h, ...)."""
+    groups = leader_clusters(df.select("class", "id", "h"), most)
+    best = best_copies(df.join(groups, ["class", "id"]), ["class", "leader"], area, name).select("class", "id", F.lit("kept").alias("stage"))
+    return df.select("class", "id").join(best, ["class", "id"], "left").withColumn("stage", F.coalesce("stage", F.lit("near")))
+
+
+BANDS, BAND_BITS = 4, 16
+#: The banded way serves thresholds up to this: a band then differs in at most 2 of its bits, 137 probes.
+MOST_BANDED = 11
 
 
-def hamming_pairs(df: DataFrame, most: int, words: int = 4, bits: int = 64) -> DataFrame:
-    """(a, b, distance): rows of different class whose fingerprints differ in at most `most` bits, a < b.
+def hamming_pairs(df: DataFrame, most: int) -> DataFrame:
+    """(a, b, distance): rows of different class whose 64-bit fingerprints h differ in at most `most` bits, a < b.
 
-    Exact by pigeonhole when `most` is under the number of bands. Beyond, a pair must agree in some
-    band up to most // bands bits, so each band is probed with its near values where they are few;
-    else all pairs are compared in blocks.
+    Exact. Of four bands of 16 bits, some differs in at most most // 4 bits: up to MOST_BANDED one
+    side is dealt to all band values that near, the other to its own, and they meet by an equi-join.
+    Beyond, a band's near values are a large share of all, so rows meet in pairs of blocks instead.
+    Nulls take no part. All in the JVM.
     """
-    bands = min(bits, most + 1)
-    if bits // bands >= 8:
-        width = bits // bands
-        keys = F.array(*(F.struct(F.lit(i).alias("band"), F.shiftrightunsigned("h", i * width).bitwiseAND(F.lit((1 << width) - 1)).alias("part")) for i in range(bands)))
-        spots = df.select("id", "class", "h", F.inline(keys))
-        a, b = spots.select([F.col(c).alias(f"{c}1" if c not in ("band", "part") else c) for c in spots.columns]), spots
-        met = a.join(b, ["band", "part"]).where("id1 < id AND class1 <> class")
-        pairs = met.select("id1", "id", F.bit_count(F.col("h1").bitwiseXOR(F.col("h"))).alias("distance")).distinct()
-        return pairs.where(F.col("distance") <= most).select(F.col("id1").alias("a"), F.col("id").alias("b"), "distance")
-    return _block_pairs(df, most)
-
-
-def _block_pairs(df: DataFrame, most: int, block: int = 4096) -> DataFrame:
-    import numpy as np
+    df = df.select("id", "class", "h").where("id IS NOT NULL AND class IS NOT NULL AND h IS NOT NULL")
+    met = _banded(df, most // BANDS) if most <= MOST_BANDED else _blocks(df)
+    pairs = met.where("id1 < id AND class1 <> class").select("id1", "id", F.bit_count(F.col("h1").bitwiseXOR(F.col("h"))).alias("distance"))
+    pairs = pairs.where(F.col("distance") <= most)
+    pairs = pairs.distinct() if most <= MOST_BANDED else pairs
+    return pairs.select(F.col("id1").alias("a"), F.col("id").alias("b"), "distance")
+
+
+def _named(df: DataFrame) -> DataFrame:
+    return df.withColumnsRenamed({c: f"{c}1" for c in ("id", "class", "h")})
+
+
+def _banded(df: DataFrame, radius: int) -> DataFrame:
+    near = [sum(1 << i for i in bits) for n in range(radius + 1) for bits in itertools.combinations(range(BAND_BITS), n)]
+    part = lambda i: F.shiftrightunsigned("h", i * BAND_BITS).bitwiseAND(F.lit((1 << BAND_BITS) - 1)).cast("int")
+    spots = df.select("id", "class", "h", F.inline(F.array(*(F.struct(F.lit(i).alias("band"), part(i).alias("part")) for i in range(BANDS)))))
+    probes = _named(spots).withColumn("probe", F.explode(F.array(*map(F.lit, near)))).withColumn("part", F.col("part").bitwiseXOR(F.col("probe"))).drop("probe")
+    return probes.join(spots, ["band", "part"])
+
 
+def _blocks(df: DataFrame, block: int = 4096) -> DataFrame:
+    """All pairs by blocks of rows: a row goes to each block pair that its own block is of, as left or as right."""
     n = -(-df.count() // block) or 1
-    cut = df.withColumn("own", F.pmod(F.xxhash64("id"), F.lit(n)).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
-    met = cut.select("id", "class", "h", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
-
-    def compare(pdf):
-        i, j = pdf["i"].iloc[0], pdf["j"].iloc[0]
-        left, right = pdf[pdf["own"] == i], pdf[pdf["own"] == j]
-        kinds = {k: n for n, k in enumerate(pd.unique(pdf["class"]))}
-        lc, rc = left["class"].map(kinds).to_numpy(), right["class"].map(kinds).to_numpy()
-        lh, rh = left["h"].to_numpy("int64").view("uint64"), right["h"].to_numpy("int64").view("uint64")
-        li, ri = left["id"].to_numpy(), right["id"].to_numpy()
-        out = []
-        for x in range(len(left)):
-            d = np.bitwise_count(rh ^ lh[x])
-            y = np.flatnonzero((d <= most) & (rc != lc[x]) & ((ri > li[x]) if i == j else True))
-            out += [(min(li[x], ri[k]), max(li[x], ri[k]), int(d[k])) for k in y]
-        return pd.DataFrame(out, columns=["a", "b", "distance"])
-
-    return met.groupBy("i", "j").applyInPandas(compare, "a long, b long, distance int")
+    cut = df.withColumn("own", F.pmod(F.xxhash64("id"), F.lit(n)).cast("int"))
+    left = _named(cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(n - 1)))).withColumnsRenamed({"own": "i", "other": "j"}))
+    right = cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(n - 1)))).withColumnsRenamed({"own": "j", "other": "i"})
+    return left.join(right, ["i", "j"])
 
 
 def leader_clusters(df: DataFrame, most: int) -> DataFrame:
     """(class, id, leader): in order of id a row joins the first leader within `most` bits, else leads.
 
-    Sequential by definition, so a class is one task; for classes beyond a worker use components of
-    hamming_pairs, which gives other groups.
+    Sequential by definition, so a class is one task. For classes beyond a worker, pairs within
+    `most` bits (hamming_pairs, with class apart) are the scalable start; they give other groups.
     """
     import numpy as np
 
@@ -133,29 +149,39 @@ def leader_clusters(df: DataFrame, most: int) -> DataFrame:
 
 
 def group_split(df: DataFrame, ratios: tuple[float, float, float] = (0.7, 0.15, 0.15), seed: int = 42) -> DataFrame:
-    """(class, name, split): whole groups in seeded order, each to the split with the most room; a class is one task.
+    """(class, name, split): whole groups in seeded order, each to the split with the most room.
 
-    df(class, name, grp). Groups are shuffled in order of their first name by the generator seeded
-    "seed:class"; ties of room go to train, then val, then test.
+    df(class, name, grp[, stratum]). Groups are shuffled in order of their first name by the generator
+    seeded "seed:class"; ties of room go to train, then val, then test. Where there is a column
+    stratum, a class with strata is split by them in order, one generator for all; a null stratum
+    is one of its own, first. Sequential by definition: a class is a task, which gets a row a group
+    (its first name and size) and not the files; the splits are joined back to those.
     """
+    if abs(sum(ratios) - 1) > 1e-6:
+        raise ValueError("ratios must sum to 1")
+    if "stratum" not in df.columns:
+        df = df.withColumn("stratum", F.lit(None).cast("string"))
+    df = df.withColumn("stratum", F.coalesce(F.concat(F.lit("s"), F.col("stratum")), F.lit("")))
+    sizes = df.groupBy("class", "stratum", "grp").agg(F.min("name").alias("first"), F.count("*").alias("n"))
 
     def split(pdf):
-        pdf = pdf.sort_values("name")
-        groups = {}
-        for name, g in zip(pdf["name"], pdf["grp"]):
-            groups.setdefault(g, []).append(name)
-        keys = list(groups)
-        random.Random(f"{seed}:{pdf['class'].iloc[0]}").shuffle(keys)
-        room = [round(len(pdf) * ratios[0]), round(len(pdf) * ratios[1])]
-        room.append(len(pdf) - sum(room))
-        rows = []
-        for g in keys:
-            s = room.index(max(room))
-            room[s] -= len(groups[g])
-            rows += [(pdf["class"].iloc[0], name, ("train", "val", "test")[s]) for name in groups[g]]
-        return pd.DataFrame(rows, columns=["class", "name", "split"])
-
-    return df.groupBy("class").applyInPandas(split, "class string, name string, split string")
+        rng, out = random.Random(f"{seed}:{pdf['class'].iloc[0]}"), []
+        for _, own in pdf.sort_values(["stratum", "first"]).groupby("stratum", sort=True):
+            order = list(range(len(own)))
+            rng.shuffle(order)
+            files, total, places = own["n"].tolist(), int(own["n"].sum()), [""] * len(own)
+            room = [round(total * ratios[0]), round(total * ratios[1])]
+            room.append(total - sum(room))
+            for g in order:
+                s = room.index(max(room))
+                room[s] -= files[g]
+                places[g] = ("train", "val", "test")[s]
+            out.append(own[["class", "stratum", "grp"]].assign(split=places))
+        return pd.concat(out)
+
+    kinds = dict(df.dtypes)
+    placed = sizes.groupBy("class").applyInPandas(split, f"class {kinds['class']}, stratum string, grp {kinds['grp']}, split string")
+    return df.join(placed, ["class", "stratum", "grp"]).select("class", "name", "split")
 
 
 def hashed_split(group: Column, class_: Column, ratios: tuple[int, int] = (70, 85), seed: int = 42) -> Column:
@@ -176,14 +202,16 @@ def class_weights(df: DataFrame, classes: DataFrame) -> DataFrame:
 def round_robin(df: DataFrame, bucket: str, order: list[str]) -> DataFrame:
     """Adds nth and turn: the place of each row when the buckets emit a row each in turn.
 
-    The rows before a row are those of earlier turns and of earlier buckets in its turn; both
-    follow from the buckets' sizes, so rows are not sorted together.
+    The rows before a row are those of earlier turns and of earlier buckets in its turn. Turns and
+    their starts follow from the counts by nth, so rows are not sorted together. Buckets are in
+    ascending order, a null one last.
     """
     ranked = df.withColumn("nth", F.row_number().over(Window.partitionBy(bucket).orderBy(*order)))
-    sizes = df.groupBy(bucket).agg(F.count("*").alias("n")).agg(F.collect_list(F.struct(F.col(bucket).alias("b"), "n")).alias("sizes"))
-    earlier = F.aggregate("sizes", F.lit(0).cast("long"), lambda held, s: held + F.least(s["n"], F.col("nth") - 1))
-    beside = F.size(F.filter("sizes", lambda s: (s["b"] < F.col(bucket)) & (s["n"] >= F.col("nth"))))
-    return ranked.crossJoin(F.broadcast(sizes)).withColumn("turn", earlier + beside + 1).drop("sizes")
+    # A row for each place in the largest bucket.
+    starts = ranked.groupBy("nth").agg(F.count("*").alias("_n"))
+    starts = starts.select("nth", (F.sum("_n").over(Window.orderBy("nth")) - F.col("_n")).alias("_start"))
+    beside = F.row_number().over(Window.partitionBy("nth").orderBy(F.col(bucket).asc_nulls_last()))
+    return ranked.withColumn("_beside", beside).join(starts, "nth").withColumn("turn", F.col("_start") + F.col("_beside")).drop("_start", "_beside").select(*df.columns, "nth", "turn")
 
 
 def append_first(log: DataFrame, new: DataFrame, keys: list[str], order: list[str]) -> DataFrame:

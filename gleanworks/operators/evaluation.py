@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from gleanworks.functions.arrays import ranked_classes, softmax
+from gleanworks.functions.arrays import argmax, largest_difference, ranked_classes, softmax
+from gleanworks.functions.scalars import source_of
 
 NAN = float("nan")
 
@@ -45,9 +46,12 @@ def topk_accuracy(preds: DataFrame, ks: tuple[int, ...] = (1, 3)) -> DataFrame:
 
 def per_class(preds: DataFrame, classes: DataFrame) -> DataFrame:
     """(class, support, precision, recall, f1, top3_recall) for every class, also unseen ones."""
-    true = preds.select(F.col("y").alias("class"), F.lit(1).alias("s"), (F.col("pred") == F.col("y")).cast("int").alias("tp"), hit(3).cast("int").alias("h3"), F.lit(0).alias("pn"))
-    said = preds.select(F.col("pred").alias("class"), F.lit(0).alias("s"), F.lit(0).alias("tp"), F.lit(0).alias("h3"), F.lit(1).alias("pn"))
-    sums = true.unionByName(said).groupBy("class").agg(*(F.sum(c).alias(c) for c in ("s", "tp", "h3", "pn")))
+    # One pass over the predictions; the cells are at most the square of the classes.
+    cells = preds.groupBy("y", "pred").agg(F.count("*").alias("n"), F.sum(hit(3).cast("long")).alias("h3"))
+    zero, same = F.lit(0).cast("long"), F.col("pred") == F.col("y")
+    true = F.struct(F.col("y").alias("class"), F.col("n").alias("s"), F.when(same, F.col("n")).otherwise(zero).alias("tp"), F.col("h3").alias("h3"), zero.alias("pn"))
+    said = F.struct(F.col("pred").alias("class"), zero.alias("s"), zero.alias("tp"), zero.alias("h3"), F.col("n").alias("pn"))
+    sums = cells.select(F.inline(F.array(true, said))).groupBy("class").agg(*(F.sum(c).alias(c) for c in ("s", "tp", "h3", "pn")))
     df = classes.join(sums, "class", "left").na.fill(0)
     precision, recall = share(F.col("tp"), F.col("pn")), share(F.col("tp"), F.col("s"))
     df = df.select("class", F.col("s").alias("support"), precision.alias("precision"), recall.alias("recall"), share(F.col("h3"), F.col("s")).alias("top3_recall"))
@@ -69,18 +73,26 @@ def confusion_shares(preds: DataFrame, classes: DataFrame) -> DataFrame:
 
 
 def confusable_pairs(preds: DataFrame, classes: DataFrame, groups: list[list[int]]) -> DataFrame:
-    """(a, b, ab, ba, kind, source) for pairs within a group of which 5 % or more go one way.
+    """(a, b, ab, ba, a_out, b_out, kind, source) for pairs within a group of which 5 % or more go one way.
 
     Symmetric if both ways are used and differ by less than a factor of 2; else asymmetric, and
-    source is the class that loses more (of equal ones the second).
+    source is the class that loses more (of equal ones the second). a_out and b_out: the
+    percentage of a's and of b's rows that go to classes outside the group.
     """
-    pairs = [(a, b) for g in groups for i, a in enumerate(g) for b in g[i + 1 :]]
+    pairs = [(a, b, k) for k, g in enumerate(groups) for i, a in enumerate(g) for b in g[i + 1 :]]
+    members = [(a, k) for k, g in enumerate(groups) for a in g]
     spark = preds.sparkSession
-    dim = spark.range(1).select(F.inline(F.array(*(F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a, b in pairs))))
+    rows = lambda names, values: spark.range(1).select(F.inline(F.array(*(F.struct(*(F.lit(x).alias(n) for n, x in zip(names, v))) for v in values))))
+    dim, group_of = rows(("a", "b", "g"), pairs), rows(("class", "g"), members)
     cells = confusion_shares(preds, classes)
     one = cells.select(F.col("y").alias("a"), F.col("pred").alias("b"), (F.col("share") * 100).alias("ab"))
     two = cells.select(F.col("y").alias("b"), F.col("pred").alias("a"), (F.col("share") * 100).alias("ba"))
+    to = group_of.select(F.col("class").alias("pred"), F.col("g").alias("_to"))
+    out = cells.join(to, "pred", "left").join(group_of.select(F.col("class").alias("y"), "g"), "y")
+    out = out.groupBy("y", "g").agg((F.sum(F.when(F.col("_to") == F.col("g"), 0.0).otherwise(F.col("share"))) * 100).alias("out"))
+    side = lambda c: out.select(F.col("y").alias(c), "g", F.col("out").alias(f"{c}_out"))
     df = F.broadcast(dim).join(one, ["a", "b"]).join(two, ["a", "b"]).where(F.greatest("ab", "ba") >= 5)
+    df = df.join(side("a"), ["a", "g"]).join(side("b"), ["b", "g"]).select("a", "b", "ab", "ba", "a_out", "b_out")
     low, high = F.least("ab", "ba"), F.greatest("ab", "ba")
     even = (low > 0) & (F.try_divide(high, low) < 2)
     kind = F.when(even, "symmetric").otherwise("asymmetric")
@@ -166,7 +178,54 @@ def served_json(preds: DataFrame, t: float, other: int, version: str, k: int = 3
 
 
 def field_summary(preds: DataFrame, t: float, other: int) -> DataFrame:
-    """Uncertain share and accuracies of a field test; an `other` row succeeds if it is uncertain."""
+    """Uncertain share, accuracies and, where there is a column latency, its mean; an `other` row succeeds if it is uncertain."""
     rows = preds.withColumn("c", F.filter("ord", lambda i: i != other)).withColumn("unsure", (F.col("conf") < t) | (F.col("pred") == other))
     ok = lambda k: F.when(F.col("y") == other, F.col("unsure").cast("double")).otherwise(hit(k, "c"))
-    return rows.agg(F.count("*").alias("n"), F.avg(F.col("unsure").cast("double")).alias("uncertain_rate"), F.avg(ok(1)).alias("top1"), F.avg(ok(3)).alias("top3"))
+    latency = [F.avg("latency").alias("mean_latency")] if "latency" in preds.columns else []
+    return rows.agg(F.count("*").alias("n"), F.avg(F.col("unsure").cast("double")).alias("uncertain_rate"), F.avg(ok(1)).alias("top1"), F.avg(ok(3)).alias("top3"), *latency)
+
+
+def prediction_table(preds: DataFrame, names: DataFrame, path: Column) -> DataFrame:
+    """(path, filename, source, true, pred, confidence, correct_top1, correct_top3): a row an image; names(class, name)."""
+    said, true = names.select(F.col("class").alias("pred"), F.col("name").alias("_said")), names.select(F.col("class").alias("y"), F.col("name").alias("_true"))
+    df = preds.withColumn("path", path).join(F.broadcast(said), "pred").join(F.broadcast(true), "y")
+    filename = F.element_at(F.split("path", "/"), -1)
+    return df.select(
+        "path", filename.alias("filename"), source_of(filename).alias("source"), F.col("_true").alias("true"), F.col("_said").alias("pred"),
+        F.round("conf", 4).alias("confidence"), hit(1).cast("int").alias("correct_top1"), hit(3).cast("int").alias("correct_top3"),
+    )
+
+
+def metrics_document(preds: DataFrame, classes: DataFrame, values: list[float], worst: int = 50) -> DataFrame:
+    """(document): one JSON document of overall accuracies, metrics by class, the threshold curve and the surest mistakes.
+
+    Its arrays are as long as there are classes, thresholds and listed mistakes, at any number of rows."""
+    gather = lambda df, order, name: df.agg(F.sort_array(F.collect_list(F.struct(order, *(c for c in df.columns if c != order)))).alias(name))
+    cases = preds.where("pred <> y").select((-F.col("conf")).alias("minus"), "id", "y", "pred").orderBy("minus", "id").limit(worst)
+    per = per_class(preds, classes)
+    by_class = per.agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct(F.col("class").cast("string"), F.struct(*(c for c in per.columns if c != "class")))))).alias("per_class"))
+    df = topk_accuracy(preds).select(F.struct("n", "top1", "top3").alias("overall"))
+    for part in (by_class, gather(threshold_curve(preds, values), "t", "threshold_curve"), gather(cases, "minus", "worst_cases")):
+        df = df.crossJoin(part)  # one row each
+    cases = F.transform("worst_cases", lambda c: F.struct(c["id"].alias("id"), c["y"].alias("y"), c["pred"].alias("pred"), (-c["minus"]).alias("conf")))
+    return df.select(F.to_json(F.struct("overall", "per_class", "threshold_curve", cases.alias("worst_cases"))).alias("document"))
+
+
+def batch_totals(batches: DataFrame) -> DataFrame:
+    """(n, loss, top1, top3) of an epoch from its batches(loss, size, hits1, hits3); over nothing all are 0."""
+    total = F.coalesce(F.sum("size"), F.lit(0))
+    mean = lambda c: share(F.coalesce(F.sum(c), F.lit(0)), F.greatest(total, F.lit(1)))
+    return batches.agg(total.alias("n"), mean(F.col("loss") * F.col("size")).alias("loss"), mean(F.col("hits1")).alias("top1"), mean(F.col("hits3")).alias("top3"))
+
+
+def difference_summary(df: DataFrame, by: str, difference: Column) -> DataFrame:
+    """(by, n, largest, mean, zeros): absolute differences by a class of rows."""
+    d = F.abs(difference)
+    return df.groupBy(by).agg(F.count("*").alias("n"), F.max(d).alias("largest"), F.avg(d).alias("mean"), F.count_if(d == 0).alias("zeros"))
+
+
+def parity(df: DataFrame, a: str, b: str, tolerance: float) -> DataFrame:
+    """(n, largest, over, same_top1): two outputs array<double> of each row compared; NaN is over any tolerance."""
+    rows = df.select(largest_difference(F.col(a), F.col(b)).alias("d"), (argmax(F.col(a)) == argmax(F.col(b))).alias("same"))
+    over = F.isnan("d") | (F.col("d") > tolerance)
+    return rows.agg(F.count("*").alias("n"), F.max("d").alias("largest"), F.count_if(over).alias("over"), F.count_if("same").alias("same_top1"))

@@ -33,7 +33,7 @@ def balanced_weights(df: DataFrame, label: str) -> DataFrame:
     counts = df.groupBy(label).agg(F.count("*").alias("_n"))
     total = Window.partitionBy()
     counts = counts.withColumn("weight", F.sum("_n").over(total) / (F.count("*").over(total) * F.col("_n"))).drop("_n")
-    return df.join(F.broadcast(counts), label)
+    return df.join(counts, label)
 
 
 def train(df: DataFrame, vec_col: str, label: str, iterations: int = 30):
@@ -46,3 +46,31 @@ def apply_model(model, df: DataFrame, vec_col: str) -> DataFrame:
     """df with p (array<double>) and pred."""
     out = model.transform(df.withColumn("features", array_to_vector(vec_col)))
     return out.withColumn("p", vector_to_array("probability")).withColumn("pred", F.col("prediction").cast("int")).drop("features", "rawPrediction", "probability", "prediction")
+
+
+def save_model(model, classes: list[str], path: str) -> None:
+    """The fitted pipeline and the order of its classes."""
+    from pyspark.sql import SparkSession
+
+    model.write().overwrite().save(f"{path}/model")
+    rows = list(enumerate(classes))
+    SparkSession.active().createDataFrame(rows, "idx int, name string").write.mode("overwrite").parquet(f"{path}/classes")
+
+
+def load_model(spark, classes: list[str], path: str):
+    """A saved pipeline; refused unless its classes are these, in this order."""
+    from pyspark.ml import PipelineModel
+
+    saved = [r["name"] for r in spark.read.parquet(f"{path}/classes").orderBy("idx").collect()]
+    if saved != list(classes):
+        raise ValueError(f"the model's classes are {saved}")
+    return PipelineModel.load(f"{path}/model")
+
+
+def contract_errors(shape_in: list, shape_out: list, classes: int, size: int, other_name: str, named: str) -> list[str]:
+    """What a model's declared shapes break: rank 4, 3 channels, the fixed size, a score a class, and the name of `other`."""
+    rules = (
+        (len(shape_in) == 4, "rank"), (len(shape_in) > 1 and shape_in[1] == 3, "channels"),
+        (len(shape_in) == 4 and list(shape_in[2:]) == [size, size], "size"), (bool(shape_out) and shape_out[-1] == classes, "classes"), (other_name == named, "other"),
+    )
+    return [name for ok, name in rules if not ok]

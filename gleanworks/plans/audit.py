@@ -8,6 +8,7 @@ from gleanworks.operators import audit as au
 from gleanworks.plans.catalog import query
 from gleanworks.session import table
 
+#: The thresholds of the two reports.
 KEEP = [0.01, 0.02, 0.05, 0.10, 0.15, 0.20, 0.30]
 DROP = [0.02, 0.05, 0.10, 0.15, 0.20, 0.30, 0.40]
 

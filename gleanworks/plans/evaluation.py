@@ -73,13 +73,16 @@ def confusion_row_norm(spark, sf_dir):
     return ev.confusion_shares(preds(spark, sf_dir), ev.class_dim(spark, CLASSES))
 
 
+_MEMBERS = ", ".join(f"({a}, {k})" for k, g in enumerate(GROUPS) for a in g)
 _PAIRS = ", ".join(f"({a}, {b})" for g in GROUPS for i, a in enumerate(g) for b in g[i + 1 :])
 
 
 @query("confusable_pairs", PREDS_SQL + f""", pr AS (SELECT a, b, s.share * 100 AS ab, r.share * 100 AS ba FROM (VALUES {_PAIRS}) v(a, b)
   JOIN shares s ON s.y = a AND s.pred = b JOIN shares r ON r.y = b AND r.pred = a),
+gr AS (SELECT * FROM (VALUES {_MEMBERS}) v(class, g)),
+outs AS (SELECT y, sum(CASE WHEN t.g = o.g THEN 0.0 ELSE share END) * 100 AS outside FROM shares JOIN gr o ON o.class = y LEFT JOIN gr t ON t.class = pred GROUP BY y),
 k AS (SELECT *, least(ab, ba) > 0 AND greatest(ab, ba) / nullif(least(ab, ba), 0) < 2 AS even FROM pr WHERE greatest(ab, ba) >= 5)
-SELECT a, b, ab, ba, CASE WHEN even THEN 'symmetric' ELSE 'asymmetric' END AS kind, CASE WHEN NOT even THEN CASE WHEN ab > ba THEN a ELSE b END END AS source FROM k""")
+SELECT a, b, ab, ba, (SELECT outside FROM outs WHERE y = a) AS a_out, (SELECT outside FROM outs WHERE y = b) AS b_out, CASE WHEN even THEN 'symmetric' ELSE 'asymmetric' END AS kind, CASE WHEN NOT even THEN CASE WHEN ab > ba THEN a ELSE b END END AS source FROM k""")
 def confusable_pairs(spark, sf_dir):
     return ev.confusable_pairs(preds(spark, sf_dir), ev.class_dim(spark, CLASSES), GROUPS)
 

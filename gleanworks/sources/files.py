@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pyspark.errors import AnalysisException
+
 from gleanworks.functions.scalars import SUFFIXES, suffix_of
 
 LICENCE_LOG = "filename string, species string, source string, source_id string, license string, author string, url string, collected_at string"
@@ -16,15 +18,36 @@ PREFILTER = "species string, filename string, verdict string, fish_prob double,
 HISTORY = "epoch int, stage int, lr double, train_loss double, train_top1 double, val_loss double, val_top1 double, val_top3 double"
 
 
-def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """A UTF-8 table with a header; columns go by position, so a byte order mark in the header is harmless."""
-    return spark.read.csv(path, schema=schema, header=True, enforceSchema=True)
+def _found(load, empty):
+    """load(), or empty() where the path does not exist."""
+    try:
+        return load()
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return empty()
+
+
+def read_csv(spark: SparkSession, path: str, schema: str, with_line: bool = False) -> DataFrame:
+    """A UTF-8 table with a header; columns go by position, so a byte order mark in the header is harmless.
+
+    A missing file is an empty table. with_line adds `line`, which orders the rows as they stand in the files."""
+    df = _found(lambda: spark.read.csv(path, schema=schema, header=True, enforceSchema=True), lambda: None)
+    if df is None:
+        df = spark.createDataFrame([], schema)
+        return df.withColumn("line", F.lit(None).cast("struct<file:string,block:bigint,row:bigint>")) if with_line else df
+    line = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"))
+    return df.select("*", line.alias("line")) if with_line else df
 
 
 def image_files(spark: SparkSession, root: str, with_content: bool = False) -> DataFrame:
-    """(class, filename, path, length[, content]) of the images in root/<class>/, by suffix in any case."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+    """(class, filename, path, length[, content]) of the images in root/<class>/, by suffix in any case.
+
+    A missing folder is empty; files in deeper folders are not listed."""
+    load = lambda: spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+    files = _found(load, lambda: spark.createDataFrame([], "path string, modificationTime timestamp, length long, content binary"))
     parts = F.split("path", "/")
+    files = files.where(F.element_at(parts, -3) == root.rstrip("/").rsplit("/", 1)[-1])
     df = files.withColumn("class", F.element_at(parts, -2)).withColumn("filename", F.element_at(parts, -1))
     df = df.where(suffix_of(F.col("filename")).isin(*SUFFIXES))
     return df.select("class", "filename", "path", "length", *(["content"] if with_content else []))
@@ -37,14 +60,15 @@ def labelled_files(files: DataFrame, classes: DataFrame, scores: DataFrame | Non
         return df
     if scores is None or scores.isEmpty():
         raise ValueError("a threshold needs a score table")
-    last = latest_scores(scores)
+    last = latest_scores(scores, "line" if "line" in scores.columns else None)
     df = df.join(last, ["class", "filename"], "left").withColumn("fish_prob", F.coalesce("fish_prob", F.lit(1.0)))
     return df.where(F.col("fish_prob") >= least)
 
 
-def latest_scores(scores: DataFrame, order: str = "line") -> DataFrame:
-    """(class, filename, fish_prob): of several rows of a key, the last line's."""
-    return scores.groupBy(F.col("species").alias("class"), "filename").agg(F.max_by("fish_prob", order).alias("fish_prob"))
+def latest_scores(scores: DataFrame, order: str | None = "line") -> DataFrame:
+    """(class, filename, fish_prob): of several rows of a key, the last by `order`, a column that read_csv adds; without one the greatest score."""
+    last = F.max_by("fish_prob", order) if order else F.max("fish_prob")
+    return scores.groupBy(F.col("species").alias("class"), "filename").agg(last.alias("fish_prob"))
 
 
 def rejected_list(spark: SparkSession, path: str) -> DataFrame:
@@ -59,6 +83,18 @@ def manifest_keys(manifest: DataFrame) -> DataFrame:
     return manifest.select("species", "filename").where("species <> '' AND filename <> ''").distinct()
 
 
+def licence_keys(log: DataFrame) -> DataFrame:
+    """The keys of a licence log: only an empty file name drops a row."""
+    return log.select("species", "filename").where("filename <> ''").distinct()
+
+
+def picked_files(spark: SparkSession, paths: list[str], suffixes: tuple[str, ...] = (*SUFFIXES, ".heic")) -> DataFrame:
+    """(path, filename, length) of the files and of the folders' own children among paths, by suffix in any case."""
+    df = spark.read.format("binaryFile").load(paths)
+    filename = F.element_at(F.split("path", "/"), -1)
+    return df.select("path", filename.alias("filename"), "length").where(suffix_of(filename).isin(*suffixes))
+
+
 def write_manifest(df: DataFrame, path: str) -> None:
     """Rewrites the manifests of the classes in df and leaves the other classes' alone."""
     spark = df.sparkSession

@@ -51,13 +51,66 @@ def test_picture_arithmetic():
 
 
 def test_paged_sources(spark, tmp_path):
-    (tmp_path / "0.json").write_text(json.dumps([{"id": i, "photos": [f"p{i}a", f"p{i}b"] if i % 3 else []} for i in range(1, 8)]))
+    put = lambda name, records: (tmp_path / f"{name}.json").write_text(json.dumps(records))
+    ids = list(range(7, 0, -1))
+    for name, page in (("start", ids[:3]), (5, ids[3:6]), (2, ids[6:])):
+        put(name, [{"id": i, "photos": [f"p{i}a", f"p{i}b"] if i % 3 else []} for i in page])
     paged.register(spark)
-    got = spark.read.format("cursor_pages").option("path", str(tmp_path)).option("per_page", 3).option("need", 3).option("max_photos", 1).load()
-    assert [r["id"] for r in got.orderBy(F.desc("id")).collect()] == [7, 5, 4, 2]  # the last page overshoots
-    (tmp_path / "0.json").write_text(json.dumps([{"link": f"l{i}", "width": "x" if i == 2 else i} for i in range(5)]))
-    got = spark.read.format("offset_pages").option("path", str(tmp_path)).option("display", 2).load()
-    assert sorted((r["link"], r["width"], r["height"]) for r in got.collect())[:3] == [("l0", 0, 0), ("l1", 1, 0), ("l2", 0, 0)] and got.count() == 5
+    read = spark.read.format("cursor_pages").option("path", str(tmp_path)).option("per_page", 3).option("max_photos", 1)
+    assert [r["id"] for r in read.option("need", 3).load().orderBy(F.desc("id")).collect()] == [7, 5, 4, 2]  # the last page overshoots
+    assert read.option("need", 100).load().count() == 5
+    assert spark.read.format("cursor_pages").option("path", str(tmp_path)).option("per_page", 3).load().count() == 10
+    for start in range(1, 1001, 30):
+        put(start, [{"link": f"l{start + i}", "width": "x" if i == 2 else i} for i in range(30)])
+    got = paged.sized(spark.read.format("offset_pages").option("path", str(tmp_path)).option("display", 30).load())
+    assert got.count() == 1000 and got.where("link = 'l3'").first() == ("l3", 0, 0) and got.where("link = 'l1000'").count() == 1
+    put("answer", [{"link": f"l{i}", "width": i, "height": None} for i in range(9)])
+    one = spark.read.format("single_answer").option("path", str(tmp_path)).option("max_results", 4)
+    assert sorted(map(tuple, paged.sized(one.load()).collect())) == [(f"l{i}", i, 0) for i in range(4)]
+    (tmp_path / "answer.json").write_text("not json")
+    assert one.load().count() == 0
+
+
+def test_search_results(spark):
+    wanted = spark.createDataFrame([("Cod",), ("eel",), ("ray",)], "query string")
+    found = spark.createDataFrame([("Cod", 0, 9, "Codling"), ("Cod", 1, 8, "COD"), ("Cod", 2, 7, "cod"), ("eel", 0, 6, "eels"), ("eel", 1, 5, "moray")], "query string, place int, id int, name string")
+    got = {r["query"]: (r["id"], r["seen"]) for r in paged.exact_names(wanted, found).collect()}
+    assert got == {"Cod": (8, None), "eel": (None, ["eels", "moray"]), "ray": (None, None)}
+    rows = [(1, "a", 400, 400, True), (2, " ", 400, 400, True), (3, "b", 100, 400, True), (4, "c", 0, 0, False), (5, "bad", 400, 400, True), (6, "d", 400, 400, True), (7, "e", 400, 400, True)]
+    results = spark.createDataFrame(rows, "place int, link string, width int, height int, ok boolean")
+    assert tuple(paged.fetch_counts(results, spark.createDataFrame([("bad",)], "link string"), 2).first()) == (2, 3, 1)
+
+
+def test_scores_in_order_of_line(spark, tmp_path):
+    (tmp_path / "s.csv").write_text("split,species,filename,fish_prob\ntrain,cod,a.png,0.9\ntrain,cod,b.png,0.1\ntrain,cod,a.png,0.2\ntrain,cod,b.png,0.8\n")
+    scores = files.read_csv(spark, str(tmp_path / "s.csv"), files.SCORES, with_line=True)
+    have = spark.createDataFrame([("cod", "a.png"), ("cod", "b.png"), ("cod", "c.png")], "class string, filename string")
+    classes = spark.createDataFrame([("cod", 0)], "class string, idx int")
+    kept = files.labelled_files(have, classes, scores, 0.5)
+    assert {r["filename"]: r["fish_prob"] for r in kept.collect()} == {"b.png": 0.8, "c.png": 1.0}
+    missing = files.read_csv(spark, str(tmp_path / "none.csv"), files.SCORES, with_line=True)
+    assert missing.count() == 0 and files.image_files(spark, str(tmp_path / "none")).count() == 0
+    for args in ((None, 0.5), (missing, 0.5)):
+        try:
+            files.labelled_files(have, classes, *args)
+            raise AssertionError("a threshold without scores")
+        except ValueError:
+            pass
+
+
+def test_side_keys_and_archive(spark, tmp_path):
+    log = spark.createDataFrame([("", "a.jpg"), ("cod", ""), ("cod", "b.jpg"), ("cod", "b.jpg")], "species string, filename string")
+    assert files.licence_keys(log).count() == 2 and files.manifest_keys(log).count() == 1
+    for i, rows in enumerate(([("cod", "a"), ("eel", "b")], [("cod", "c")])):
+        files.write_manifest(spark.createDataFrame(rows, "species string, filename string"), str(tmp_path / "m"))
+    assert sorted((r["species"], r["filename"]) for r in spark.read.parquet(str(tmp_path / "m")).collect()) == [("cod", "c"), ("eel", "b")]
+    files.archive(spark.createDataFrame([("train", bytearray(b"abc")), ("test", bytearray(b"d"))], "split string, content binary"), str(tmp_path / "z"))
+    assert {(r["split"], r["files"], r["damaged"]) for r in files.verify_archive(spark, str(tmp_path / "z")).collect()} == {("train", 1, 0), ("test", 1, 0)}
+    for name in ("p/a.HEIC", "p/b.txt", "p/c.jpg", "d.png", "e.csv"):
+        os.makedirs(tmp_path / os.path.dirname(name), exist_ok=True)
+        (tmp_path / name).write_bytes(b"x")
+    got = files.picked_files(spark, [str(tmp_path / "p"), str(tmp_path / "d.png"), str(tmp_path / "e.csv")])
+    assert sorted(r["filename"] for r in got.collect()) == ["a.HEIC", "c.jpg", "d.png"]
 
 
 def test_stream_appends_first_of_each_key(spark, tmp_path):

@@ -100,13 +100,58 @@ def test_leader_chain(spark):
     assert got == {1: 1, 2: 1, 3: 3}
 
 
-def test_banded_pairs_match_blocks(spark):
+@pytest.mark.parametrize("most", [0, 3, 6, 8, 11, 20, 64])
+def test_hamming_pairs_match_brute_force(spark, most):
     rng = random.Random(5)
-    base = [rng.getrandbits(63) for _ in range(30)]
-    rows = [(i, i % 3, base[i % 30] ^ sum(1 << rng.randrange(63) for _ in range(rng.randrange(5)))) for i in range(300)]
-    df = spark.createDataFrame([(i, c, h & (2**63 - 1)) for i, c, h in rows], "id long, class int, h long")
-    for most in (3, 6):
-        assert sorted(map(tuple, cu.hamming_pairs(df, most).collect())) == sorted(map(tuple, cu._block_pairs(df, most, 64).collect()))
+    base = [rng.getrandbits(64) for _ in range(30)]
+    rows = [(i, i % 3, base[i % 30] ^ sum(1 << b for b in rng.sample(range(64), rng.randrange(7)))) for i in range(150)] + [(150, 0, -1 & (2**64 - 1)), (151, 1, -1 & (2**64 - 1))]
+    df = spark.createDataFrame([(i, c, h - (h >> 63 << 64)) for i, c, h in rows] + [(152, 2, None), (153, None, 5)], "id long, class int, h long")
+    want = [(a, b, (x ^ y).bit_count()) for a, ca, x in rows for b, cb, y in rows if a < b and ca != cb and (x ^ y).bit_count() <= most]
+    assert sorted(map(tuple, cu.hamming_pairs(df, most).collect())) == want
+
+
+def test_nulls_in_buckets_and_turns(spark):
+    df = spark.createDataFrame([(i, float(i) if i % 3 else None) for i in range(60)], "id int, s double")
+    assert sum(r["n"] for r in au.score_buckets(df, "s", ["id"], {}).collect()) == 60
+    turns = spark.createDataFrame([(1, "a"), (2, "a"), (3, None), (4, None), (5, "b")], "id int, b string")
+    assert [(r["id"], r["turn"]) for r in cu.round_robin(turns, "b", ["id"]).orderBy("turn").collect()] == [(1, 1), (5, 2), (3, 3), (2, 4), (4, 5)]
+
+
+def test_samples(spark):
+    from gleanworks.operators import sampling as sa
+
+    df = spark.range(100).withColumn("c", (F.col("id") < 10).cast("string"))
+    assert [r["id"] for r in sa.evenly_spaced(df, "id", 5).orderBy("id").collect()] == [0, 24, 49, 74, 99]
+    assert sa.evenly_spaced(df.limit(3), "id", 5).count() == 3 and sa.evenly_spaced(df.limit(0), "id", 5).count() == 0
+    head = [r["id"] for r in sa.seeded_head(df, 10, 1, "id").collect()]
+    assert len(set(head)) == 10 and [r["id"] for r in sa.ordered_subset(df, 10, 1, "id").collect()] == sorted(head)
+    copies = {r["c"]: r["n"] for r in sa.balanced_replicates(df, "c", "id", 1).groupBy("c").agg(F.sum("copies").alias("n")).collect()}
+    assert copies["true"] == 50 and 35 < copies["false"] < 65
+    used = sa.replaced_rows(df, "c", "id", "id % 2 = 0 AND c = 'false'", 1).collect()
+    assert len(used) == 100 and all(r["used"] is None if r["c"] == "true" else r["used"] % 2 == 0 for r in used)
+
+
+def test_split_strata_and_ratios(spark):
+    df = spark.createDataFrame([("c", f"f{i}", f"g{i}", "ab"[i % 2]) for i in range(40)], "class string, name string, grp string, stratum string")
+    got = df.join(cu.group_split(df), ["class", "name"]).groupBy("stratum", "split").count().collect()
+    assert {(r["stratum"], r["split"]): r["count"] for r in got} == {(s, k): n for s in "ab" for k, n in (("train", 14), ("val", 3), ("test", 3))}
+    with pytest.raises(ValueError):
+        cu.group_split(df, (0.7, 0.2, 0.2))
+
+
+def test_near_stage(spark):
+    df = spark.createDataFrame([("c", 1, 0b0, "web_1"), ("c", 2, 0b11, "inat_2"), ("c", 3, 0b1111, "web_3")], "class string, id long, h long, name string")
+    assert {r["id"]: r["stage"] for r in cu.near_stage(df, 2, F.col("id"), "name").collect()} == {1: "near", 2: "kept", 3: "kept"}
+
+
+def test_model_guard(spark, tmp_path):
+    rows = [(float(i % 2), [float(i % 2), 1.0]) for i in range(20)]
+    model = le.train(spark.createDataFrame(rows, "label double, v array<double>"), "v", "label", 3)
+    le.save_model(model, ["a", "b"], str(tmp_path))
+    assert le.load_model(spark, ["a", "b"], str(tmp_path)).stages
+    with pytest.raises(ValueError):
+        le.load_model(spark, ["b", "a"], str(tmp_path))
+    assert le.contract_errors([None, 3, 384, 384], [None, 25], 25, 384, "other", "other") == [] and le.contract_errors([1, 1, 8], [None, 3], 25, 384, "x", "y") == ["rank", "channels", "size", "classes", "other"]
 
 
 def test_group_split(spark):

@@ -25,11 +25,12 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gleanworks.llm.common import durable, groups
+from gleanworks.llm.common import durable, text_groups
 from gleanworks.llm.shingles import GROUP_BYTES, mixed, word_hashes
 from gleanworks.session import table
 
@@ -37,9 +38,9 @@ from gleanworks.session import table
 OTHER, START = np.uint64(0), np.uint64(1)
 #: Share of a pair's own frequency in its probability; the rest is the word's.
 OWN = 0.7
-FLUSH = 2_000_000
-DEALT = 750_000
-BUCKET_BYTES, LEAST_BUCKETS = 12_000_000, 8
+FLUSH = 1_000_000
+DEALT = 400_000
+BUCKET_BYTES, LEAST_BUCKETS, BUCKETS_A_TASK = 6_000_000, 8, 4
 HOT = 200_000
 UNIT = 1 << 30
 #: Kinds of text; a bucket's rows of kind ROWS name the documents themselves.
@@ -47,11 +48,19 @@ TARGET, BACKGROUND, DOCS, ROWS = range(4)
 COUNTS = ("n0", "c0", "n1", "c1", "n2", "c2")
 
 
-def _word_batches(frames):
-    """(rows' positions, word hashes, words a row) for groups of texts."""
-    for pdf in frames:
-        for part in groups([len(t or "") for t in pdf["text"]], GROUP_BYTES):
-            yield pdf.iloc[part], *word_hashes([(t or "").encode("utf-8", "surrogatepass") for t in pdf["text"].iloc[part]])
+def _word_batches(batches):
+    """(rows, word hashes, words a row) for groups of texts."""
+    for own, texts in text_groups(batches, GROUP_BYTES):
+        yield own, *word_hashes(texts)
+
+
+def _batch(columns: dict, kinds: dict[str, pa.DataType]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(columns[c], k) for c, k in kinds.items()], list(kinds))
+
+
+def _read(column: pa.ChunkedArray, dtype) -> list[np.ndarray]:
+    """Each binary value as numbers, without a copy."""
+    return [np.frombuffer(v.as_buffer(), dtype) for chunk in column.chunks for v in chunk]
 
 
 def _signed(codes: np.ndarray) -> np.ndarray:
@@ -98,7 +107,7 @@ def _word_rows(texts: DataFrame, known) -> DataFrame:
             codes, n = np.unique(np.concatenate([w for w, _ in held]), return_counts=True)
             last = np.concatenate([x for _, x in held])
             c = n - np.bincount(np.searchsorted(codes, last), minlength=len(codes))
-            return pd.DataFrame({"word": _signed(np.append(codes, START)), "n": np.append(n, 0), "c": np.append(c, len(last))})
+            return _batch({"word": _signed(np.append(codes, START)), "n": np.append(n, 0), "c": np.append(c, len(last))}, {x: pa.int64() for x in ("word", "n", "c")})
 
         for _, _, words, counts in _coded(frames, known):
             held.append((words, words[np.cumsum(counts)[counts > 0] - 1]))
@@ -109,7 +118,7 @@ def _word_rows(texts: DataFrame, known) -> DataFrame:
         if total:
             yield flush()
 
-    return texts.mapInPandas(rows, "word long, n long, c long")
+    return texts.mapInArrow(rows, "word long, n long, c long")
 
 
 def word_table(texts: dict[int, DataFrame], known) -> DataFrame:
@@ -138,9 +147,10 @@ def hot_pairs(texts: dict[int, DataFrame], known, hot: np.ndarray, most: int) ->
                 both = (a < len(hot)) & (b < len(hot))
                 codes, n = np.unique(a[both] * len(hot) + b[both], return_counts=True)
                 out = {"a": _signed(hot[codes // len(hot)]), "b": _signed(hot[codes % len(hot)])}
-                yield pd.DataFrame(out | {f"p{k}": n if k == kind else 0 for k in (TARGET, BACKGROUND, DOCS)})
+                out |= {f"p{k}": n if k == kind else 0 * n for k in (TARGET, BACKGROUND, DOCS)}
+                yield _batch(out, {c: pa.int64() for c in out})
 
-        return texts[kind].mapInPandas(rows, "a long, b long, p0 long, p1 long, p2 long")
+        return texts[kind].mapInArrow(rows, "a long, b long, p0 long, p1 long, p2 long")
 
     out = None
     for kind in texts:
@@ -163,6 +173,9 @@ def _sums(at: np.ndarray, values: np.ndarray, size: int) -> np.ndarray:
 DEALT_ROWS = "target long, kind int, base long, words binary, a binary, b binary, docs binary, doc binary, n binary"
 
 
+DEALT_KINDS = {"target": pa.int64(), "kind": pa.int32(), "base": pa.int64()} | {c: pa.binary() for c in ("words", "a", "b", "docs", "doc", "n")}
+
+
 def _dealt(texts: DataFrame, kind: int, known, hot, buckets: int) -> DataFrame:
     """Pairs that are not hot, by bucket, with the documents they are of; for kind DOCS also rows of the documents."""
 
@@ -174,17 +187,17 @@ def _dealt(texts: DataFrame, kind: int, known, hot, buckets: int) -> DataFrame:
         def flush(first):
             counts = np.concatenate([c for *_, c in held]).astype(np.int64)
             before, words = np.concatenate([b for _, b, _, _ in held]), np.concatenate([w for *_, w, _ in held])
-            ids = pd.concat([r["doc_id"] for r, *_ in held]) if kind == DOCS else None
+            ids = pa.chunked_array([r["doc_id"] for r, *_ in held], pa.int64()) if kind == DOCS else None
             held.clear()
             doc = np.repeat(np.arange(len(counts), dtype=np.uint32), counts) if kind == DOCS else np.zeros(len(words), np.uint32)
             key = pair_keys(before, words)
             at, base = _place(key, keys), (task << 33) + first
             out = []
             if kind == DOCS:
-                null = ids.isna().to_numpy()
+                null = ids.is_null().to_numpy()
                 done = at < len(keys)
                 sums = [_sums(doc[done], x[at[done]], len(counts)).tobytes() for x in hot_losses]
-                out.append((-1 - task, ROWS, base, ids.fillna(0).to_numpy(np.int64).tobytes(), null.tobytes(), counts.tobytes(), b"", *sums))
+                out.append((-1 - task, ROWS, base, ids.fill_null(0).to_numpy().tobytes(), null.tobytes(), counts.tobytes(), b"", *sums))
             rest = at == len(keys)
             before, words, doc, key = before[rest], words[rest], doc[rest], key[rest]
             order = np.argsort(key, kind="stable")  # by bucket and pair, documents in order
@@ -204,7 +217,7 @@ def _dealt(texts: DataFrame, kind: int, known, hot, buckets: int) -> DataFrame:
                     place, entries = place.astype(_width(len(own))), slice(ends[i], ends[j])
                     sizes = (np.diff(ends[i : j + 1]), doc[entries], n[entries])
                     out.append((int(bucket[i]), kind, base, own.tobytes(), place[: j - i].tobytes(), place[j - i :].tobytes(), *(_planes(x) for x in sizes)))
-            return pd.DataFrame(out, columns=["target", "kind", "base", "words", "a", "b", "docs", "doc", "n"])
+            return _batch(dict(zip(DEALT_KINDS, zip(*out) if out else [[]] * len(DEALT_KINDS))), DEALT_KINDS)
 
         for batch in _coded(frames, known):
             held.append(batch)
@@ -216,7 +229,7 @@ def _dealt(texts: DataFrame, kind: int, known, hot, buckets: int) -> DataFrame:
         if held:
             yield flush(seen)
 
-    return texts.mapInPandas(rows, DEALT_ROWS)
+    return texts.mapInArrow(rows, DEALT_ROWS)
 
 
 def _width(n: int):
@@ -228,8 +241,8 @@ def _planes(x: np.ndarray) -> bytes:
     return np.ascontiguousarray(x.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
 
 
-def _unplaned(data: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(4, -1).T).view("<u4")[:, 0]
+def _unplaned(data: np.ndarray) -> np.ndarray:
+    return np.ascontiguousarray(data.reshape(4, -1).T).view("<u4")[:, 0]
 
 
 def score_texts(docs: DataFrame, target: DataFrame, background: DataFrame, size: int | None = None) -> DataFrame:
@@ -270,29 +283,28 @@ def score_texts(docs: DataFrame, target: DataFrame, background: DataFrame, size:
         part = _dealt(own, kind, known, shared, buckets)
         dealt = part if dealt is None else dealt.unionByName(part)
 
-    def wanted(pdf):
-        own = pdf.loc[pdf["kind"] != ROWS, "words"]
-        codes = np.unique(np.frombuffer(b"".join(own), np.uint64))
-        return pd.DataFrame({"target": np.full(len(codes), pdf["target"].iloc[0]), "word": _signed(codes)})
-
-    def score(key, pdf, facts):
-        names, parts = ["ref", "doc_id", "n_words", "t0", "t1"], []
-        if key[0] < 0:
-            for r in pdf.itertuples():
-                ids = pd.array(np.frombuffer(r.words, np.int64), dtype="Int64")
-                ids[np.frombuffer(r.a, bool)] = pd.NA
-                counts, t0, t1 = (np.frombuffer(x, np.int64) for x in (r.b, r.doc, r.n))
-                parts.append(pd.DataFrame(dict(zip(names, (r.base + np.arange(len(counts)), ids, counts, t0, t1)))))
-            return pd.concat(parts)
-        facts = facts.assign(word=facts["word"].to_numpy(np.int64).view(np.uint64)).sort_values("word")
-        known_words = facts["word"].to_numpy()
-        stats = {c: np.append(facts[c].to_numpy(np.int64), int(same and c[1] == "1")) for c in ("n0", "c0", "n1", "c1")}  # words not told of last
-        for r in pdf.itertuples():
-            own = np.frombuffer(r.words, np.uint64)
+    def wanted(t):
+        own = [x for x, kind in zip(_read(t["words"], np.uint64), t["kind"].to_pylist()) if kind != ROWS]
+        codes = np.unique(np.concatenate(own)) if own else np.zeros(0, np.uint64)
+        return pa.table({"target": np.full(len(codes), t["target"][0].as_py(), np.int64), "word": _signed(codes)})
+
+    def score(key, t, facts):
+        kinds = {c: pa.int64() for c in ("ref", "doc_id", "n_words", "t0", "t1")}
+        bases, parts = t["base"].to_pylist(), []
+        if key[0].as_py() < 0:
+            for base, ids, null, *sums in zip(bases, _read(t["words"], np.int64), _read(t["a"], bool), *(_read(t[c], np.int64) for c in ("b", "doc", "n"))):
+                parts.append(_batch(dict(zip(kinds, (base + np.arange(len(ids)), pa.array(ids, mask=null), *sums))), kinds))
+            return pa.Table.from_batches(parts)
+        known_words = facts["word"].to_numpy().view(np.uint64)
+        order = np.argsort(known_words)
+        known_words = known_words[order]
+        stats = {c: np.append(facts[c].to_numpy()[order], int(same and c[1] == "1")) for c in ("n0", "c0", "n1", "c1")}  # words not told of last
+        raw = (_read(t[c], np.uint8) for c in ("a", "b", "docs", "doc", "n"))
+        for base, kind, own, a, b, docs_, doc, n in zip(bases, t["kind"].to_pylist(), _read(t["words"], np.uint64), *raw):
             at = _place(own, known_words)
-            a, b = (at[np.frombuffer(x, _width(len(own)))] for x in (r.a, r.b))
-            pair, n = np.repeat(a * (len(known_words) + 1) + b, _unplaned(r.docs)), _unplaned(r.n)
-            parts.append((pair, n, np.full(len(n), r.kind, np.int8), r.base + _unplaned(r.doc).astype(np.int64)))
+            a, b = (at[x.view(_width(len(own)))] for x in (a, b))
+            pair, n = np.repeat(a * (len(known_words) + 1) + b, _unplaned(docs_)), _unplaned(n)
+            parts.append((pair, n, np.full(len(n), kind, np.int8), base + _unplaned(doc).astype(np.int64)))
         pair, n, kind, ref = (np.concatenate(x) for x in zip(*parts))
         del parts
         pairs, at = np.unique(pair, return_inverse=True)
@@ -305,14 +317,16 @@ def score_texts(docs: DataFrame, target: DataFrame, background: DataFrame, size:
         at, n, ref = at[kind == DOCS], n[kind == DOCS].astype(np.int64), ref[kind == DOCS]
         refs, row = np.unique(ref, return_inverse=True)
         sums = [_sums(row, x[at] * n, len(refs)) for x in found]
-        return pd.DataFrame(dict(zip(names, (refs, pd.array([pd.NA] * len(refs), dtype="Int64"), np.zeros(len(refs), np.int64), *sums))))
+        return pa.Table.from_batches([_batch(dict(zip(kinds, (refs, [None] * len(refs), np.zeros(len(refs), np.int64), *sums))), kinds)])
 
-    asked = dealt.groupBy("target").applyInPandas(wanted, "target long, word long")
+    # As many partitions as the data asks for: a task's share does not grow with them.
+    dealt = dealt.repartition(max(1, buckets // BUCKETS_A_TASK), "target")
+    asked = dealt.groupBy("target").applyInArrow(wanted, "target long, word long")
     facts = words.select("word", "n0", "c0", "n1", "c1")
     if same:  # of words that occur once in all texts, and are no text's last, nothing is told
         facts = facts.where("NOT (n0 = 0 AND c0 = 0 AND n1 = 1 AND c1 = 1)")
     told = asked.join(facts, "word").select("target", "word", "n0", "c0", "n1", "c1")
-    parts = dealt.groupBy("target").cogroup(told.groupBy("target")).applyInPandas(score, "ref long, doc_id long, n_words long, t0 long, t1 long")
+    parts = dealt.groupBy("target").cogroup(told.repartition(max(1, buckets // BUCKETS_A_TASK), "target").groupBy("target")).applyInArrow(score, "ref long, doc_id long, n_words long, t0 long, t1 long")
     out = parts.groupBy("ref").agg(F.max("doc_id").alias("doc_id"), F.sum("n_words").alias("n_words"), F.sum("t0").alias("t0"), F.sum("t1").alias("t1"))
     mean = lambda c: F.when(F.col("n_words") > 0, F.col(c) / F.col("n_words") / UNIT)
     out = out.select("doc_id", "n_words", mean("t0").alias("target_loss"), mean("t1").alias("background_loss"))

@@ -11,15 +11,24 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-#: Used only when the session names no checkpoint folder, as in tests on one machine.
+#: Used only when a local session names no checkpoint folder, as in tests on one machine.
 OWN_CHECKPOINTS = "file:///tmp/gleanworks-checkpoints"
 
 
+def checkpoint_root(spark: SparkSession) -> str:
+    """The shared folder for intermediate tables; a cluster must name one."""
+    if root := spark.conf.get("spark.checkpoint.dir", None):
+        return root
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return OWN_CHECKPOINTS
+
+
 def durable(df: DataFrame) -> DataFrame:
     """df, written to the checkpoint folder that the cluster shares, with its lineage cut."""
     sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or OWN_CHECKPOINTS)
+        sc.setCheckpointDir(checkpoint_root(df.sparkSession))
     return df.checkpoint()
 
 
@@ -29,26 +38,37 @@ def literal_table(spark: SparkSession, rows: list[dict], schema: str) -> DataFra
     return spark.range(1).select(F.inline(arrays))
 
 
-def pieces_of(n_rows: int, per_piece: int = 5_000) -> int:
-    """Number of pieces that a hot group is split into; depends on the row count alone."""
-    return max(4, -(-n_rows // per_piece))
+#: A key counts as hot beyond this share of the rows, so at most HOT_KEYS keys do, and beyond HOT_ROWS rows.
+HOT_KEYS, HOT_ROWS = 1000, 20_000
+
+
+def hot_limit(n_rows: int) -> int:
+    return max(HOT_ROWS, n_rows // HOT_KEYS)
 
 
-def ranked(df: DataFrame, keys: list[str], order: list[str], n_rows: int, rank: str = "rank") -> DataFrame:
+def ranked(df: DataFrame, keys: list[str], order: list[str], hot: list[dict], n_rows: int, rank: str = "rank") -> DataFrame:
     """Adds the 0-based rank of each row within its keys, whatever a key's share of the rows.
 
-    A key's rows are dealt to pieces by a hash of the order columns; pieces are ranked alone and
-    shifted by the counts of the pieces before them, so no task gets a whole hot key. The order is
-    by piece, then by the order columns: the same on each run. Keys must not be null.
+    hot: {key: value, ..., "n": rows} of the keys with more than hot_limit(n_rows) rows, HOT_KEYS at
+    most. Only their rows are dealt to pieces by a hash of the order columns, as many as their own
+    count asks for; pieces are ranked alone and shifted by the counts of the pieces before them, so
+    no task gets a whole hot key. The order is by the order columns, in a hot key by piece first: the
+    same on each run. Keys must not be null.
     """
-    piece = F.pmod(F.xxhash64(*order), F.lit(pieces_of(n_rows))).cast("int")
-    df = df.withColumn("_piece", piece)
+    limit = hot_limit(n_rows)
+    if not hot:
+        return df.withColumn(rank, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)).cast("long") - 1)
+    kinds = dict(df.dtypes)
+    schema = ", ".join(f"{k} {kinds[k]}" for k in keys) + ", _pieces int"
+    # At most HOT_KEYS rows here and 2 x HOT_KEYS in shifts.
+    parts = literal_table(df.sparkSession, [{k: r[k] for k in keys} | {"_pieces": -(-r["n"] // limit)} for r in hot], schema)
+    df = df.join(F.broadcast(parts), keys, "left").withColumn("_piece", F.pmod(F.xxhash64(*order), F.coalesce("_pieces", F.lit(1))).cast("int"))
     before = Window.partitionBy(*keys).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
-    shifts = df.groupBy(*keys, "_piece").agg(F.count("*").alias("_n"))
-    shifts = shifts.select(*keys, "_piece", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_shift"))
+    shifts = df.where("_pieces IS NOT NULL").groupBy(*keys, "_piece").agg(F.count("*").alias("_n"))
+    shifts = shifts.select(*keys, "_piece", F.sum("_n").over(before).alias("_shift"))
     own = Window.partitionBy(*keys, "_piece").orderBy(*order)
-    out = df.withColumn("_own", F.row_number().over(own) - 1).join(shifts, [*keys, "_piece"])
-    return out.withColumn(rank, F.col("_own").cast("long") + F.col("_shift")).drop("_own", "_shift", "_piece")
+    out = df.withColumn("_own", F.row_number().over(own) - 1).join(F.broadcast(shifts), [*keys, "_piece"], "left")
+    return out.withColumn(rank, F.col("_own").cast("long") + F.coalesce("_shift", F.lit(0))).drop("_own", "_shift", "_piece", "_pieces")
 
 
 def text_or_empty(c: str | Column = "text") -> Column:

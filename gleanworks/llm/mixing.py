@@ -3,7 +3,7 @@
 Document rates r minimise their relative entropy to 1 under one token constraint per source and
 r <= 3. The convex dual has one multiplier per source, and r = min(3, exp(multiplier * tokens)).
 Newton steps, kept inside a bracket, solve the dual over counts of (source, tokens); each step is
-one distributed aggregation. Rates become copies by systematic rounding: within a source the
+one distributed aggregation of exact decimal sums. Rates become copies by systematic rounding: within a source the
 documents stand from the longest to the shortest, and a document's copies are the whole numbers that the running
 sum of rates passes. The rounding's offset is, per source, the one of OFFSETS candidates whose
 words come nearest to the target. Rates are whole multiples of 2^-20, so that sums are exact and
@@ -21,7 +21,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gleanworks.llm.common import durable, ranked, text_or_empty
+from gleanworks.llm.common import durable, hot_limit, ranked, text_or_empty
 from gleanworks.session import table
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -29,9 +29,10 @@ WEIGHTS = (5, 2, 1)
 CAP = 3
 UNIT = 1 << 20
 OFFSETS = 32
-STEPS_A_JOB, MOST_JOBS = 4, 15
-#: Up to so many sources the solver's state (a row of seven numbers each) is broadcast; beyond, it is joined by shuffle.
-MOST_BROADCAST = 10_000
+#: Newton steps between two looks at the error; a solver that is not done after MOST_STEPS raises.
+STEPS_A_JOB, MOST_STEPS = 4, 400
+#: The solver's rates are whole multiples of 2^-40, so that its sums are exact on any layout.
+FINE = float(1 << 40)
 
 
 def word_count(text: Column) -> Column:
@@ -80,16 +81,17 @@ def rates(counts: DataFrame, targets: DataFrame) -> DataFrame:
             F.lit(None).cast("double").alias("off"),
         )
     )
-    few = state.count() <= MOST_BROADCAST
     x, lam = F.col("size") / F.col("mean"), F.col("lam")
-    for _ in range(MOST_JOBS):
+    for taken in range(STEPS_A_JOB, MOST_STEPS + 1, STEPS_A_JOB):
         for _ in range(STEPS_A_JOB):
             r = F.least(F.lit(float(CAP)), F.exp(F.least(F.lit(50.0), lam * x)))
+            words = (F.rint(r * FINE).cast("decimal(14,0)") * (F.col("n") * F.col("size")).cast("decimal(18,0)")).cast("decimal(38,0)")
+            steep = F.when(r < CAP, words).otherwise(F.lit(0).cast("decimal(38,0)")) * F.col("size").cast("decimal(10,0)")
             # The state's columns go along as keys, so that a step reads the step before it once.
             step = (
-                counts.join(F.broadcast(state) if few else state, "source_key")
+                counts.join(state, "source_key")
                 .groupBy("source_key", "mean", "goal", "lam", "lo", "hi")
-                .agg(F.sum(F.col("n") * r * x).alias("got"), F.sum(F.when(r < CAP, F.col("n") * r * x * x).otherwise(0.0)).alias("slope"))
+                .agg((F.sum(words).cast("double") / FINE / F.col("mean")).alias("got"), (F.sum(steep.cast("decimal(38,0)")).cast("double") / FINE / F.col("mean") / F.col("mean")).alias("slope"))
             )
             step = step.withColumn("g", F.col("got") - F.col("goal"))
             # The lower end is unknown below 0: it doubles until the rates fall short of the goal.
@@ -106,6 +108,8 @@ def rates(counts: DataFrame, targets: DataFrame) -> DataFrame:
         worst = state.agg(F.max("off").alias("worst")).first()["worst"]
         if worst is None or worst < 1e-9:
             break
+        if taken == MOST_STEPS:
+            raise RuntimeError(f"the dual is not solved after {taken} steps: off by {worst} of a target")
     return state.select("source_key", F.round("lam", 9).alias("multiplier"), "mean")
 
 
@@ -116,7 +120,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     slim = durable(
         docs.select(
             F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), key.alias("source_key"),
-            word_count(text).alias("size"), F.xxhash64(F.col(id_col), text).alias("tie"),
+            word_count(text).alias("size"), F.xxhash64(F.col(id_col), text, F.col(source_col)).alias("tie"),
         )
     )
     counts = durable(slim.groupBy("source_key", "source", "size").agg(F.count("*").alias("n")))
@@ -138,7 +142,8 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
         .agg(F.min(F.struct(F.abs(F.col("words") - F.col("target")).alias("off"), "offset"))["offset"].alias("offset"))
     )
     cells = cells.join(best, "source_key")
-    rows = ranked(slim.drop("source"), ["source_key", "size"], ["tie", "doc_id"], n_rows)
+    hot = [r.asDict() for r in counts.where(F.col("n") > hot_limit(n_rows)).select("source_key", "size", "n").collect()]
+    rows = ranked(slim.drop("source"), ["source_key", "size"], ["tie", "doc_id"], hot, n_rows)
     start = F.col("base") + F.col("rate") * F.col("rank") + F.col("offset")
     out = rows.join(cells, ["source_key", "size"]).withColumn("copies", _whole(start + F.col("rate")) - _whole(start))
     return out.select("doc_id", "tie", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
@@ -155,14 +160,16 @@ def op9_entropy_mix(spark, sf_dir):
 
 
 def mixed_documents(docs: DataFrame) -> DataFrame:
-    """docs with each row repeated by its copies; rows without copies go. Same columns as docs.
+    """docs with each row repeated by its copies; rows without copies go. Same columns as docs, whatever their names.
 
-    Rows are paired with their copies by doc_id and a hash of both. Where rows agree in doc_id and
-    text, the n-th of them takes the n-th count of copies.
+    Rows are paired with their copies by doc_id and a hash of doc_id, text and source. Where rows
+    agree in all three, the n-th of them takes the n-th count of copies.
     """
+    # The caller's columns go along in a struct, so that none of their names can clash.
+    own = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
+    tied = docs.select(own.alias("_row"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")).alias("_id"), F.xxhash64(F.col("doc_id"), text_or_empty(), F.col("source")).alias("_tie"))
     nth = F.row_number().over(Window.partitionBy("_id", "_tie").orderBy("_order"))
     made = mix(docs).select(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")).alias("_id"), F.col("tie").alias("_tie"), "copies", F.col("copies").alias("_order"))
-    tied = docs.withColumn("_id", F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))).withColumn("_tie", F.xxhash64(F.col("doc_id"), text_or_empty()))
-    tied = tied.withColumn("_order", F.xxhash64(*docs.columns))
+    tied = tied.withColumn("_order", F.xxhash64("_row"))
     pair = tied.withColumn("_nth", nth).drop("_order").join(made.withColumn("_nth", nth).drop("_order"), ["_id", "_tie", "_nth"])
-    return pair.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).where("copies > 0").select(*docs.columns)
+    return pair.where("copies > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select("_row.*")

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gleanworks.llm.common import durable, literal_table, ranked, text_groups
+from gleanworks.llm.common import durable, hot_limit, literal_table, ranked, text_groups
 from gleanworks.llm.tokens import encoder
 from gleanworks.session import table
 
@@ -90,16 +90,19 @@ def plan(counts: dict[int, int], context: int = CONTEXT) -> list[dict]:
 
 
 def pack(pieces: DataFrame, context: int = CONTEXT) -> DataFrame:
-    """pieces(doc_id, piece, length, ...) with sequence_id and offset."""
+    """pieces(doc_id, piece, length, ids_crc32, ...) with sequence_id and offset, in place of columns of those names."""
     pieces = durable(pieces)
     counts = {r["length"]: r["count"] for r in pieces.groupBy("length").count().collect()}
-    runs = literal_table(pieces.sparkSession, plan(counts, context), RUN)
-    rows = ranked(pieces, ["length"], ["doc_id", "piece", "ids_crc32"], sum(counts.values()))
+    runs, n_rows = literal_table(pieces.sparkSession, plan(counts, context), RUN), sum(counts.values())
+    hot = [{"length": k, "n": n} for k, n in counts.items() if n > hot_limit(n_rows)]
+    # The caller's columns go along in a struct, so that none of their names can clash.
+    held = pieces.select(F.struct(*(F.col(f"`{c}`") for c in pieces.columns)).alias("_row"), F.col("length").cast("int").alias("length"), "doc_id", "piece", "ids_crc32")
+    rows = ranked(held, ["length"], ["doc_id", "piece", "ids_crc32"], hot, n_rows)
     placed = rows.join(F.broadcast(runs), "length").where("rank >= first AND rank < last")
     nth = F.col("rank") - F.col("first")
     placed = placed.withColumn("sequence_id", F.col("sequence") + F.floor(nth / F.col("each")).cast("long"))
     placed = placed.withColumn("offset", F.col("at") + nth % F.col("each") * F.col("length"))
-    return placed.select(*pieces.columns, "sequence_id", "offset")
+    return placed.select(*(F.col(f"_row.`{c}`") for c in pieces.columns if c not in ("sequence_id", "offset")), "sequence_id", "offset")
 
 
 def sequences(placed: DataFrame) -> DataFrame:

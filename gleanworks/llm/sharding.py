@@ -19,7 +19,7 @@ import hashlib
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gleanworks.llm.common import durable, literal_table, ranked, text_or_empty
+from gleanworks.llm.common import durable, hot_limit, literal_table, ranked, text_or_empty
 from gleanworks.session import table
 
 RING_SLOTS = 4096
@@ -60,14 +60,18 @@ def walk_plan(counts: dict[int, int], shards: int, **kwargs) -> list[dict]:
 
 
 def shard_rows(df: DataFrame, key: str, order: list[str], shards: int) -> DataFrame:
-    """Adds ring_slot, shard and slot (the place in the shard, gapless from 0)."""
-    keyed = durable(df.withColumn("ring_slot", F.pmod(F.xxhash64(F.col(key)), F.lit(RING_SLOTS)).cast("int")))
+    """df with ring_slot, shard and slot (the place in the shard, gapless from 0), in place of columns of those names."""
+    # The caller's columns go along in a struct, so that none of their names can clash.
+    own, by = F.struct(*(F.col(f"`{c}`") for c in df.columns)), [f"_by{i}" for i in range(len(order))]
+    slot = F.pmod(F.xxhash64(F.col(key)), F.lit(RING_SLOTS)).cast("int")
+    keyed = durable(df.select(own.alias("_row"), slot.alias("ring_slot"), *(F.col(c).alias(b) for c, b in zip(order, by))))
     counts = {r["ring_slot"]: r["count"] for r in keyed.groupBy("ring_slot").count().collect()}
-    runs = literal_table(df.sparkSession, walk_plan(counts, shards), "ring_slot int, first long, last long, shard int, base long")
-    rows = ranked(keyed, ["ring_slot"], order, sum(counts.values()))
+    runs, n_rows = literal_table(df.sparkSession, walk_plan(counts, shards), "ring_slot int, first long, last long, shard int, base long"), sum(counts.values())
+    rows = ranked(keyed, ["ring_slot"], by, [{"ring_slot": k, "n": n} for k, n in counts.items() if n > hot_limit(n_rows)], n_rows)
     # At most RING_SLOTS x shards runs, at any data size.
     placed = rows.join(F.broadcast(runs), "ring_slot").where("rank >= first AND rank < last")
-    return placed.withColumn("slot", F.col("base") + F.col("rank") - F.col("first")).drop("first", "last", "base", "rank")
+    placed = placed.withColumn("slot", F.col("base") + F.col("rank") - F.col("first"))
+    return placed.select(*(F.col(f"_row.`{c}`") for c in df.columns if c not in ("ring_slot", "shard", "slot")), "ring_slot", "shard", "slot")
 
 
 def op8_ring_shards(spark, sf_dir):

@@ -38,9 +38,12 @@ def docs(spark, sf_dir):
 # ranks and components
 
 
-def test_ranked(spark):
+def test_ranked(spark, monkeypatch):
     df = spark.range(3000).select((F.col("id") % 3 * (F.col("id") % 2)).alias("k"), F.col("id"))
-    rows = common.ranked(df, ["k"], ["id"], 3000).collect()
+    hot = [{"k": 0, "n": 2000}]
+    monkeypatch.setattr(common, "HOT_ROWS", 300)
+    assert common.ranked(df, ["k"], ["id"], [], 3000).orderBy("k", "id").first()["rank"] == 0
+    rows = common.ranked(df, ["k"], ["id"], hot, 3000).collect()
     by = Counter(r["k"] for r in rows)
     assert sorted((r["k"], r["rank"]) for r in rows) == sorted((k, i) for k, n in by.items() for i in range(n))
 

@@ -386,13 +386,35 @@ def test_knn_cell_plan_prunes_only_what_cannot_matter():
     cell = ((x[:, None] - p) ** 2).sum(2).argmin(1)
     far = np.sqrt(((x - p[cell]) ** 2).sum(1))
     cells = [{"cell": c, "n": int((cell == c).sum()), "radius": float(far[cell == c].max())} for c in np.unique(cell)]
-    plan = {(r["cell"], r["goal"]) for r in knn.cell_plan(cells, cells, p, 5)}
+    plan = set(knn.cell_plan(cells, cells, p, 5))
     assert len(plan) < len(cells) ** 2
     for q in range(240):
         best = np.argsort(-(x @ x[q]), kind="stable")[:6]
         assert all((cell[b], cell[q]) in plan for b in best if (x[b] @ x[q]) > np.sort(x @ x[q])[-6])
 
 
+def test_knn_with_small_shares(spark, monkeypatch):
+    for name, n in (("BLOCK_BYTES", 500), ("CHUNK_BYTES", 1500), ("GROUP_BYTES", 800), ("ROWS", 5)):
+        monkeypatch.setattr(knn, name, n)
+    test_knn_matches_all_products(spark, True)
+
+
+def test_knn_repeated_ids_lengths_and_names(spark):
+    rows = [(20, [1, 2, 3]), (20, [1, 2]), (1, [5]), (1, [0, 0, 9]), (2, [4, 4, 4]), (2, [4, 4, 4])]
+    df = spark.createDataFrame(rows, "id long, vec array<long>").withColumns({c: F.lit("mine") for c in ("vid", "cell", "part", "n", "score", "rank")})
+    got = [(r["rank"], r["vec_id"], r["score"]) for r in knn.nearest_join(df, df.where("id = 20"), 3).collect()]
+    assert sorted(got) == sorted([(1, 1, 27), (2, 2, 24), (3, 2, 24), (1, 2, 12), (2, 2, 12), (3, 1, 5)])
+
+
+def test_best_of():
+    rng = np.random.default_rng(1)
+    scores, names = rng.integers(0, 5, (7, 40)), np.broadcast_to(rng.permutation(40), (7, 40))
+    row, at = knn.best_of(scores, names, 6)
+    score, name = scores[row, at], names[row, at]
+    want = [(i, s, n) for i in range(7) for s, n in sorted(zip(scores[i].tolist(), names[i].tolist()), key=lambda x: (-x[0], x[1]))[:6]]
+    assert list(zip(row.tolist(), score.tolist(), name.tolist())) == want
+
+
 def test_knn_cases(spark):
     rows = [(0, [0.5, None]), (20, None), (40, [float("nan"), 1.0]), (60, [float("inf"), 1.0]), (80, [0.5, 0.5]), (1, [0.5, 0.5]), (2, [0.5, 0.5]), (None, [1.0, 1.0])]
     df = knn.integer_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), "vec_id", "embedding")

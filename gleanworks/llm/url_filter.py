@@ -1,17 +1,20 @@
 """URL verdicts from a weighted vocabulary, after explicit rules.
 
-Every url's host and path are searched for all terms at once (an Aho-Corasick automaton). A hit
-counts only between boundaries: the characters around it, if any, are not letters or digits. One
-strict term blocks, as do SOFT_LIMIT different soft terms. Rules on (host, path prefix) come first
-and the longest that fits decides.
-
-Nulls: a null url, or one without `://`, has an empty host and path, fits no rule and holds no
-term, so it is allowed. Very long urls are searched whole. Repeated rows each get their verdict.
-Empty input: an empty result. Extra columns are ignored.
+Every url, from behind its `://` on, with query and fragment, is searched for all terms at once (an
+Aho-Corasick automaton). A hit counts only between boundaries: the characters around it, if any, are
+not letters or digits. One strict term blocks, as do SOFT_LIMIT different soft terms; a soft term
+and its plural are two. Rules on (host, path prefix) come first and the longest that fits decides.
+
+Nulls: a null url has an empty host and path, fits no rule and holds no term, so it is allowed. A
+url without `://` has an empty host and path too, but is searched whole. Very long urls are searched
+whole. Repeated rows each get their verdict. Empty input: an empty result. Extra columns are kept;
+the columns that judge writes take the place of ones of their names.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import ahocorasick
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -22,10 +25,18 @@ from gleanworks.session import table
 #: Fixed rules: (rule, verdict).
 RULES = (("com/", "allow"), ("example.com/en/", "block"), ("www.example.com/en/", "allow"), ("net/es/", "block"), ("net/fr/", "block"))
 
-#: One hit of these blocks: adult, gambling, pharmacy and ad fraud terms of one meaning.
-STRICT = ("adclick", "adserver", "adservers", "adultdating", "adultsex", "adultvideo", "adultvideos", "bangbros", "bestiality", "blowjob", "blowjobs", "brazzers", "bukkake", "callgirl", "callgirls", "camgirl", "camgirls", "camsex", "cialis", "clickfraud", "creampie", "cumshot", "cumshots", "deepfakeporn", "doorwaypage", "escortservice", "escortservices", "gangbang", "gangbangs", "hardcore", "hentai", "kamagra", "keygen", "keygens", "levitra", "linkfarm", "linkfarms", "livesex", "milf", "milfs", "nsfw", "onlinebetting", "onlinecasino", "onlinecasinos", "onlinegambling", "onlinepharmacy", "onlinepoker", "onlyfansleak", "onlyfansleaks", "phonesex", "popunder", "popunders", "porn", "pornhub", "porno", "pornographic", "pornography", "pornos", "porns", "pornstar", "pornstars", "redtube", "sexcam", "sexcams", "sexchat", "sexdating", "sexshop", "sextape", "sextapes", "sextoy", "sextoys", "sexvideo", "sexvideos", "sildenafil", "spamdexing", "sportsbetting", "sportsbook", "sportsbooks", "tadalafil", "upskirt", "upskirts", "viagra", "warez", "xhamster", "xnxx", "xvideos", "xxx", "youporn")
-#: SOFT_LIMIT different ones of these block: terms that also have a harmless meaning, inflected forms, and bait words.
-SOFT = ("ads", "adult", "adults", "advert", "adverts", "affiliate", "affiliates", "ambien", "babe", "babes", "baccarat", "banner", "banners", "bet", "bets", "betting", "bettor", "bettors", "bingo", "blackjack", "bonus", "bonuses", "bookie", "bookies", "bookmaker", "bookmakers", "cam", "cams", "casino", "casinos", "cheap", "cheapest", "clickbait", "crack", "cracked", "cracks", "dating", "discount", "discounts", "erotic", "erotica", "escort", "escorts", "fetish", "fetishes", "free", "freebie", "freebies", "gamble", "gambler", "gamblers", "gambling", "girls", "hot", "jackpot", "jackpots", "kink", "kinky", "lesbians", "lingerie", "lotteries", "lottery", "lotto", "meds", "naked", "nude", "nudes", "nudist", "nudity", "opioid", "pharma", "pharmacies", "pharmacy", "phentermine", "pill", "pills", "poker", "popup", "popups", "prize", "prizes", "roulette", "serialz", "sex", "sexual", "sexy", "slot", "slots", "spam", "spammer", "spammers", "spammy", "sponsored", "steroid", "steroids", "strip", "stripper", "strippers", "striptease", "swinger", "swingers", "tablets", "teen", "teens", "torrent", "torrents", "track", "tracker", "trackers", "tracking", "tramadol", "valium", "wager", "wagering", "wagers", "webcam", "webcams", "win", "winner", "winners", "winning", "xanax")
+#: The vocabulary: terms of one meaning (adult, gambling, pharmacy, ad fraud; four languages) weigh 2,
+#: terms that also have a harmless meaning, and bait words, weigh 1. Plurals in s follow by rule.
+STRICT_TERMS = ("adclick", "adserver", "adultdating", "adultsex", "adultvideo", "bangbros", "bestiality", "blowjob", "brazzers", "bukkake", "callgirl", "camgirl", "camsex", "cialis", "clickfraud", "creampie", "cumshot", "deepfakeporn", "doorwaypage", "escortservice", "filmporno", "gangbang", "hardcore", "hentai", "hurensex", "kamagra", "keygen", "levitra", "linkfarm", "livesex", "milf", "nsfw", "onlinebetting", "onlinecasino", "onlinegambling", "onlinepharmacy", "onlinepoker", "onlyfansleak", "pelisporno", "phonesex", "popunder", "porn", "pornhub", "porno", "pornografia", "pornografie", "pornographic", "pornographie", "pornography", "pornstar", "redtube", "sexcam", "sexchat", "sexdating", "sexfilm", "sexkontakte", "sexshop", "sextape", "sextoy", "sexvideo", "sildenafil", "spamdexing", "sportsbetting", "sportsbook", "tadalafil", "upskirt", "viagra", "videoporno", "warez", "xhamster", "xnxx", "xvideos", "xxx", "youporn")
+SOFT_TERMS = ("ads", "adult", "adulte", "adulto", "advert", "affiliate", "ambien", "apuesta", "argent", "babe", "baccarat", "banner", "barato", "bet", "betting", "bettor", "billig", "bingo", "blackjack", "bonus", "bonuses", "bookie", "bookmaker", "cam", "casino", "cheap", "cheapest", "clickbait", "crack", "cracked", "dating", "desnuda", "desnudo", "discount", "erotic", "erotica", "erotico", "erotik", "erotique", "escort", "escorte", "farmacia", "fetish", "fetishes", "free", "freebie", "gamble", "gambler", "gambling", "ganar", "gewinn", "gewinnspiel", "girls", "gluecksspiel", "gratis", "gratuit", "hot", "jackpot", "kasino", "kink", "kinky", "kostenlos", "lesbians", "lingerie", "loteria", "loterie", "lotterie", "lotteries", "lottery", "lotto", "medikament", "meds", "nackt", "naked", "nude", "nudist", "nudity", "opioid", "pastilla", "pharma", "pharmacie", "pharmacies", "pharmacy", "phentermine", "pill", "pilule", "poker", "popup", "potenzmittel", "premio", "prize", "rabatt", "rencontre", "roulette", "ruleta", "serialz", "sex", "sexe", "sexo", "sexual", "sexy", "slot", "sorteo", "spam", "spammer", "spammy", "spielautomat", "spielcasino", "sponsored", "steroid", "strip", "stripper", "striptease", "swinger", "tablets", "teen", "torrent", "track", "tracker", "tracking", "tragaperras", "tramadol", "valium", "wager", "wagering", "webcam", "wette", "wetten", "win", "winner", "winning", "xanax")
+
+
+def with_plurals(terms: tuple[str, ...]) -> tuple[str, ...]:
+    return terms + tuple(t + "s" for t in terms if not t.endswith("s") and t + "s" not in terms)
+
+
+STRICT, SOFT = with_plurals(STRICT_TERMS), with_plurals(SOFT_TERMS)
+#: One strict term blocks, as do so many different soft ones.
 SOFT_LIMIT = 2
 #: What the SQL form needs: a term between boundaries.
 BOUNDED = "(^|[^a-z0-9]){}([^a-z0-9]|$)"
@@ -41,6 +52,11 @@ def path_of(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(url, r"(?s)^.*?://[^/?#]*([^?#]*)", 1), F.lit(""))
 
 
+def searched(url: Column) -> Column:
+    """What is searched for terms: all behind the first `://`, or the whole url; A-Z lower-cased."""
+    return F.coalesce(_lower(F.when(F.contains(url, F.lit("://")), F.regexp_extract(url, r"(?s)^.*?://(.*)$", 1)).otherwise(url)), F.lit(""))
+
+
 def _lower(c: Column) -> Column:
     """A-Z only, at any locale."""
     return F.translate(c, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -50,20 +66,21 @@ def term_hits(terms: tuple[str, ...], strict: frozenset[str]):
     """A pandas UDF: text (lower case) to struct<strict, soft>, the numbers of different terms hit."""
 
     @F.pandas_udf("strict int, soft int")
-    def hits(texts: pd.Series) -> pd.DataFrame:
+    def hits(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         machine = ahocorasick.Automaton()
         for term in terms:
             machine.add_word(term, term)
         machine.make_automaton()
-        rows = []
-        for text in texts:
-            found = set()
-            for end, term in machine.iter(text):
-                before, after = text[end - len(term) : end - len(term) + 1] if end >= len(term) else "", text[end + 1 : end + 2]
-                if not _inner(before) and not _inner(after):
-                    found.add(term)
-            rows.append((len(found & strict), len(found - strict)))
-        return pd.DataFrame(rows, columns=["strict", "soft"])
+        for texts in batches:
+            rows = []
+            for text in texts:
+                found = set()
+                for end, term in machine.iter(text):
+                    before, after = text[end - len(term) : end - len(term) + 1] if end >= len(term) else "", text[end + 1 : end + 2]
+                    if not _inner(before) and not _inner(after):
+                        found.add(term)
+                rows.append((len(found & strict), len(found - strict)))
+            yield pd.DataFrame(rows, columns=["strict", "soft"])
 
     return hits
 
@@ -73,7 +90,8 @@ def _inner(c: str) -> bool:
 
 
 def judge(df: DataFrame, url_col: str = "url", rules=RULES, strict=STRICT, soft=SOFT, soft_limit: int = SOFT_LIMIT) -> DataFrame:
-    """Adds host, path, rule, verdict, strict_hits, soft_hits."""
+    """df with host, path, rule, verdict, strict_hits and soft_hits."""
+    df = df.withColumn("_searched", searched(F.col(url_col)))
     df = df.withColumn("host", host_of(F.col(url_col))).withColumn("path", path_of(F.col(url_col)))
     rule, verdict = F.lit(None).cast("string"), F.lit(None).cast("string")
     for text, said in sorted(rules, key=lambda r: len(r[0])):  # the longest is the outermost
@@ -81,14 +99,14 @@ def judge(df: DataFrame, url_col: str = "url", rules=RULES, strict=STRICT, soft=
         fits = ((F.col("host") == host) | F.col("host").endswith("." + host)) & F.col("path").startswith(slash + path)
         rule, verdict = F.when(fits, F.lit(text)).otherwise(rule), F.when(fits, F.lit(said)).otherwise(verdict)
     hits = term_hits(tuple(strict) + tuple(soft), frozenset(strict))
-    df = df.withColumn("_hits", hits(F.concat(F.col("host"), _lower(F.col("path")))))
+    df = df.withColumn("_hits", hits(F.col("_searched")))
     own = F.when((F.col("_hits.strict") >= 1) | (F.col("_hits.soft") >= soft_limit), "block").otherwise("allow")
     return (
         df.withColumn("rule", rule)
         .withColumn("verdict", F.coalesce(verdict, own))
         .withColumn("strict_hits", F.col("_hits.strict"))
         .withColumn("soft_hits", F.col("_hits.soft"))
-        .drop("_hits")
+        .drop("_hits", "_searched")
     )
 
 
@@ -105,10 +123,9 @@ def _sql() -> str:
     rule = "CASE " + " ".join(f"WHEN {fits(r)} THEN '{r}'" for r, _ in rules) + " END"
     said = "CASE " + " ".join(f"WHEN {fits(r)} THEN '{v}'" for r, v in rules) + " END"
     return f"""
-WITH r AS (SELECT page_id, coalesce(CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) END, '') AS rest FROM pages),
-s AS (SELECT page_id, {lower("regexp_extract(rest, '^[^/?#]*')")} AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM r),
-h AS (SELECT *, host || {lower('path')} AS t FROM s),
-c AS (SELECT *, {hits(STRICT)} AS strict_hits, {hits(SOFT)} AS soft_hits FROM h)
+WITH r AS (SELECT page_id, coalesce(CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) END, '') AS rest, coalesce(CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE url END, '') AS whole FROM pages),
+s AS (SELECT page_id, {lower("whole")} AS t, {lower("regexp_extract(rest, '^[^/?#]*')")} AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM r),
+c AS (SELECT *, {hits(STRICT)} AS strict_hits, {hits(SOFT)} AS soft_hits FROM s)
 SELECT page_id, host, path, {rule} AS rule, coalesce({said}, CASE WHEN strict_hits >= 1 OR soft_hits >= {SOFT_LIMIT} THEN 'block' ELSE 'allow' END) AS verdict, strict_hits, soft_hits FROM c"""
 
 

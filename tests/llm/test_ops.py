@@ -272,7 +272,7 @@ def test_urls(spark):
     rows = [("http://A.com", "a.com", "", None, "allow"), ("x://B.Com/", "b.com", "/", "com/", "allow"), ("https://www.example.com/en/x?porn", "www.example.com", "/en/x", "www.example.com/en/", "allow"),
             ("https://x.example.com/en/#a", "x.example.com", "/en/", "example.com/en/", "block"), ("http://notexample.org/EN/porn", "notexample.org", "/EN/porn", None, "block"),
             ("http://a.org/porntal", "a.org", "/porntal", None, "allow"), ("http://a.org/casino-poker", "a.org", "/casino-poker", None, "block"), ("http://a.org/casino-casino", "a.org", "/casino-casino", None, "allow"),
-            ("http://xxx.org", "xxx.org", "", None, "block"), ("nothing", "", "", None, "allow"), (None, "", "", None, "allow"), ("http://a.org?x/y", "a.org", "", None, "allow"), ("http://a.net/fr/", "a.net", "/fr/", "net/fr/", "block"),
+            ("http://xxx.org", "xxx.org", "", None, "block"), ("nothing", "", "", None, "allow"), (None, "", "", None, "allow"), ("http://a.org?x/y", "a.org", "", None, "allow"), ("http://a.org/out?to=pornhub", "a.org", "/out", None, "block"), ("http://a.org/#casino-gratis", "a.org", "/", None, "block"), ("pornhub.org/x", "", "", None, "block"), ("http://a.net/fr/", "a.net", "/fr/", "net/fr/", "block"),
             ("http://a.org/" + "p" * 100_000 + "/xxx", "a.org", "/" + "p" * 100_000 + "/xxx", None, "block")]
     df = spark.createDataFrame([(i, r[0]) for i, r in enumerate(rows)], "page_id int, url string")
     got = url_filter.judge(df).orderBy("page_id").collect()
@@ -288,6 +288,15 @@ def test_terms_block_urls_without_a_rule(spark):
     assert got == {u: (None, "block") for u in blocked} | {u: (None, "allow") for u in allowed}
 
 
+def test_url_columns_and_a_page_table(spark, tmp_path):
+    rows = [(1, "http://a.org/wetten/gratis", None), (2, "http://a.org/apuestas-casino", None), (3, "http://a.org/viagra", None), (4, "http://a.org/pilules", None), (5, "http://news.org/sport", None), (6, None, None)]
+    spark.createDataFrame(rows, "page_id long, url string, html string").write.parquet(str(tmp_path / "pages.parquet"))
+    got = {r["page_id"]: (r["rule"], r["verdict"]) for r in url_filter.op4_url_terms(spark, str(tmp_path)).collect()}
+    assert got == {1: (None, "block"), 2: (None, "block"), 3: (None, "block"), 4: (None, "allow"), 5: (None, "allow"), 6: (None, "allow")}
+    mine = spark.createDataFrame([("http://a.org", "x", "y")], "url string, host string, other string")
+    assert tuple(url_filter.judge(mine).select("host", "other", "verdict").first()) == ("a.org", "y", "allow")
+
+
 # 5 language models
 
 
@@ -569,3 +578,11 @@ def test_media_cases(spark):
     pcm = np.frombuffer(b"".join(r["pcm"] for r in blocks), np.uint8) ^ 0x80
     assert pcm.tobytes() == media.padded(LONG.encode()) and [r["sample_offset"] for r in blocks] == [i * 4 * 576 for i in range(len(blocks))]
     assert media.media_digest(media.encode_media(empty(spark))).count() == 0
+    found = media.samples_at(encoded.where("id = 4").withColumn("at", F.lit(576 * 7 + 5)), "at").first()
+    assert found["block_offset"] == 576 * 7 and found["pcm"] == pcm[576 * 7 : 576 * 8].tobytes().translate(bytes(b ^ 0x80 for b in range(256)))
+
+
+def test_shard_columns_of_the_caller(spark):
+    df = spark.range(50).withColumns({c: F.lit("mine") for c in ("rank", "first", "last", "base", "_own", "_piece", "_row", "_by0", "a.b")})
+    got = sharding.shard_rows(df, "id", ["id"], 3)
+    assert got.columns == [*df.columns, "ring_slot", "shard", "slot"] and {(r["rank"], r["_own"], r["a.b"]) for r in got.collect()} == {("mine",) * 3}

@@ -2,8 +2,8 @@
 
 Document rates r minimise their relative entropy to 1 under one token constraint per source and
 r <= 3. The convex dual has one multiplier per source, and r = min(3, exp(multiplier * tokens)).
-Newton steps, kept inside a bracket, solve the dual over counts of (source, tokens); each step is
-one distributed aggregation of exact decimal sums. Rates become copies by systematic rounding: within a source the
+Newton steps, kept inside a bracket, solve the dual over counts of (source, tokens), for all
+sources at once where their rows are. Rates become copies by systematic rounding: within a source the
 documents stand from the longest to the shortest, and a document's copies are the whole numbers that the running
 sum of rates passes. The rounding's offset is, per source, the one of OFFSETS candidates whose
 words come nearest to the target. Rates are whole multiples of 2^-20, so that sums are exact and
@@ -17,6 +17,7 @@ identical rows are interchangeable. Empty input: an empty result. Extra columns
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -29,10 +30,8 @@ WEIGHTS = (5, 2, 1)
 CAP = 3
 UNIT = 1 << 20
 OFFSETS = 32
-#: Newton steps between two looks at the error; a solver that is not done after MOST_STEPS raises.
-STEPS_A_JOB, MOST_STEPS = 4, 400
-#: The solver's rates are whole multiples of 2^-40, so that its sums are exact on any layout.
-FINE = float(1 << 40)
+#: Newton steps at most; a source that is not solved by then is an error.
+MOST_STEPS = 400
 
 
 def word_count(text: Column) -> Column:
@@ -61,56 +60,58 @@ def source_targets(sources: DataFrame) -> DataFrame:
     return df.withColumn("target", F.least("most", F.col("weight") * level)).select("source", "source_size", "target")
 
 
+def bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value) with value computed once, however often the body uses it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def newton_step(state: Column) -> Column:
+    """The next (lam, lo, hi, off) of a source, from the moments of its histogram `hist` at the multiplier lam."""
+    lam = state["lam"]
+    rate = lambda x: F.least(F.lit(float(CAP)), F.exp(F.least(F.lit(50.0), lam * x)))
+
+    def add(held, cell):
+        x = cell["size"] / F.col("mean")
+        words = cell["n"] * rate(x) * x
+        return F.struct((held["got"] + words).alias("got"), (held["slope"] + F.when(rate(x) < CAP, words * x).otherwise(0.0)).alias("slope"))
+
+    def moved(m):
+        g = m["got"] - F.col("goal")
+        # The lower end is unknown below 0: it doubles until the rates fall short of the goal.
+        lo = F.when(g < 0, lam).when(state["lo"] >= lam, state["lo"] * 2 - 1).otherwise(state["lo"])
+        hi = F.when(g > 0, lam).otherwise(state["hi"])
+        newton = F.coalesce(lam - F.try_divide(g, m["slope"]), F.lit(float("inf")))
+        inside = (newton > lo) & (newton < hi)
+        near = F.abs(g) <= F.col("goal") * 1e-10
+        new = F.when(near, lam).when(inside, newton).otherwise((lo + hi) / 2)
+        return F.struct(new.alias("lam"), lo.alias("lo"), hi.alias("hi"), (F.abs(g) / F.col("goal")).alias("off"))
+
+    moments = F.aggregate("hist", F.struct(F.lit(0.0).alias("got"), F.lit(0.0).alias("slope")), add)
+    return F.when(state["off"] <= 1e-10, state).otherwise(bound(moments, moved))
+
+
 def rates(counts: DataFrame, targets: DataFrame) -> DataFrame:
-    """(source_key, multiplier, mean): solves the dual. counts: (source_key, size, n)."""
+    """(source_key, multiplier, mean): solves the dual. counts: (source_key, size, n).
+
+    The dual falls apart by source: Newton steps run for all sources at once, a row each, over the
+    source's histogram of sizes in order of size, so a sum does not depend on the layout. A
+    histogram has as many cells as a source has different sizes, however many documents."""
+    mean = F.sum(F.col("size") * F.col("n")) / F.sum("n")
     about = counts.groupBy("source_key").agg(
-        (F.sum(F.col("size") * F.col("n")) / F.sum("n")).alias("mean"),
-        F.min(F.when(F.col("size") > 0, F.col("size"))).alias("least"),
+        mean.alias("mean"), F.min(F.when(F.col("size") > 0, F.col("size"))).alias("least"), F.sort_array(F.collect_list(F.struct("size", "n"))).alias("hist")
     )
     tall = F.lit(1.0001 * math.log(CAP))
     # At the bracket's upper end all documents with words have the rate CAP; at 0 all have 1.
     up = F.col("target") > F.col("source_size")
-    state = durable(
-        about.join(targets, "source_key")
-        .where("source_size > 0")
-        .select(
-            "source_key", "mean", (F.col("target") / F.col("mean")).alias("goal"),
-            F.lit(0.0).alias("lam"),
-            F.when(up, F.lit(0.0)).otherwise(F.lit(-1.0)).alias("lo"),
-            F.when(up, tall * F.col("mean") / F.col("least")).otherwise(F.lit(0.0)).alias("hi"),
-            F.lit(None).cast("double").alias("off"),
-        )
-    )
-    x, lam = F.col("size") / F.col("mean"), F.col("lam")
-    for taken in range(STEPS_A_JOB, MOST_STEPS + 1, STEPS_A_JOB):
-        for _ in range(STEPS_A_JOB):
-            r = F.least(F.lit(float(CAP)), F.exp(F.least(F.lit(50.0), lam * x)))
-            words = (F.rint(r * FINE).cast("decimal(14,0)") * (F.col("n") * F.col("size")).cast("decimal(18,0)")).cast("decimal(38,0)")
-            steep = F.when(r < CAP, words).otherwise(F.lit(0).cast("decimal(38,0)")) * F.col("size").cast("decimal(10,0)")
-            # The state's columns go along as keys, so that a step reads the step before it once.
-            step = (
-                counts.join(state, "source_key")
-                .groupBy("source_key", "mean", "goal", "lam", "lo", "hi")
-                .agg((F.sum(words).cast("double") / FINE / F.col("mean")).alias("got"), (F.sum(steep.cast("decimal(38,0)")).cast("double") / FINE / F.col("mean") / F.col("mean")).alias("slope"))
-            )
-            step = step.withColumn("g", F.col("got") - F.col("goal"))
-            # The lower end is unknown below 0: it doubles until the rates fall short of the goal.
-            lo = F.when(F.col("g") < 0, lam).when(F.col("lo") >= lam, F.col("lo") * 2 - 1).otherwise(F.col("lo"))
-            step = step.withColumn("lo", lo).withColumn("hi", F.when(F.col("g") > 0, lam).otherwise(F.col("hi")))
-            newton = lam - F.try_divide(F.col("g"), F.col("slope"))
-            inside = newton.isNotNull() & (newton > F.col("lo")) & (newton < F.col("hi"))
-            state = step.select(
-                "source_key", "mean", "goal",
-                F.when(F.abs("g") <= F.col("goal") * 1e-10, lam).when(inside, newton).otherwise((F.col("lo") + F.col("hi")) / 2).alias("lam"),
-                "lo", "hi", (F.abs("g") / F.col("goal")).alias("off"),
-            )
-        state = durable(state)
-        worst = state.agg(F.max("off").alias("worst")).first()["worst"]
-        if worst is None or worst < 1e-9:
-            break
-        if taken == MOST_STEPS:
-            raise RuntimeError(f"the dual is not solved after {taken} steps: off by {worst} of a target")
-    return state.select("source_key", F.round("lam", 9).alias("multiplier"), "mean")
+    lo, hi = F.when(up, F.lit(0.0)).otherwise(F.lit(-1.0)), F.when(up, tall * F.col("mean") / F.col("least")).otherwise(F.lit(0.0))
+    start = F.struct(F.lit(0.0).alias("lam"), lo.alias("lo"), hi.alias("hi"), F.lit(1.0).alias("off"))
+    df = about.join(targets, "source_key").where("source_size > 0").withColumn("goal", F.col("target") / F.col("mean"))
+    solved = F.aggregate(F.sequence(F.lit(1), F.lit(MOST_STEPS)), start, lambda state, _: newton_step(state))
+    out = durable(df.select("source_key", "mean", solved.alias("s")))
+    worst = out.agg(F.max("s.off").alias("worst")).first()["worst"]
+    if worst is not None and not worst < 1e-9:
+        raise RuntimeError(f"the dual is not solved after {MOST_STEPS} steps: off by {worst} of a target")
+    return out.select("source_key", F.round("s.lam", 9).alias("multiplier"), "mean")
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:

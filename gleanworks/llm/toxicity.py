@@ -8,13 +8,13 @@ overlapping windows of WINDOW words, a new one each STEP words; a window is comp
 dictionary, and the gap is how much shorter the toxic one makes it. Both dictionaries end in one
 anchor that stands before each window, so a window's block always holds a match and any further
 match shows in its length. How many windows reach each threshold of the gap, below zero too, with
-the number of windows, gives the score by a logistic calibration fitted on labelled texts that the
+the number of windows, gives the score by a logistic calibration fitted on labelled texts that these
 dictionaries have not seen. Scoring takes whole texts, row by row; nothing is shuffled.
 
-Sample: at most 2 x SAMPLE texts a class, of any length, chosen by a hash of the id. Their features
-are computed where the texts are; the driver gets those and at most PASSAGES passages of
-PASSAGE_BYTES for each class and half, chosen by hash from all places of the texts. Each half is
-calibrated on with dictionaries of the other; the final ones are of both.
+Sample: at most 2 x SAMPLE texts a class, of any length, chosen by a hash of the id. Three fifths of
+them, by another hash, train the dictionaries: at most PASSAGES passages of PASSAGE_BYTES a class,
+chosen by hash from all places of the texts, reach the driver. The rest calibrate: their features are
+computed where the texts are, and the driver gets only those.
 
 Nulls: a null text scores as an empty one, which has one empty window; a null label or id is never
 sampled. Several labels of one id count as their largest; of several texts of one id, the one of
@@ -44,18 +44,18 @@ from gleanworks.session import table
 
 THRESHOLD = 0.3
 SAMPLE = 2000
-PASSAGES, PASSAGE_BYTES = 2500, 1200
+PASSAGES, PASSAGE_BYTES = 4000, 1200
 #: Partitions of the sample, whose texts come from limits and so from one task each.
 PARTS = 32
 #: Words in a window, and from one window's start to the next's; longer words are cut.
 WINDOW, STEP, WORD_BYTES = 4, 2, 32
-TRAINED_BYTES, DICTIONARY_BYTES = 16_384, 8192
+TRAINED_BYTES, DICTIONARY_BYTES = 32_768, 8192
 #: Parameters of the trainer: bytes that must repeat, and bytes of a segment.
 TRAIN_D, TRAIN_K = 8, 16
 #: A string of GRAM bytes is a class's own if it is so many times (e^2) likelier there, by such a log-likelihood ratio.
-GRAM, LEAST_ODDS, LEAST_EVIDENCE = 6, 2.0, 15.0
+GRAM, LEAST_ODDS, LEAST_EVIDENCE = 7, 2.0, 15.0
 #: Share of the count of the best overlapping string that a string needs to be kept.
-CORE = 0.5
+CORE = 0.7
 AROUND = 8
 ANCHOR = bytes(range(1, 25))
 GAPS, BELOW = tuple(range(1, 13)), (1, 2, 3, 5)
@@ -202,7 +202,7 @@ def held_out(id_col: str | Column) -> Column:
 
 
 def sampled(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, sample: int) -> DataFrame:
-    """(toxic, fold, text) of at most 2 x sample labelled texts a class, outside the held-out fold."""
+    """(toxic, fold, text) of at most 2 x sample labelled texts a class, outside the held-out fold; fold 0 is for dictionaries, 1 for calibration."""
     known = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull() & ~held_out(id_col)).groupBy(id_col).agg(F.max(label_col).alias("_toxic"))
     known = known.select(F.col(id_col).alias("_id"), (F.col("_toxic") > 0).cast("int").alias("_toxic"))
     texts, out = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text")), None
@@ -211,26 +211,24 @@ def sampled(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, labe
         picked = known.where(F.col("_toxic") == toxic).orderBy(F.xxhash64("_id"), "_id").limit(3 * sample)
         one = F.min(F.struct(F.xxhash64("_text").alias("h"), "_text"))["_text"]
         found = texts.join(F.broadcast(picked), "_id").groupBy("_id").agg(one.alias("text")).orderBy(F.xxhash64("_id"), "_id").limit(2 * sample)
-        found = found.select(F.lit(toxic).alias("toxic"), F.pmod(F.xxhash64("_id", F.lit(1)), F.lit(2)).cast("int").alias("fold"), "text")
+        found = found.select(F.lit(toxic).alias("toxic"), (F.pmod(F.xxhash64("_id", F.lit(1)), F.lit(5)) >= 3).cast("int").alias("fold"), "text")
         out = found if out is None else out.unionByName(found)
     return durable(out.repartition(PARTS))
 
 
-def passages(texts: DataFrame, most: int = PASSAGES) -> dict[tuple[int, int], list[bytes]]:
-    """For each (toxic, fold) at most so many passages, by hash, of all that the texts hold."""
+def passages(texts: DataFrame, most: int = PASSAGES) -> dict[int, list[bytes]]:
+    """For each class at most so many passages, by hash, of all that the texts(toxic, text) hold."""
 
     def cut(batches):
         for batch in batches:
             for part in groups(pc.fill_null(pc.binary_length(batch["text"]), 0).to_pylist(), GROUP_BYTES):
                 own = batch.slice(part.start, part.stop - part.start)
-                rows = [(x, f, t[i : i + PASSAGE_BYTES]) for x, f, t in zip(own["toxic"].to_pylist(), own["fold"].to_pylist(), map(_plain, lowered(own["text"]))) for i in range(0, len(t), PASSAGE_BYTES)]
-                yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kind) for i, kind in enumerate((pa.int32(), pa.int32(), pa.binary()))], ["toxic", "fold", "data"])
+                rows = [(x, t[i : i + PASSAGE_BYTES]) for x, t in zip(own["toxic"].to_pylist(), map(_plain, lowered(own["text"]))) for i in range(0, len(t), PASSAGE_BYTES)]
+                yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kind) for i, kind in enumerate((pa.int32(), pa.binary()))], ["toxic", "data"])
 
-    made, out = durable(texts.mapInArrow(cut, "toxic int, fold int, data binary").distinct()), {}
-    for key in ((1, 0), (1, 1), (0, 0), (0, 1)):
-        own = made.where((F.col("toxic") == key[0]) & (F.col("fold") == key[1]))
-        out[key] = [bytes(r[0]) for r in own.orderBy(F.xxhash64("data"), "data").limit(most).select("data").collect()]
-    return out
+    made = durable(texts.mapInArrow(cut, "toxic int, data binary").distinct())
+    by_hash = lambda toxic: made.where(F.col("toxic") == toxic).orderBy(F.xxhash64("data"), "data").limit(most)
+    return {toxic: [bytes(r[0]) for r in by_hash(toxic).select("data").collect()] for toxic in (1, 0)}
 
 
 def _plain(text: bytes) -> bytes:
@@ -240,22 +238,23 @@ def _plain(text: bytes) -> bytes:
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", sample: int = SAMPLE) -> ToxicityModel:
     """A model from labelled documents outside the held-out fold."""
     texts = sampled(docs, labels, id_col, text_col, label_col, sample)
-    parts = passages(texts)
+    parts = passages(texts.where("fold = 0"))
     if not all(parts.values()):
         return ToxicityModel(b"", b"")
-    both = lambda toxic: parts[toxic, 0] + parts[toxic, 1]
-    halves = [dictionaries(parts[1, 1 - fold], parts[0, 1 - fold]) for fold in (0, 1)]  # each half meets dictionaries of the other
+    model = dictionaries(parts[1], parts[0])
+    made = ToxicityModel(model.toxic, model.ordinary)
 
     def measure(batches):
         for batch in batches:
             for part in groups(pc.fill_null(pc.binary_length(batch["text"]), 0).to_pylist(), GROUP_BYTES):
                 own = batch.slice(part.start, part.stop - part.start)
-                x = [halves[f].features([t])[0] for f, t in zip(own["fold"].to_pylist(), lowered(own["text"]))]
+                x = made.features(lowered(own["text"]))
                 yield pa.RecordBatch.from_arrays([own["toxic"], pa.array([r.tolist() for r in x], pa.list_(pa.float64()))], ["toxic", "x"])
 
-    rows = texts.mapInArrow(measure, "toxic int, x array<double>").orderBy("toxic", "x").collect()
+    rows = texts.where("fold = 1").mapInArrow(measure, "toxic int, x array<double>").orderBy("toxic", "x").collect()
     y, x = np.array([r["toxic"] for r in rows], float), np.array([r["x"] for r in rows])
-    model = dictionaries(both(1), both(0))
+    if len(set(y)) < 2:
+        return model
     # The classes weigh as they do among all labels.
     known = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull() & ~held_out(id_col)).groupBy(id_col).agg(F.max(label_col).alias("_toxic"))
     total = known.agg(F.count_if(F.col("_toxic") > 0).alias("t"), F.count_if(F.col("_toxic") <= 0).alias("o")).first()

@@ -2,7 +2,12 @@
 
 STAGES lists (name, function); each function takes (spark, docs, sf_dir) and returns a DataFrame
 that is written as Parquet and read again as the next one's docs. All but the last return the
-columns of documents.
+columns of docs, whatever their names.
+
+Nulls: a null text is clean, near to nothing, without words and packed as an empty one; a null id or
+source goes through all stages. Very long texts go through whole. Repeated rows and ties: of equal
+texts one row stays, that of the least id (null last); rows without words all stay. An empty table
+gives an empty result. Extra columns are kept up to packing, which returns its own.
 """
 
 from __future__ import annotations
@@ -11,7 +16,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gleanworks.llm.common import OWN_CHECKPOINTS
+from gleanworks.llm.common import checkpoint_root
 from gleanworks.llm.mixing import mixed_documents
 from gleanworks.llm.ngram_join import one_of_each
 from gleanworks.llm.packing import packed_documents
@@ -47,7 +52,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The last stage's rows for documents."""
-    folder = f"{spark.conf.get('spark.checkpoint.dir', None) or OWN_CHECKPOINTS}/pipeline-{uuid.uuid4().hex}"
+    folder = f"{checkpoint_root(spark)}/pipeline-{uuid.uuid4().hex}"
     docs = table(spark, sf_dir, "documents")
     for i, (name, stage) in enumerate(STAGES):
         out = stage(spark, docs, sf_dir)

@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gleanworks.llm.common import durable, text_groups
+from gleanworks.llm.common import stored, text_groups
 from gleanworks.llm.shingles import GROUP_BYTES, mixed, word_hashes
 from gleanworks.session import table
 
@@ -39,8 +39,8 @@ OTHER, START = np.uint64(0), np.uint64(1)
 #: Share of a pair's own frequency in its probability; the rest is the word's.
 OWN = 0.7
 FLUSH = 1_000_000
-DEALT = 400_000
-BUCKET_BYTES, LEAST_BUCKETS, BUCKETS_A_TASK = 6_000_000, 8, 4
+DEALT = 600_000
+BUCKET_BYTES, LEAST_BUCKETS, BUCKETS_A_TASK = 8_000_000, 8, 4
 HOT = 200_000
 UNIT = 1 << 30
 #: Kinds of text; a bucket's rows of kind ROWS name the documents themselves.
@@ -216,7 +216,7 @@ def _dealt(texts: DataFrame, kind: int, known, hot, buckets: int) -> DataFrame:
                     own, place = np.unique(np.concatenate([before[i:j], words[i:j]]), return_inverse=True)
                     place, entries = place.astype(_width(len(own))), slice(ends[i], ends[j])
                     sizes = (np.diff(ends[i : j + 1]), doc[entries], n[entries])
-                    out.append((int(bucket[i]), kind, base, own.tobytes(), place[: j - i].tobytes(), place[j - i :].tobytes(), *(_planes(x) for x in sizes)))
+                    out.append((int(bucket[i]), kind, base, _planes(own), place[: j - i].tobytes(), place[j - i :].tobytes(), *(_planes(x) for x in sizes)))
             return _batch(dict(zip(DEALT_KINDS, zip(*out) if out else [[]] * len(DEALT_KINDS))), DEALT_KINDS)
 
         for batch in _coded(frames, known):
@@ -237,12 +237,13 @@ def _width(n: int):
 
 
 def _planes(x: np.ndarray) -> bytes:
-    """Numbers under 2^32, all their lowest bytes first: the high ones compress to nothing."""
-    return np.ascontiguousarray(x.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
+    """Sorted hashes, or numbers under 2^32: all their lowest bytes first, as the high ones compress."""
+    x = x if x.dtype == np.uint64 else x.astype("<u4")
+    return np.ascontiguousarray(x.view(np.uint8).reshape(-1, x.itemsize).T).tobytes()
 
 
-def _unplaned(data: np.ndarray) -> np.ndarray:
-    return np.ascontiguousarray(data.reshape(4, -1).T).view("<u4")[:, 0]
+def _unplaned(data: np.ndarray, kind="<u4") -> np.ndarray:
+    return np.ascontiguousarray(data.reshape(np.dtype(kind).itemsize, -1).T).view(kind)[:, 0]
 
 
 def score_texts(docs: DataFrame, target: DataFrame, background: DataFrame, size: int | None = None) -> DataFrame:
@@ -257,10 +258,9 @@ def score_texts(docs: DataFrame, target: DataFrame, background: DataFrame, size:
     buckets = max(LEAST_BUCKETS, -(-n_bytes // BUCKET_BYTES))
     known = None if size is None else vocabulary(target.select("text").unionByName(background.select("text")), size)
 
-    words = word_table({k: t.select("text") for k, t in texts.items()}, known)
+    words = stored(word_table({k: t.select("text") for k, t in texts.items()}, known))
     if same:
         words = words.withColumns({"n1": F.col("n2"), "c1": F.col("c2")})
-    words = durable(words)
     facts = words.agg(F.count_if(F.col("n0") + F.col("n1") > 0).alias("v"), F.sum("n0").alias("t0"), F.sum("n1").alias("t1")).first()
     size, totals = size or facts["v"] + 2, (facts["t0"] or 0, facts["t1"] or 0)
 
@@ -284,7 +284,7 @@ def score_texts(docs: DataFrame, target: DataFrame, background: DataFrame, size:
         dealt = part if dealt is None else dealt.unionByName(part)
 
     def wanted(t):
-        own = [x for x, kind in zip(_read(t["words"], np.uint64), t["kind"].to_pylist()) if kind != ROWS]
+        own = [_unplaned(x, np.uint64) for x, kind in zip(_read(t["words"], np.uint8), t["kind"].to_pylist()) if kind != ROWS]
         codes = np.unique(np.concatenate(own)) if own else np.zeros(0, np.uint64)
         return pa.table({"target": np.full(len(codes), t["target"][0].as_py(), np.int64), "word": _signed(codes)})
 
@@ -300,7 +300,8 @@ def score_texts(docs: DataFrame, target: DataFrame, background: DataFrame, size:
         known_words = known_words[order]
         stats = {c: np.append(facts[c].to_numpy()[order], int(same and c[1] == "1")) for c in ("n0", "c0", "n1", "c1")}  # words not told of last
         raw = (_read(t[c], np.uint8) for c in ("a", "b", "docs", "doc", "n"))
-        for base, kind, own, a, b, docs_, doc, n in zip(bases, t["kind"].to_pylist(), _read(t["words"], np.uint64), *raw):
+        for base, kind, own, a, b, docs_, doc, n in zip(bases, t["kind"].to_pylist(), _read(t["words"], np.uint8), *raw):
+            own = _unplaned(own, np.uint64)
             at = _place(own, known_words)
             a, b = (at[x.view(_width(len(own)))] for x in (a, b))
             pair, n = np.repeat(a * (len(known_words) + 1) + b, _unplaned(docs_)), _unplaned(n)

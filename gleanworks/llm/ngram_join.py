@@ -41,7 +41,7 @@ SHARE, PART = 75, 100
 BUCKET_BYTES, LEAST_BUCKETS = 4_000_000, 48
 FLUSH = 500_000
 #: Bytes of bitmaps in a block of a tile, and in what one task compares at once.
-BLOCK_BYTES, PART_BYTES = 500_000, 8_000_000
+BLOCK_BYTES, PART_BYTES = 500_000, 24_000_000
 TILE_ROW = 40
 BUCKETS_A_TASK = 4
 SEEDS = (0, 0x5851F42D4C957F2D, 0x14057B7EF767814F)

@@ -71,6 +71,11 @@ def verdict(fish: Column, food: Column, text: Column, least_fish: float = 0.15,
     return F.when(fish < least_fish, "suspicious").when(text > most_text, "overlay?").when(food > most_food, "food?").otherwise("keep")
 
 
+def moves(verdict_: Column, strict: bool = False) -> Column:
+    """Whether a file of this verdict is to be moved away: suspicious ones; with strict, overlay and food ones too."""
+    return verdict_.isin("suspicious", "overlay?", "food?") if strict else verdict_ == "suspicious"
+
+
 def ordered_unique(*words: Column) -> Column:
     """Trimmed, non-empty words in order of their first occurrence; the arguments are arrays."""
     return F.array_distinct(F.filter(F.transform(F.concat(*words), lambda x: F.trim(x)), lambda x: x != ""))

@@ -217,3 +217,44 @@ def round_robin(df: DataFrame, bucket: str, order: list[str]) -> DataFrame:
 def append_first(log: DataFrame, new: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """The rows of new to append to a log: the first of each key that the log has not."""
     return first_copies(new, keys, order).join(log.select(*keys), keys, "left_anti")
+
+
+def append_new(log: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
+    """The rows of new to append to a log: all whose key the log has not, repeated ones too."""
+    return new.join(log.select(*keys).distinct(), keys, "left_anti")
+
+
+def expand_selectors(args: list[str], classes: DataFrame, aliases: DataFrame, only: Column | None = None, strict: bool = True) -> DataFrame:
+    """(name, place): names and aliases to classes, in order of argument and then of class; a class stands where it first occurs.
+
+    classes(idx, name), aliases(alias, idx). A word that is neither raises ValueError, unless not strict. `only` keeps some classes."""
+    spark = classes.sparkSession
+    named = classes.select(F.col("name").alias("arg"), "idx", "name")
+    members = aliases.select(F.col("alias").alias("arg"), "idx").join(classes, "idx").select("arg", "idx", "name").unionByName(named)
+    words = spark.range(1).select(F.posexplode(F.array(*map(F.lit, args))).alias("pos", "arg"))
+    unknown = [r["arg"] for r in words.join(members, "arg", "left_anti").collect()] if strict else []
+    if unknown:
+        raise ValueError(f"no such class or alias: {sorted(unknown)}")
+    found = words.join(members if only is None else members.where(only), "arg").groupBy("name", "idx").agg(F.min("pos").alias("pos"))
+    # As many rows as there are classes.
+    return found.select("name", F.row_number().over(Window.orderBy("pos", "idx")).cast("long").alias("place"))
+
+
+def first_contained(text: Column, names: list[str]) -> Column:
+    """The first of the names, in order, that the lower-cased text contains; null without one."""
+    return F.coalesce(*(F.when(F.contains(F.lower(text), F.lit(n)), n) for n in names))
+
+
+def orphans(df: DataFrame, key: str, parents: DataFrame, parent_key: str, rule: str, who: str) -> DataFrame:
+    """(rule, who): rows whose key no parent has; a null key is none either."""
+    return df.withColumn("_key", F.col(key)).join(parents.select(F.col(parent_key).alias("_key")), "_key", "left_anti").select(F.lit(rule).alias("rule"), F.col(who).alias("who"))
+
+
+def repeated(df: DataFrame, key: str, rule: str) -> DataFrame:
+    """(rule, who): values that stand more than once."""
+    return df.groupBy(key).count().where("count > 1").select(F.lit(rule).alias("rule"), F.col(key).alias("who"))
+
+
+def blank(df: DataFrame, column: str, rule: str) -> DataFrame:
+    """(rule, who): values that are empty but for spaces."""
+    return df.where(F.trim(column) == "").select(F.lit(rule).alias("rule"), F.col(column).alias("who"))

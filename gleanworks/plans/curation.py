@@ -131,8 +131,7 @@ COLOURS = ("red", "green", "part", "blue", "1")
 SELECT p_partkey, p_name, (SELECT arg_min(name, idx) FROM c WHERE contains(lower(p_name), name)) AS truth FROM part""")
 def truth_from_name(spark, sf_dir):
     """The first class, in order, that a name contains; the class list is a literal."""
-    first = F.coalesce(*(F.when(F.contains(F.lower("p_name"), F.lit(c)), c) for c in COLOURS))
-    return table(spark, sf_dir, "part").select("p_partkey", "p_name", first.alias("truth"))
+    return table(spark, sf_dir, "part").select("p_partkey", "p_name", cu.first_contained(F.col("p_name"), list(COLOURS)).alias("truth"))
 
 
 @query("keyword_unique", """SELECT p_partkey, array_to_string(list_filter(list_transform(range(1, len(w) + 1), lambda i: CASE WHEN list_position(w, w[i]) = i THEN w[i] END), lambda x: x IS NOT NULL AND x <> ''), '|') AS words
@@ -147,13 +146,10 @@ m AS (SELECT pos, n_nationkey, n_name FROM args JOIN region ON r_name = arg JOIN
 f AS (SELECT n_name, n_nationkey, min(pos) AS pos FROM m GROUP BY ALL) SELECT n_name, row_number() OVER (ORDER BY pos, n_nationkey) AS place FROM f""")
 def selector_expand(spark, sf_dir):
     """Names and aliases to members in order of argument; a member stands where it first occurs."""
-    args = spark.range(1).select(F.posexplode(F.array(*map(F.lit, ("ASIA", "FRANCE", "EUROPE")))).alias("pos", "arg"))
     nation, region = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
-    alias = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).select(F.col("r_name").alias("arg"), "n_nationkey", "n_name")
-    members = alias.unionByName(nation.select(F.col("n_name").alias("arg"), "n_nationkey", "n_name"))
-    found = args.join(members, "arg").groupBy("n_name", "n_nationkey").agg(F.min("pos").alias("pos"))
-    # As many rows as there are classes.
-    return found.select("n_name", F.row_number().over(Window.orderBy("pos", "n_nationkey")).cast("long").alias("place"))
+    aliases = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).select(F.col("r_name").alias("alias"), F.col("n_nationkey").alias("idx"))
+    classes = nation.select(F.col("n_nationkey").alias("idx"), F.col("n_name").alias("name"))
+    return cu.expand_selectors(["ASIA", "FRANCE", "EUROPE"], classes, aliases, strict=False).withColumnRenamed("name", "n_name")
 
 
 @query("quality_join_default", "SELECT d.doc_id, lang AS class, coalesce(CAST(quality AS DOUBLE), 1.0) AS score FROM documents d LEFT JOIN labels USING (doc_id) WHERE coalesce(CAST(quality AS DOUBLE), 1.0) >= 0.5")
@@ -266,10 +262,8 @@ def integrity_violations(spark, sf_dir):
     """Rows that break a rule; the first rule takes some rows' key as broken, so that there are any."""
     nation, region = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
     key = F.when(F.col("n_nationkey") % 10 == 3, F.lit(-1)).otherwise(F.col("n_regionkey"))
-    orphans = nation.withColumn("r_regionkey", key).join(region, "r_regionkey", "left_anti").select(F.lit("nation_region").alias("rule"), F.col("n_name").alias("who"))
-    twice = nation.groupBy("n_name").count().where("count > 1").select(F.lit("unique_name").alias("rule"), F.col("n_name").alias("who"))
-    empty = region.where(F.trim("r_name") == "").select(F.lit("empty_name").alias("rule"), F.col("r_name").alias("who"))
-    return orphans.unionByName(twice).unionByName(empty)
+    broken = cu.orphans(nation.withColumn("key", key), "key", region, "r_regionkey", "nation_region", "n_name")
+    return broken.unionByName(cu.repeated(nation, "n_name", "unique_name")).unionByName(cu.blank(region, "r_name", "empty_name"))
 
 
 @query("resize_geometry", """WITH s AS (SELECT doc_id, n_chars AS h, greatest(1, doc_id % 900) AS w FROM documents),

@@ -166,6 +166,17 @@ def test_group_split(spark):
 def test_append_first(spark):
     log, new = spark.createDataFrame([("a", 0)], "k string, n int"), spark.createDataFrame([("a", 1), ("b", 3), ("b", 2)], "k string, n int")
     assert [tuple(r) for r in cu.append_first(log, new, ["k"], ["n"]).collect()] == [("b", 2)]
+    assert sorted(tuple(r) for r in cu.append_new(log, new, ["k"]).collect()) == [("b", 2), ("b", 3)]
+
+
+def test_selectors(spark):
+    classes = spark.createDataFrame([(0, "cod"), (1, "eel"), (2, "other")], "idx int, name string")
+    aliases = spark.createDataFrame([("all", 0), ("all", 1), ("all", 2)], "alias string, idx int")
+    names = lambda df: [r["name"] for r in df.orderBy("place").collect()]
+    assert names(cu.expand_selectors(["eel", "all"], classes, aliases)) == ["eel", "cod", "other"]
+    assert names(cu.expand_selectors(["all"], classes, aliases, F.col("name") != "other")) == ["cod", "eel"]
+    with pytest.raises(ValueError):
+        cu.expand_selectors(["shark"], classes, aliases)
 
 
 def test_acceptance(spark):

@@ -163,14 +163,22 @@ def op9_entropy_mix(spark, sf_dir):
 def mixed_documents(docs: DataFrame) -> DataFrame:
     """docs with each row repeated by its copies; rows without copies go. Same columns as docs, whatever their names.
 
-    Rows are paired with their copies by doc_id and a hash of doc_id, text and source. Where rows
-    agree in all three, the n-th of them takes the n-th count of copies.
+    Rows are paired with their copies by doc_id and a hash of doc_id, text and source. Rows that
+    agree in all three take their counts of copies in order of a hash of the whole row. There are at
+    most CAP + 1 different counts, so a key's counts are a few runs, and keys of very many rows are
+    ranked in pieces.
     """
+    keys, mark = ["_id", "_tie"], lambda c: F.coalesce(c.cast("string"), F.lit("null"))
+    made = durable(mix(docs).groupBy(mark(F.col("doc_id")).alias("_id"), F.col("tie").alias("_tie"), "copies").agg(F.count("*").alias("n")))
+    n_rows = made.agg(F.sum("n").alias("n")).first()["n"] or 0
+    hot = made.groupBy(*keys).agg(F.sum("n").alias("n")).where(F.col("n") > hot_limit(n_rows)).collect()
+    runs = made.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("copies", "n"))).alias("_runs"))
     # The caller's columns go along in a struct, so that none of their names can clash.
     own = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
-    tied = docs.select(own.alias("_row"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")).alias("_id"), F.xxhash64(F.col("doc_id"), text_or_empty(), F.col("source")).alias("_tie"))
-    nth = F.row_number().over(Window.partitionBy("_id", "_tie").orderBy("_order"))
-    made = mix(docs).select(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")).alias("_id"), F.col("tie").alias("_tie"), "copies", F.col("copies").alias("_order"))
-    tied = tied.withColumn("_order", F.xxhash64("_row"))
-    pair = tied.withColumn("_nth", nth).drop("_order").join(made.withColumn("_nth", nth).drop("_order"), ["_id", "_tie", "_nth"])
-    return pair.where("copies > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select("_row.*")
+    tied = docs.select(own.alias("_row"), mark(F.col("doc_id")).alias("_id"), F.xxhash64(F.col("doc_id"), text_or_empty(), F.col("source")).alias("_tie"))
+    # Ranks and runs go by the same keys: the texts are shuffled once.
+    rows = ranked(tied.withColumn("_order", F.xxhash64("_row")), keys, ["_order"], [r.asDict() for r in hot], n_rows, "_rank").join(runs, keys)
+    start = F.struct(F.col("_rank").alias("left"), F.lit(-1).cast("long").alias("copies"))
+    spot = F.aggregate("_runs", start, lambda at, r: F.when(at["copies"] >= 0, at).otherwise(F.struct((at["left"] - r["n"]).alias("left"), F.when(at["left"] < r["n"], r["copies"]).otherwise(F.lit(-1).cast("long")).alias("copies"))))
+    times = F.when(F.size("_runs") == 1, F.element_at("_runs", 1)["copies"]).otherwise(spot["copies"]).cast("int")
+    return rows.withColumn("_times", times).where("_times > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times")))).select("_row.*")

@@ -523,6 +523,17 @@ def test_mixed_documents(spark, docs):
     assert out.columns == docs.columns and Counter(r["doc_id"] for r in out.collect()) == want
 
 
+@pytest.mark.parametrize("hot_rows", [20_000, 50])
+def test_mixed_documents_with_many_equal_rows(spark, monkeypatch, hot_rows):
+    monkeypatch.setattr(common, "HOT_ROWS", hot_rows)
+    rows = [(None, "a b c", "s")] * 300 + [(i, "word " * (i % 7 + 1), "st"[i % 2]) for i in range(100)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    want, got = Counter(), Counter(r["doc_id"] for r in mixing.mixed_documents(df).collect())
+    for r in mixing.mix(df).collect():
+        want[r["doc_id"]] += r["copies"]
+    assert got == +want and 0 < got[None] != 300
+
+
 def test_mix_cases(spark):
     rows = mixing.mix(cases(spark)).collect()
     assert len(rows) == 10 and all(r["taken"] <= 3 * r["size"] for r in rows)

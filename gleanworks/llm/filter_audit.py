@@ -48,8 +48,8 @@ def flagged(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str =
     own = text_or_empty(text)
     narrow = docs.select(F.col(key).alias("id"), F.coalesce(F.col(part).cast("string"), F.lit("")).alias("part"), F.unhex(F.sha2(own, 256)).alias("digest"), *(f.alias(k) for k, f in failures(own).items()))
     narrow = durable(narrow)  # read twice, so that the texts are read once
-    # Only texts that two ids hold have copies.
-    first = narrow.groupBy("digest").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last").select("digest", "first")
+    # Only texts that two ids hold have copies. Written apart, as Spark splits hot partitions only between two shuffles of a join's own.
+    first = durable(narrow.groupBy("digest").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last").select("digest", "first"))
     marks = labels.groupBy(F.col(key).alias("id")).agg(F.max(F.coalesce(F.col("quality") == 1, F.lit(False))).alias("good"), F.max(F.coalesce(F.col("toxic") == 1, F.lit(False))).alias("toxic"))
     rows = narrow.join(first, "digest", "left").withColumn("E", F.coalesce(F.col("id") > F.col("first"), F.lit(False))).drop("digest", "first")
     rows = rows.join(marks, "id", "left")

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-import itertools
 import random
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gleanworks.operators.near import hamming_pairs, leader_clusters  # noqa: F401  part of this operator set
+
 KEY = ["class", "filename"]
 
 
@@ -79,75 +80,6 @@ def near_stage(df: DataFrame, most: int, area: Column, name: str) -> DataFrame:
     return df.select("class", "id").join(best, ["class", "id"], "left").withColumn("stage", F.coalesce("stage", F.lit("near")))
 
 
-BANDS, BAND_BITS = 4, 16
-#: The banded way serves thresholds up to this: a band then differs in at most 2 of its bits, 137 probes.
-MOST_BANDED = 11
-
-
-def hamming_pairs(df: DataFrame, most: int) -> DataFrame:
-    """(a, b, distance): rows of different class whose 64-bit fingerprints h differ in at most `most` bits, a < b.
-
-    Exact. Of four bands of 16 bits, some differs in at most most // 4 bits: up to MOST_BANDED one
-    side is dealt to all band values that near, the other to its own, and they meet by an equi-join.
-    Beyond, a band's near values are a large share of all, so rows meet in pairs of blocks instead.
-    Nulls take no part. All in the JVM.
-    """
-    df = df.select("id", "class", "h").where("id IS NOT NULL AND class IS NOT NULL AND h IS NOT NULL")
-    met = _banded(df, most // BANDS) if most <= MOST_BANDED else _blocks(df)
-    pairs = met.where("id1 < id AND class1 <> class").select("id1", "id", F.bit_count(F.col("h1").bitwiseXOR(F.col("h"))).alias("distance"))
-    pairs = pairs.where(F.col("distance") <= most)
-    pairs = pairs.distinct() if most <= MOST_BANDED else pairs
-    return pairs.select(F.col("id1").alias("a"), F.col("id").alias("b"), "distance")
-
-
-def _named(df: DataFrame) -> DataFrame:
-    return df.withColumnsRenamed({c: f"{c}1" for c in ("id", "class", "h")})
-
-
-def _banded(df: DataFrame, radius: int) -> DataFrame:
-    near = [sum(1 << i for i in bits) for n in range(radius + 1) for bits in itertools.combinations(range(BAND_BITS), n)]
-    part = lambda i: F.shiftrightunsigned("h", i * BAND_BITS).bitwiseAND(F.lit((1 << BAND_BITS) - 1)).cast("int")
-    spots = df.select("id", "class", "h", F.inline(F.array(*(F.struct(F.lit(i).alias("band"), part(i).alias("part")) for i in range(BANDS)))))
-    probes = _named(spots).withColumn("probe", F.explode(F.array(*map(F.lit, near)))).withColumn("part", F.col("part").bitwiseXOR(F.col("probe"))).drop("probe")
-    return probes.join(spots, ["band", "part"])
-
-
-def _blocks(df: DataFrame, block: int = 4096) -> DataFrame:
-    """All pairs by blocks of rows: a row goes to each block pair that its own block is of, as left or as right."""
-    n = -(-df.count() // block) or 1
-    cut = df.withColumn("own", F.pmod(F.xxhash64("id"), F.lit(n)).cast("int"))
-    left = _named(cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(n - 1)))).withColumnsRenamed({"own": "i", "other": "j"}))
-    right = cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(n - 1)))).withColumnsRenamed({"own": "j", "other": "i"})
-    return left.join(right, ["i", "j"])
-
-
-def leader_clusters(df: DataFrame, most: int) -> DataFrame:
-    """(class, id, leader): in order of id a row joins the first leader within `most` bits, else leads.
-
-    Sequential by definition, so a class is one task. For classes beyond a worker, pairs within
-    `most` bits (hamming_pairs, with class apart) are the scalable start; they give other groups.
-    """
-    import numpy as np
-
-    def cluster(pdf):
-        pdf = pdf.sort_values("id")
-        h, ids = pdf["h"].to_numpy("int64").view("uint64"), pdf["id"].to_numpy()
-        heads, names, leader = np.zeros(len(h), "uint64"), np.zeros(len(h), "int64"), []
-        n = 0
-        for x, i in zip(h, ids):
-            near = np.flatnonzero(np.bitwise_count(heads[:n] ^ x) <= most)
-            if near.size:
-                leader.append(names[near[0]])
-            else:
-                heads[n], names[n] = x, i
-                n += 1
-                leader.append(i)
-        return pd.DataFrame({"class": pdf["class"], "id": ids, "leader": leader})
-
-    kind = dict(df.dtypes)["class"]
-    return df.groupBy("class").applyInPandas(cluster, f"class {kind}, id long, leader long")
-
-
 def group_split(df: DataFrame, ratios: tuple[float, float, float] = (0.7, 0.15, 0.15), seed: int = 42) -> DataFrame:
     """(class, name, split): whole groups in seeded order, each to the split with the most room.
 

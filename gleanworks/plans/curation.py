@@ -209,12 +209,13 @@ def fingerprints(spark, sf_dir):
     v = F.transform("embedding", lambda x: x.cast("double"))
     ranked = F.array_sort(v)
     middle = (F.element_at(ranked, 32) + F.element_at(ranked, 33)) / 2
-    bit = lambda x, i: F.when(x > middle, F.call_function("shiftleft", F.lit(1).cast("long"), i)).otherwise(F.lit(0).cast("long"))
-    bits = F.aggregate(F.transform(v, bit), F.lit(0).cast("long"), lambda a, b: a.bitwiseOR(b))
+    bit = lambda m: lambda x, i: F.when(x > m, F.call_function("shiftleft", F.lit(1).cast("long"), i)).otherwise(F.lit(0).cast("long"))
+    # The median is bound by a lambda of its own, so that it is found once a row and not for each dimension.
+    bits = F.element_at(F.transform(F.array(middle), lambda m: F.aggregate(F.transform(v, bit(m)), F.lit(0).cast("long"), lambda a, b: a.bitwiseOR(b))), 1)
     return table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), F.col("label").alias("class"), bits.alias("h"))
 
 
-_PRINTS = """WITH m AS (SELECT vec_id, label, embedding, list_aggregate(list_transform(embedding, lambda x: CAST(x AS DOUBLE)), 'median') AS mid FROM embeddings),
+_PRINTS = """WITH RECURSIVE m AS (SELECT vec_id, label, embedding, list_aggregate(list_transform(embedding, lambda x: CAST(x AS DOUBLE)), 'median') AS mid FROM embeddings),
 f AS (SELECT vec_id AS id, label AS class, list_transform(embedding, lambda x: CASE WHEN CAST(x AS DOUBLE) > mid THEN '1' ELSE '0' END) AS bits FROM m),
 h AS (SELECT id, class, CAST(array_to_string(bits, '') AS BIT) AS h FROM f)
 """
@@ -225,7 +226,15 @@ def hamming_cross_class(spark, sf_dir):
     return cu.hamming_pairs(fingerprints(spark, sf_dir), 20)
 
 
-@query("greedy_leader_clusters")
+#: Each class in order of id, a row a step: the list of leaders so far, and the first of them that is near.
+LEADERS = _PRINTS + """, o AS (SELECT *, row_number() OVER (PARTITION BY class ORDER BY id) AS k FROM h),
+w AS (SELECT class, k, id, id AS leader, [{'id': id, 'h': h}] AS heads FROM o WHERE k = 1
+  UNION ALL SELECT class, k, id, coalesce(near, id), CASE WHEN near IS NULL THEN list_append(heads, {'id': id, 'h': h}) ELSE heads END
+  FROM (SELECT o.*, w.heads, list_filter(w.heads, lambda x: bit_count(xor(x.h, o.h)) <= 20)[1].id AS near FROM w JOIN o ON o.class = w.class AND o.k = w.k + 1))
+"""
+
+
+@query("greedy_leader_clusters", LEADERS + "SELECT class, id, leader FROM w")
 def greedy_leader_clusters(spark, sf_dir):
     return cu.leader_clusters(fingerprints(spark, sf_dir), 20)
 

@@ -10,7 +10,7 @@ from gleanworks.operators import curation as cu
 from gleanworks.operators import evaluation as ev
 from gleanworks.operators import sampling as sa
 from gleanworks.plans.catalog import query
-from gleanworks.plans.curation import docs, fingerprints, in_list, langs, order_lines
+from gleanworks.plans.curation import LEADERS, docs, fingerprints, in_list, langs, order_lines
 from gleanworks.plans.evaluation import CLASSES, CURVE, PREDS_SQL, logits, preds
 from gleanworks.session import table
 
@@ -187,7 +187,8 @@ def hamming_near_8(spark, sf_dir):
     return cu.hamming_pairs(table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), F.col("p_size").alias("class"), h.alias("h")), 8)
 
 
-@query("dedup_near_funnel")
+@query("dedup_near_funnel", LEADERS + """, b AS (SELECT class, CASE WHEN row_number() OVER (PARTITION BY class, leader ORDER BY CASE WHEN id % 3 = 0 THEN 0 ELSE 1 END, id % 97 DESC, CASE WHEN id % 3 = 0 THEN 'inat_' ELSE 'web_' END || id) = 1 THEN 'kept' ELSE 'near' END AS stage FROM w)
+SELECT class, count(*) AS raw, count(*) FILTER (stage = 'near') AS near, count(*) FILTER (stage = 'kept') AS kept FROM b GROUP BY ROLLUP(class)""")
 def dedup_near_funnel(spark, sf_dir):
     """Leader groups of each class, the best of each kept, the rest near copies; counts by class."""
     df = fingerprints(spark, sf_dir).withColumn("name", F.concat(F.when(F.col("id") % 3 == 0, "inat_").otherwise("web_"), F.col("id").cast("string")))

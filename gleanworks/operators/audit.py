@@ -5,27 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gleanworks.operators.evaluation import thresholds
+from gleanworks.operators.evaluation import reached
+from gleanworks.operators.places import placed
 
 
 def score_buckets(df: DataFrame, score: str, order: list[str], hits: dict[str, Column], buckets: int = 10) -> DataFrame:
-    """Buckets of n // buckets rows by ascending score (1 at least); the last takes the rest.
-
-    Each row's bucket follows from its rank. Rows are ranked within ranges of the score and shifted
-    by the counts of the ranges before, so they are never sorted in one task. Null scores come last.
-    """
-    n = df.count()
-    size = max(n // buckets, 1)
-    cuts = df.approxQuantile(score, [i / 32 for i in range(1, 32)], 0.01) if n > 32 else []
-    part = F.lit(0)
-    for c in sorted(set(cuts)):
-        part = part + (F.col(score) > c).cast("int")
-    df = df.withColumn("_part", F.coalesce(part, F.lit(len(cuts) + 1)) if cuts else part)
-    counts = df.groupBy("_part").agg(F.count("*").alias("_n"))
-    shifts = counts.select("_part", (F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).alias("_shift"))
-    own = F.row_number().over(Window.partitionBy("_part").orderBy(F.col(score).asc_nulls_last(), *order)) - 1
-    ranked = df.withColumn("_own", own).join(F.broadcast(shifts), "_part")
-    bucket = F.least(F.floor((F.col("_own") + F.col("_shift")) / size), F.lit(buckets - 1)).cast("int")
+    """Buckets of n // buckets rows by ascending score (1 at least); the last takes the rest. Null scores come last."""
+    size = max(df.count() // buckets, 1)
+    ranked = placed(df, [], [F.col(score).asc_nulls_last(), *order], "_place")
+    bucket = F.least(F.floor(F.col("_place") / size), F.lit(buckets - 1)).cast("int")
     means = [F.avg(c.cast("double")).alias(name) for name, c in hits.items()]
     return ranked.groupBy(bucket.alias("bucket")).agg(F.count("*").alias("n"), F.min(score).alias("low"), F.max(score).alias("high"), *means)
 
@@ -36,21 +24,21 @@ def summary_by(df: DataFrame, by: str, score: Column, hit: Column) -> DataFrame:
 
 def keep_drop(df: DataFrame, score: str, hit: Column, values: list[float]) -> DataFrame:
     """(t, drop_share, kept_hit, dropped_hit) where a row drops below t; NaN where none drops, no row where none stays."""
-    kept = F.col(score) >= F.col("t")
-    rows = df.select(score, hit.cast("double").alias("_hit")).crossJoin(F.broadcast(thresholds(df.sparkSession, values)))
-    out = rows.groupBy("t").agg(
-        F.avg((~kept).cast("double")).alias("drop_share"),
-        F.avg(F.when(kept, F.col("_hit"))).alias("kept_hit"),
-        F.coalesce(F.avg(F.when(~kept, F.col("_hit"))), F.lit(float("nan"))).alias("dropped_hit"),
-    )
+    sums = {"hits": F.sum(hit.cast("double")), "told": F.count(hit)}
+    out = reached(df, score, values, sums)
+    mean = lambda a, b: F.try_divide(a, b)
+    apart = lambda c: F.col(f"{c}_all") - F.coalesce(c, F.lit(0))
+    out = out.select(
+        "t", mean((F.col("n_all") - F.col("n")).cast("double"), F.col("n_all")).alias("drop_share"), mean(F.col("hits"), F.col("told")).alias("kept_hit"),
+        F.coalesce(mean(apart("hits"), apart("told")), F.lit(float("nan"))).alias("dropped_hit"),
+    )
     return out.where(F.col("kept_hit").isNotNull())
 
 
 def drops(df: DataFrame, by: str, score: str, values: list[float]) -> DataFrame:
     """(by, t, dropped, share): rows below each threshold."""
-    rows = df.select(by, score).crossJoin(F.broadcast(thresholds(df.sparkSession, values)))
-    below = F.col(score) < F.col("t")
-    return rows.groupBy(by, "t").agg(F.count_if(below).alias("dropped"), F.avg(below.cast("double")).alias("share"))
+    dropped = F.col("n_all") - F.col("n")
+    return reached(df, score, values, {}, [by]).select(by, "t", dropped.alias("dropped"), F.try_divide(dropped.cast("double"), F.col("n_all")).alias("share"))
 
 
 def early_stop(history: DataFrame, epoch: str, score: str, patience: int) -> DataFrame:

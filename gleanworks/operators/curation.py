@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gleanworks.operators.near import hamming_pairs, leader_clusters  # noqa: F401  part of this operator set
+from gleanworks.operators.places import placed
 
 KEY = ["class", "filename"]
 
@@ -132,18 +133,12 @@ def class_weights(df: DataFrame, classes: DataFrame) -> DataFrame:
 
 
 def round_robin(df: DataFrame, bucket: str, order: list[str]) -> DataFrame:
-    """Adds nth and turn: the place of each row when the buckets emit a row each in turn.
+    """Adds nth and turn: the place of each row when the buckets emit a row each in turn, from 1.
 
-    The rows before a row are those of earlier turns and of earlier buckets in its turn. Turns and
-    their starts follow from the counts by nth, so rows are not sorted together. Buckets are in
-    ascending order, a null one last.
+    A row's turn is its place by (nth, bucket) over the whole table. Buckets are in ascending order, a null one last.
     """
-    ranked = df.withColumn("nth", F.row_number().over(Window.partitionBy(bucket).orderBy(*order)))
-    # A row for each place in the largest bucket.
-    starts = ranked.groupBy("nth").agg(F.count("*").alias("_n"))
-    starts = starts.select("nth", (F.sum("_n").over(Window.orderBy("nth")) - F.col("_n")).alias("_start"))
-    beside = F.row_number().over(Window.partitionBy("nth").orderBy(F.col(bucket).asc_nulls_last()))
-    return ranked.withColumn("_beside", beside).join(starts, "nth").withColumn("turn", F.col("_start") + F.col("_beside")).drop("_start", "_beside").select(*df.columns, "nth", "turn")
+    nth = placed(df, [bucket], order, "nth").withColumn("nth", (F.col("nth") + 1).cast("int"))
+    return placed(nth, [], ["nth", F.col(bucket).asc_nulls_last()], "turn").withColumn("turn", F.col("turn") + 1)
 
 
 def append_first(log: DataFrame, new: DataFrame, keys: list[str], order: list[str]) -> DataFrame:

@@ -106,36 +106,42 @@ def macro_and_ood(preds: DataFrame, classes: DataFrame, other: int) -> DataFrame
     return macro.crossJoin(wrong)
 
 
-def thresholds(spark: SparkSession, values: list[float]) -> DataFrame:
-    return spark.range(1).select(F.explode(F.array(*map(F.lit, values))).alias("t"))
+def reached(df: DataFrame, score: str, values: list[float], sums: dict[str, Column], by: list[str] | None = None) -> DataFrame:
+    """(by, t, n, n_all, <sum>, <sum>_all): rows and sums with score >= t, and of all rows with a score.
 
-
-def _mean(c: Column, when: Column, default) -> Column:
-    return F.coalesce(F.avg(F.when(when, c)), F.lit(default))
+    A row is counted in one bin, by how many thresholds it reaches, and only the bins meet the
+    thresholds; a sum over no row is null, a count 0.
+    """
+    by, ts = by or [], sorted(set(values))
+    bins = sum(((F.col(score) >= t).cast("int") for t in ts), F.lit(0))
+    cells = df.groupBy(*by, bins.alias("_bin")).agg(F.count("*").alias("n"), *(c.alias(name) for name, c in sums.items()))
+    cells = cells.select("*", F.posexplode(F.array(*map(F.lit, ts))).alias("_at", "t"))
+    kept, told = F.col("_at") < F.col("_bin"), F.col("_bin").isNotNull()
+    total = lambda c, when: F.sum(F.when(when, F.col(c)))
+    more = [x for c in sums for x in (total(c, kept).alias(c), total(c, told).alias(f"{c}_all"))]
+    return cells.groupBy(*by, "t").agg(F.coalesce(total("n", kept), F.lit(0)).alias("n"), F.coalesce(total("n", told), F.lit(0)).alias("n_all"), *more)
 
 
 def threshold_curve(preds: DataFrame, values: list[float]) -> DataFrame:
     """(t, reject_rate, top1, top3) where conf >= t keeps a row; accuracies of the kept, NaN if none."""
-    kept = F.col("conf") >= F.col("t")
-    rows = preds.select("conf", hit(1).alias("h1"), hit(3).alias("h3")).crossJoin(F.broadcast(thresholds(preds.sparkSession, values)))
-    return rows.groupBy("t").agg(F.avg((~kept).cast("double")).alias("reject_rate"), _mean(F.col("h1"), kept, NAN).alias("top1"), _mean(F.col("h3"), kept, NAN).alias("top3"))
+    out = reached(preds, "conf", values, {"h1": F.sum(hit(1)), "h3": F.sum(hit(3))})
+    mean = lambda c: F.coalesce(F.try_divide(F.col(c), F.col("n")), F.lit(NAN))
+    return out.select("t", F.try_divide((F.col("n_all") - F.col("n")).cast("double"), F.col("n_all")).alias("reject_rate"), mean("h1").alias("top1"), mean("h3").alias("top3"))
 
 
 def serving_sweep(preds: DataFrame, values: list[float], other: int) -> DataFrame:
     """As threshold_curve by the serving rule: uncertain below t or where `other` is first; ranks without `other`."""
     rows = preds.withColumn("fish_ord", F.filter("ord", lambda i: i != other))
-    rows = rows.select("conf", "pred", "y", hit(1, "fish_ord").alias("h1"), hit(3, "fish_ord").alias("h3"))
-    rows = rows.crossJoin(F.broadcast(thresholds(preds.sparkSession, values)))
-    rows = rows.withColumn("unsure", (F.col("conf") < F.col("t")) | (F.col("pred") == other))
-    fish, unsure = F.col("y") != other, F.col("unsure").cast("double")
-    kept = fish & ~F.col("unsure")
-    return rows.groupBy("t").agg(
-        _mean(unsure, fish, NAN).alias("fish_reject_rate"),
-        _mean(F.col("h3"), kept, 0.0).alias("top3_on_kept"),
-        _mean(F.col("h1"), kept, 0.0).alias("top1_on_kept"),
-        F.avg(F.when(~fish, unsure)).alias("other_caught"),
-        F.count_if(kept).alias("kept_n"),
-    )
+    # A row whose first class is `other` reaches no threshold.
+    rows = rows.select(F.when(F.col("pred") == other, float("-inf")).otherwise(F.col("conf")).alias("sure"), (F.col("y") != other).alias("fish"), hit(1, "fish_ord").alias("h1"), hit(3, "fish_ord").alias("h3"))
+    of = lambda c: F.sum(F.when(F.col("fish"), c))
+    out = reached(rows, "sure", values, {"f": F.count_if("fish"), "o": F.count_if(~F.col("fish")), "h1": of(F.col("h1")), "h3": of(F.col("h3"))})
+    kept = F.coalesce("f", F.lit(0))
+    return out.select(
+        "t", F.coalesce(F.try_divide((F.col("f_all") - kept).cast("double"), F.col("f_all")), F.lit(NAN)).alias("fish_reject_rate"),
+        share(F.coalesce("h3", F.lit(0)), kept).alias("top3_on_kept"), share(F.coalesce("h1", F.lit(0)), kept).alias("top1_on_kept"),
+        F.try_divide((F.col("o_all") - F.coalesce("o", F.lit(0))).cast("double"), F.col("o_all")).alias("other_caught"), kept.alias("kept_n"),
+    )
 
 
 def choose_threshold(sweep: DataFrame, cap: float = 0.10) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gleanworks.operators.places import placed
+
 
 def seeded_key(seed: int, *keys: str) -> Column:
     """A 32-bit number by seed and keys, the same on every engine that has MD5; the order of a seeded shuffle."""
@@ -23,22 +25,35 @@ def ordered_subset(df: DataFrame, n: int, seed: int, key: str) -> DataFrame:
 
 
 def evenly_spaced(df: DataFrame, order: str, k: int) -> DataFrame:
-    """k rows at even steps from the first to the last by `order`, positions truncated; all rows where k is beyond them.
-
-    Rows are numbered within ranges of the order and shifted by the ranges before, so they are never
-    sorted in one task. `order` must be unique and not null."""
+    """k rows at even steps from the first to the last by `order`, positions truncated; all rows where k is beyond them."""
     n = df.count()
-    cuts = df.approxQuantile(order, [i / 32 for i in range(1, 32)], 0.01) if n > 32 else []
-    part = F.lit(0)
-    for c in sorted(set(cuts)):
-        part = part + (F.col(order) > c).cast("int")
-    df = df.withColumn("_part", part)
-    counts = df.groupBy("_part").agg(F.count("*").alias("_n"))
-    shifts = counts.select("_part", (F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).alias("_shift"))
-    own = F.row_number().over(Window.partitionBy("_part").orderBy(order)) - 1
     at = sorted({int(i * (n - 1) / (k - 1)) if k > 1 else 0 for i in range(k)}) if n and k else []
-    rows = df.withColumn("_own", own).join(F.broadcast(shifts), "_part")
-    return rows.where((F.col("_own") + F.col("_shift")).isin(at)).drop("_part", "_own", "_shift")
+    return placed(df, [], [order], "_at").where(F.col("_at").isin(at)).drop("_at")
+
+
+def drawn_copies(df: DataFrame, by: str, key: str, seed: int) -> DataFrame:
+    """df with `copies`: how often each row is drawn in as many draws as there are rows, with replacement, every class alike.
+
+    Draw number i takes a class and then a row of it by the digits of an MD5 of (seed, i), so the
+    copies sum to the rows, classes are equal in expectation, and a rerun on any layout draws the
+    same. Draws are counted by (class, place) before rows join them; a large class is many keys. key is
+    unique within a class. A null class is a class.
+    """
+    spark = df.sparkSession
+    rows = placed(df.select(F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("_row"), F.col(by).alias("_by"), F.col(key).alias("_key")), ["_by"], ["_key"], "_place")
+    # A row a class.
+    classes = rows.groupBy("_by").agg(F.count("*").alias("_n"))
+    classes = classes.withColumn("_class", F.row_number().over(Window.orderBy(F.col("_by").asc_nulls_first())).cast("long") - 1)
+    total, many = df.count(), classes.count()
+    if not total:
+        return df.withColumn("copies", F.lit(0).cast("long"))
+    digits = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("id").cast("string")))
+    number = lambda at: F.conv(F.substring(digits, at, 15), 16, 10).cast("long")
+    draws = spark.range(total).select((number(1) % many).alias("_class"), number(16).alias("_draw"))
+    draws = draws.join(classes, "_class").groupBy("_by", (F.col("_draw") % F.col("_n")).alias("_place")).agg(F.count("*").alias("_copies"))
+    same = (F.col("_place") == F.col("_at")) & F.col("_by").eqNullSafe(F.col("_of"))
+    out = rows.join(draws.select(F.col("_by").alias("_of"), F.col("_place").alias("_at"), "_copies"), same, "left")
+    return out.select(*(F.col(f"_row.`{c}`").alias(c) for c in df.columns if c != "copies"), F.coalesce("_copies", F.lit(0)).cast("long").alias("copies"))
 
 
 def balanced_replicates(df: DataFrame, by: str, key: str, seed: int) -> DataFrame:
@@ -62,9 +77,9 @@ def replaced_rows(df: DataFrame, by: str, key: str, ok: str, seed: int) -> DataF
     """(by, key, used): each row, with a usable row of its class in place of one that is not; null where a class has none.
 
     A bad row takes the usable row at its seeded place among its class's, by number."""
-    good = df.where(ok).select(by, F.col(key).alias("used"), (F.row_number().over(Window.partitionBy(by).orderBy(key)) - 1).alias("_at"))
+    good = placed(df.where(ok).select(by, F.col(key).alias("used")), [by], ["used"], "_at")
     sizes = good.groupBy(by).agg(F.count("*").alias("_n"))
-    bad = df.where(f"NOT ({ok})").join(sizes, by, "left").withColumn("_at", F.when(F.col("_n") > 0, seeded_key(seed, key) % F.col("_n")).cast("int"))
+    bad = df.where(f"NOT ({ok})").join(sizes, by, "left").withColumn("_at", F.when(F.col("_n") > 0, seeded_key(seed, key) % F.col("_n")))
     bad = bad.join(good, [by, "_at"], "left").select(by, key, "used")
     return df.where(ok).select(by, key, F.col(key).alias("used")).unionByName(bad)
 

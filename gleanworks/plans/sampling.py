@@ -43,6 +43,16 @@ def balanced_replicates(spark, sf_dir):
     return sa.balanced_replicates(table(spark, sf_dir, "documents").select("doc_id", "lang"), "lang", "doc_id", 7)
 
 
+@query("drawn_copies", """WITH c AS (SELECT lang, count(*) AS n, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS class FROM documents GROUP BY lang),
+d AS (SELECT md5('11:' || i) AS m FROM (SELECT unnest(range((SELECT count(*) FROM documents))) AS i)),
+t AS (SELECT lang, CAST('0x' || substr(m, 16, 15) AS BIGINT) % n AS at, count(*) AS copies FROM d JOIN c ON c.class = CAST('0x' || substr(m, 1, 15) AS BIGINT) % (SELECT count(*) FROM c) GROUP BY 1, 2),
+r AS (SELECT doc_id, lang, row_number() OVER (PARTITION BY lang ORDER BY doc_id) - 1 AS at FROM documents)
+SELECT doc_id, r.lang, coalesce(copies, 0) AS copies FROM r LEFT JOIN t ON t.at = r.at AND t.lang IS NOT DISTINCT FROM r.lang""")
+def drawn_copies(spark, sf_dir):
+    """Sampling with replacement, every language alike, as many draws as documents."""
+    return sa.drawn_copies(table(spark, sf_dir, "documents").select("doc_id", "lang"), "lang", "doc_id", 11)
+
+
 _PIC = "CASE WHEN p_partkey % 7 = 0 THEN 'inat_' ELSE 'web_' END || p_partkey"
 
 

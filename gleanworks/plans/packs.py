@@ -1,3 +1,3 @@
 """Imports every query module, so that each registers its queries."""
 
-from gleanworks.plans import audit, curation, evaluation, learning, sampling  # noqa: F401
+from gleanworks.plans import audit, curation, evaluation, learning, pictures, sampling  # noqa: F401

@@ -22,10 +22,11 @@ def batch_scores(df: DataFrame, vec_col: str, weights: list[list[float]], out: s
     return df.withColumn(out, score(F.col(vec_col)))
 
 
-def acceptance(score: Column, least: float) -> Column:
-    """struct<ok, reason>: the pluggable acceptance rule; a null score is 0."""
+def acceptance(score: Column, least: float, exempt: Column | None = None) -> Column:
+    """struct<ok, reason>: the pluggable acceptance rule; a null score is 0. Rows that are exempt (`other`) pass whatever their score."""
     s = F.coalesce(score, F.lit(0.0))
-    return F.struct((s >= least).alias("ok"), F.when(s >= least, "ok").otherwise(F.concat(F.lit("low_fish_"), F.format_number(s, 3))).alias("reason"))
+    ok = s >= least if exempt is None else (s >= least) | F.coalesce(exempt, F.lit(False))
+    return F.struct(ok.alias("ok"), F.when(ok, "ok").otherwise(F.concat(F.lit("low_fish_"), F.format_number(s, 3))).alias("reason"))
 
 
 def balanced_weights(df: DataFrame, label: str) -> DataFrame:

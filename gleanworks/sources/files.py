@@ -106,6 +106,13 @@ def write_manifest(df: DataFrame, path: str) -> None:
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", before)
 
 
+def append_history(history: DataFrame, path: str) -> DataFrame:
+    """Appends epochs to a history table, by its schema; returns the whole table in order of epoch."""
+    kinds = dict(f.split() for f in HISTORY.split(", "))
+    history.select(*(F.col(c).cast(k) for c, k in kinds.items())).coalesce(1).write.mode("append").parquet(path)
+    return history.sparkSession.read.schema(HISTORY).parquet(path).orderBy("epoch")
+
+
 def archive(files: DataFrame, path: str) -> None:
     """Files with their content and CRC-32, by split."""
     files.withColumn("crc", F.crc32("content")).write.partitionBy("split").mode("overwrite").parquet(path)

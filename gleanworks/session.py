@@ -7,6 +7,10 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: What streams with keyed state of their own need; a cluster sets it for spark.sql.streaming.stateStore.providerClass.
+STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
 def local_session(cores: int | str = "*", partitions: int = 8, memory: str = "8g") -> SparkSession:
     """A local session with AQE; cluster settings come from spark-submit instead."""
     return (
@@ -16,6 +20,7 @@ def local_session(cores: int | str = "*", partitions: int = 8, memory: str = "8g
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()

@@ -7,7 +7,6 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from gleanworks.sources import files, images, paged
-from gleanworks.streaming import logs
 
 
 def png(h, w, value=0):
@@ -111,12 +110,3 @@ def test_side_keys_and_archive(spark, tmp_path):
         (tmp_path / name).write_bytes(b"x")
     got = files.picked_files(spark, [str(tmp_path / "p"), str(tmp_path / "d.png"), str(tmp_path / "e.csv")])
     assert sorted(r["filename"] for r in got.collect()) == ["a.HEIC", "c.jpg", "d.png"]
-
-
-def test_stream_appends_first_of_each_key(spark, tmp_path):
-    schema = "k string, n int"
-    for i, rows in enumerate(([("a", 1), ("b", 2)], [("a", 3), ("c", 4)])):
-        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
-        stream = spark.readStream.schema(schema).parquet(str(tmp_path / "in"))
-        logs.append_batches(stream, str(tmp_path / "log"), str(tmp_path / "at"), ["k"], ["n"]).awaitTermination(60)
-    assert sorted(map(tuple, spark.read.schema(schema).parquet(str(tmp_path / "log")).collect())) == [("a", 1), ("b", 2), ("c", 4)]

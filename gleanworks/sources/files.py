@@ -95,15 +95,35 @@ def picked_files(spark: SparkSession, paths: list[str], suffixes: tuple[str, ...
     return df.select("path", filename.alias("filename"), "length").where(suffix_of(filename).isin(*suffixes))
 
 
-def write_manifest(df: DataFrame, path: str) -> None:
-    """Rewrites the manifests of the classes in df and leaves the other classes' alone."""
+def manifest_versions(spark: SparkSession, path: str) -> list[int]:
+    """The committed versions of a manifest; a row a commit."""
+    log = _found(lambda: spark.read.schema("version long").parquet(f"{path}/commits"), lambda: spark.createDataFrame([], "version long"))
+    return sorted(r["version"] for r in log.distinct().collect())
+
+
+def read_manifest(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
+    """(species, filename) of the last committed version or of the one asked for; nothing before the first."""
+    have = manifest_versions(spark, path)
+    if not have:
+        return spark.createDataFrame([], MANIFEST)
+    at = f"{path}/version={have[-1] if version is None else version}"
+    return _found(lambda: spark.read.schema(MANIFEST).parquet(at), lambda: spark.createDataFrame([], MANIFEST))
+
+
+def write_manifest(df: DataFrame, path: str, species: list[str] | None = None) -> int:
+    """Commits a new version: the named classes have just the rows of df (none, where df has none), the others stay as they are.
+
+    Without names, the classes are those of df. The version is written whole beside the last one and counts
+    from its commit on, so readers see either, and a commit that fails leaves the last. Returns its number."""
     spark = df.sparkSession
-    before = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        df.select("species", "filename").distinct().repartition("species").sortWithinPartitions("species", "filename").write.partitionBy("species").mode("overwrite").parquet(path)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", before)
+    rows = manifest_keys(df)
+    named = rows.select("species").distinct() if species is None else spark.createDataFrame([(s,) for s in species], "species string")
+    kept = read_manifest(spark, path).join(named, "species", "left_anti")
+    number = max(manifest_versions(spark, path), default=0) + 1
+    whole = kept.unionByName(rows.join(named, "species", "left_semi"))
+    whole.repartition("species").sortWithinPartitions("species", "filename").write.mode("overwrite").partitionBy("species").parquet(f"{path}/version={number}")
+    spark.range(1).select(F.lit(number).cast("long").alias("version")).write.mode("append").parquet(f"{path}/commits")
+    return number
 
 
 def append_history(history: DataFrame, path: str) -> DataFrame:

@@ -100,9 +100,15 @@ def test_scores_in_order_of_line(spark, tmp_path):
 def test_side_keys_and_archive(spark, tmp_path):
     log = spark.createDataFrame([("", "a.jpg"), ("cod", ""), ("cod", "b.jpg"), ("cod", "b.jpg")], "species string, filename string")
     assert files.licence_keys(log).count() == 2 and files.manifest_keys(log).count() == 1
-    for i, rows in enumerate(([("cod", "a"), ("eel", "b")], [("cod", "c")])):
-        files.write_manifest(spark.createDataFrame(rows, "species string, filename string"), str(tmp_path / "m"))
-    assert sorted((r["species"], r["filename"]) for r in spark.read.parquet(str(tmp_path / "m")).collect()) == [("cod", "c"), ("eel", "b")]
+    put = lambda rows, names=None: files.write_manifest(spark.createDataFrame(rows, "species string, filename string"), str(tmp_path / "m"), names)
+    now = lambda version=None: sorted(map(tuple, files.read_manifest(spark, str(tmp_path / "m"), version).select("species", "filename").collect()))
+    assert now() == [] and put([("cod", "a"), ("eel", "b"), ("cod", "a"), ("", "x")]) == 1 and now() == [("cod", "a"), ("eel", "b")]
+    assert put([("cod", "c")]) == 2 and now() == [("cod", "c"), ("eel", "b")]
+    assert put([], ["cod"]) == 3 and now() == [("eel", "b")]  # an emptied class loses its rows
+    assert put([("ray", "r"), ("cod", "z")], ["ray", "eel"]) == 4 and now() == [("ray", "r")]  # rows of classes that weren't named don't count
+    assert put([], ["ray"]) == 5 and now() == [] and now(2) == [("cod", "c"), ("eel", "b")]
+    spark.createDataFrame([("cod", "torn")], "species string, filename string").write.partitionBy("species").parquet(str(tmp_path / "m/version=6"))  # never committed
+    assert now() == [] and put([("cod", "d")]) == 6 and now() == [("cod", "d")]
     files.archive(spark.createDataFrame([("train", bytearray(b"abc")), ("test", bytearray(b"d"))], "split string, content binary"), str(tmp_path / "z"))
     assert {(r["split"], r["files"], r["damaged"]) for r in files.verify_archive(spark, str(tmp_path / "z")).collect()} == {("train", 1, 0), ("test", 1, 0)}
     for name in ("p/a.HEIC", "p/b.txt", "p/c.jpg", "d.png", "e.csv"):

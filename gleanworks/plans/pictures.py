@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from gleanworks.plans.catalog import query
 from gleanworks.session import table
-from gleanworks.sources import headers
+from gleanworks.sources import headers, images
 
 
 def _hex(value: Column, digits: int) -> Column:
@@ -49,3 +49,28 @@ def picture_headers(spark, sf_dir):
     """Serving's checks by header: size, orientation and the first error of each file."""
     out = headers.served_pictures(files(spark, sf_dir))
     return out.select("doc_id", "header.format", "header.orientation", "shown_width", "shown_height", "error", "status")
+
+
+def _u(i: int) -> str:
+    return f"CAST('0x' || substr(md5('7:3:' || doc_id || ':{i // 4}'), {8 * (i % 4) + 1}, 8) AS BIGINT) / 4294967296.0::DOUBLE"
+
+
+@query("augmentation_draws", f"""WITH d AS (SELECT doc_id, greatest(1, n_chars) AS h, doc_id % 900 + 1 AS w, {_u(0)} AS scale, {_u(1)} AS ratio, {_u(2)} AS top, {_u(3)} AS lft, {_u(4)} AS flip, {_u(11)} AS noise FROM documents),
+b AS (SELECT *, (scale * (1.0::DOUBLE - 0.55::DOUBLE) + 0.55::DOUBLE) * h * w AS area, ratio * (1.33::DOUBLE - 0.75::DOUBLE) + 0.75::DOUBLE AS r FROM d),
+c AS (SELECT *, least(greatest(floor(sqrt(area / r)), 1), h)::INT AS ch, least(greatest(floor(sqrt(area * r)), 1), w)::INT AS cw FROM b)
+SELECT doc_id, ch AS height, cw AS width, floor(top * (h - ch + 1))::INT AS top, floor(lft * (w - cw + 1))::INT AS lft, flip < 0.5 AS flip, round(noise, 9) AS noise FROM c""")
+def augmentation_draws(spark, sf_dir):
+    """The draws of epoch 3 and the crops they give, for pictures as large as the documents."""
+    df = table(spark, sf_dir, "documents").select("doc_id", F.greatest(F.lit(1), "n_chars").alias("h"), (F.col("doc_id") % 900 + 1).alias("w"), images.augmentation_draws(F.col("doc_id"), 7, 3).alias("d"))
+    box = df.select("doc_id", "d", images.crop_box(F.col("h"), F.col("w"), F.col("d")).alias("b"))
+    return box.select("doc_id", "b.height", "b.width", "b.top", F.col("b.left").alias("lft"), (F.col("d.flip") < 0.5).alias("flip"), F.round("d.noise", 9).alias("noise"))
+
+
+@query("model_planes", """WITH m AS (SELECT doc_id, md5(doc_id || 'a') || md5(doc_id || 'b') AS m FROM documents)
+SELECT doc_id, flatten(list_transform([[0.5, 0.25], [0.25, 0.5], [0.125, 1.0]], lambda c: list_transform(range(36), lambda i: round((ascii(substr(m, ((i // 6 + 1) * 8 + i % 6 + 2)::BIGINT, 1)) - c[1] * 255) / (c[2] * 255), 5)::DOUBLE))) AS plane FROM m""")
+def model_planes(spark, sf_dir):
+    """Whole input tensors of small pictures: 8 x 8 grey, cropped to 6 x 6, normalised by channel."""
+    i = F.col("doc_id").cast("string")
+    pictures = table(spark, sf_dir, "documents").select("doc_id", F.concat(F.md5(F.concat(i, F.lit("a"))), F.md5(F.concat(i, F.lit("b")))).cast("binary").alias("data"), F.lit(8).alias("height"), F.lit(8).alias("width"), F.lit(1).alias("channels"))
+    out = images.model_inputs(pictures, 6, 8, [0.5, 0.25, 0.125], [0.25, 0.5, 1.0], key="doc_id")
+    return out.select("doc_id", F.transform("plane", lambda x: F.round(x.cast("double"), 5)).alias("plane"))

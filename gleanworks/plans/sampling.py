@@ -181,9 +181,9 @@ def output_parity(spark, sf_dir):
     return ev.parity(df, "a", "b", 0.0004).withColumn("largest", F.round("largest", 9))
 
 
-@query("normalised_plane", "SELECT vec_id, list_transform(embedding[1:4], lambda x: round((CAST(x AS DOUBLE) - 0.5 * 255) * (1 / (0.25 * 255)), 9)) AS plane FROM embeddings")
+@query("normalised_plane", "SELECT vec_id, list_transform(embedding, lambda x: round((CAST(x AS DOUBLE) - 0.5 * 255) * (1 / (0.25 * 255)), 9)) AS plane FROM embeddings")
 def normalised_plane(spark, sf_dir):
-    x = F.transform(F.slice("embedding", 1, 4), lambda v: v.cast("double"))
+    x = F.transform("embedding", lambda v: v.cast("double"))
     return table(spark, sf_dir, "embeddings").select("vec_id", F.transform(ar.normalised(x, F.lit(0.5), F.lit(0.25)), lambda v: F.round(v, 9)).alias("plane"))
 
 

@@ -23,9 +23,12 @@ uniform over the vocabulary. Empty input: an empty result. Extra columns are ign
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -58,9 +61,16 @@ def _batch(columns: dict, kinds: dict[str, pa.DataType]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(columns[c], k) for c, k in kinds.items()], list(kinds))
 
 
-def _read(column: pa.ChunkedArray, dtype) -> list[np.ndarray]:
-    """Each binary value as numbers, without a copy."""
-    return [np.frombuffer(v.as_buffer(), dtype) for chunk in column.chunks for v in chunk]
+def _packed(values) -> list[bytes]:
+    """Binary values by zstandard: what is dealt is most of the shuffle, and Spark's own codec is a quick one."""
+    codec = zstandard.ZstdCompressor(level=3)
+    return [codec.compress(v) for v in values]
+
+
+def _read(column: pa.ChunkedArray, dtype) -> Iterator[np.ndarray]:
+    """Each packed value as numbers, one at a time."""
+    codec = zstandard.ZstdDecompressor()
+    return (np.frombuffer(codec.decompress(v.as_buffer()), dtype) for chunk in column.chunks for v in chunk)
 
 
 def _signed(codes: np.ndarray) -> np.ndarray:
@@ -217,7 +227,8 @@ def _dealt(texts: DataFrame, kind: int, known, hot, buckets: int) -> DataFrame:
                     place, entries = place.astype(_width(len(own))), slice(ends[i], ends[j])
                     sizes = (np.diff(ends[i : j + 1]), doc[entries], n[entries])
                     out.append((int(bucket[i]), kind, base, _planes(own), place[: j - i].tobytes(), place[j - i :].tobytes(), *(_planes(x) for x in sizes)))
-            return _batch(dict(zip(DEALT_KINDS, zip(*out) if out else [[]] * len(DEALT_KINDS))), DEALT_KINDS)
+            columns = dict(zip(DEALT_KINDS, zip(*out) if out else [[]] * len(DEALT_KINDS)))
+            return _batch({c: _packed(v) if DEALT_KINDS[c] == pa.binary() else v for c, v in columns.items()}, DEALT_KINDS)
 
         for batch in _coded(frames, known):
             held.append(batch)

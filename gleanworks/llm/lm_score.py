@@ -7,8 +7,8 @@ of target loss minus background loss, in nats: the lower, the more the text is l
 1. Words are counted as such and as contexts: a table (word, n and c of each text kind).
 2. Pairs that occur HOT times among the documents or more are counted alone, by partial sums over
    the hot words; their losses go to every task. There are at most (words / HOT) of them.
-3. All other pairs, summed for each document, are dealt to hash buckets of about BUCKET_BYTES of
-   text, as are those of the target and background. A bucket asks the word table for its words,
+3. All other pairs, summed for each document, are dealt to buckets of about BUCKET_BYTES of text by
+   their context's hash (by the pair's for hot contexts), as are those of the target and background. A bucket asks the word table for its words,
    counts its pairs, and sums their losses for each document.
 4. The buckets' sums are added up by document, in units of 1 / UNIT nats: the same on any layout.
 
@@ -190,7 +190,7 @@ def _dealt(texts: DataFrame, kind: int, known, hot, buckets: int) -> DataFrame:
     """Pairs that are not hot, by bucket, with the documents they are of; for kind DOCS also rows of the documents."""
 
     def rows(frames):
-        keys, *hot_losses = hot.value
+        hot_words, keys, *hot_losses = hot.value
         task = TaskContext.get().partitionId()
         held, total, seen = [], 0, 0
 
@@ -210,17 +210,20 @@ def _dealt(texts: DataFrame, kind: int, known, hot, buckets: int) -> DataFrame:
                 out.append((-1 - task, ROWS, base, ids.fill_null(0).to_numpy().tobytes(), null.tobytes(), counts.tobytes(), b"", *sums))
             rest = at == len(keys)
             before, words, doc, key = before[rest], words[rest], doc[rest], key[rest]
-            order = np.argsort(key, kind="stable")  # by bucket and pair, documents in order
-            before, words, doc, key = before[order], words[order], doc[order], key[order]
-            del at, rest, order
+            # Pairs of a context share a bucket, so that it is named and asked for once; those of a hot one are parted.
+            spread = np.where(_place(before, hot_words) < len(hot_words), key, mixed(before))
+            bucket = ((spread >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(_width(buckets))
+            order = np.argsort(key, kind="stable")
+            order = order[np.argsort(bucket[order], kind="stable")]  # by bucket and pair, documents in order
+            before, words, doc, key, bucket = before[order], words[order], doc[order], key[order], bucket[order]
+            del at, rest, order, spread
             if len(key):
                 new = np.concatenate([[True], key[1:] != key[:-1]])
                 once = np.flatnonzero(new | np.concatenate([[True], doc[1:] != doc[:-1]]))
                 n = np.diff(np.append(once, len(key)))
                 doc, first = doc[once], np.flatnonzero(new[once])
-                before, words, key = before[new], words[new], key[new]
+                before, words, bucket = before[new], words[new], bucket[new]
                 ends = np.append(first, len(once))
-                bucket = (key >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
                 cuts = np.append(np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])), len(bucket))
                 for i, j in zip(cuts[:-1], cuts[1:]):
                     own, place = np.unique(np.concatenate([before[i:j], words[i:j]]), return_inverse=True)
@@ -276,9 +279,9 @@ def score_texts(docs: DataFrame, target: DataFrame, background: DataFrame, size:
     size, totals = size or facts["v"] + 2, (facts["t0"] or 0, facts["t1"] or 0)
 
     hot = words.where(F.greatest("n2", "c2") >= HOT).toPandas().sort_values("word")
-    keys, hot_losses = np.zeros(0, np.uint64), [np.zeros(0, np.int64)] * 2
+    hot_words, keys, hot_losses = np.sort(hot["word"].to_numpy(np.int64).view(np.uint64)), np.zeros(0, np.uint64), [np.zeros(0, np.int64)] * 2
     if len(hot):
-        pairs = hot_pairs({k: t.select("text") for k, t in texts.items()}, known, np.sort(hot["word"].to_numpy(np.int64).view(np.uint64)), HOT)
+        pairs = hot_pairs({k: t.select("text") for k, t in texts.items()}, known, hot_words, HOT)
         if same:
             pairs["p1"] = pairs["p2"]
         hot = hot.set_index("word")
@@ -287,7 +290,7 @@ def score_texts(docs: DataFrame, target: DataFrame, background: DataFrame, size:
         order = np.argsort(keys)
         found = _pair_losses(*([d[c].to_numpy() for c in own] for d, own in ((pairs, ("p0", "p1")), (a, ("c0", "c1")), (b, ("n0", "n1")))), totals, size)
         keys, hot_losses = keys[order], [x[order] for x in found]
-    shared = sc.broadcast((keys, *hot_losses))
+    shared = sc.broadcast((hot_words, keys, *hot_losses))
 
     dealt = None
     for kind, own in texts.items():

@@ -10,7 +10,8 @@ of target loss minus background loss, in nats: the lower, the more the text is l
 3. All other pairs, summed for each document, are dealt to buckets of about BUCKET_BYTES of text by
    their context's hash (by the pair's for hot contexts), as are those of the target and background. A bucket asks the word table for its words,
    counts its pairs, and sums their losses for each document.
-4. The buckets' sums are added up by document, in units of 1 / UNIT nats: the same on any layout.
+4. A document is in one flush of a task; the buckets' sums are added up flush by flush, in units of 1 / UNIT
+   nats: the same on any layout.
 
 All tables grow with the texts; the driver gets totals, hot words and hot pairs only. Words and
 pairs are known by 64-bit hashes, so they are told apart up to collisions. With a `size`, only the
@@ -246,6 +247,10 @@ def _dealt(texts: DataFrame, kind: int, known, hot, buckets: int) -> DataFrame:
     return texts.mapInArrow(rows, DEALT_ROWS)
 
 
+#: What a bucket tells of a flush of documents: sums by place in it; and what the flush tells of its documents.
+SUMMED = ("base", "ids", "null", "n", "doc", "t0", "t1")
+
+
 def _width(n: int):
     return np.uint16 if n <= 1 << 16 else np.uint32
 
@@ -303,12 +308,11 @@ def score_texts(docs: DataFrame, target: DataFrame, background: DataFrame, size:
         return pa.table({"target": np.full(len(codes), t["target"][0].as_py(), np.int64), "word": _signed(codes)})
 
     def score(key, t, facts):
-        kinds = {c: pa.int64() for c in ("ref", "doc_id", "n_words", "t0", "t1")}
+        kinds = {"base": pa.int64()} | {c: pa.binary() for c in SUMMED[1:]}
         bases, parts = t["base"].to_pylist(), []
-        if key[0].as_py() < 0:
-            for base, ids, null, *sums in zip(bases, _read(t["words"], np.int64), _read(t["a"], bool), *(_read(t[c], np.int64) for c in ("b", "doc", "n"))):
-                parts.append(_batch(dict(zip(kinds, (base + np.arange(len(ids)), pa.array(ids, mask=null), *sums))), kinds))
-            return pa.Table.from_batches(parts)
+        if key[0].as_py() < 0:  # the documents themselves go on as they are
+            columns = (bases, *(t[c].to_pylist() for c in ("words", "a", "b")), [None] * len(bases), t["doc"].to_pylist(), t["n"].to_pylist())
+            return pa.Table.from_batches([_batch(dict(zip(SUMMED, columns)), kinds)])
         known_words = facts["word"].to_numpy().view(np.uint64)
         order = np.argsort(known_words)
         known_words = known_words[order]
@@ -332,7 +336,25 @@ def score_texts(docs: DataFrame, target: DataFrame, background: DataFrame, size:
         at, n, ref = at[kind == DOCS], n[kind == DOCS].astype(np.int64), ref[kind == DOCS]
         refs, row = np.unique(ref, return_inverse=True)
         sums = [_sums(row, x[at] * n, len(refs)) for x in found]
-        return pa.Table.from_batches([_batch(dict(zip(kinds, (refs, [None] * len(refs), np.zeros(len(refs), np.int64), *sums))), kinds)])
+        # A row for each flush of documents, as there is a document for each of its pairs.
+        starts = np.unique(np.array(bases, np.int64))
+        cuts = np.append(np.searchsorted(refs, starts), len(refs))
+        own = [(int(b), i, j) for b, i, j in zip(starts, cuts[:-1], cuts[1:]) if i < j]
+        docs_ = _packed(_planes(refs[i:j] - b) for b, i, j in own)
+        told_ = [_packed(x[i:j].tobytes() for _, i, j in own) for x in sums]
+        columns = ([b for b, *_ in own], *([[None] * len(own)] * 3), docs_, *told_)
+        return pa.Table.from_batches([_batch(dict(zip(SUMMED, columns)), kinds)])
+
+    def total(t):
+        rows = [r["ids"] is not None for r in t.select(["ids"]).to_pylist()]
+        head, rest = t.filter(pa.array(rows)), t.filter(pa.array([not r for r in rows]))
+        ids, null, n = (next(_read(head[c], kind)) for c, kind in (("ids", np.int64), ("null", bool), ("n", np.int64)))
+        sums = [next(_read(head[c], np.int64)).copy() for c in ("t0", "t1")]
+        for doc, *more in zip(_read(rest["doc"], np.uint8), *(_read(rest[c], np.int64) for c in ("t0", "t1"))):
+            doc = _unplaned(doc)
+            for s, x in zip(sums, more):
+                s[doc] += x  # a document stands once in a row
+        return pa.table({"doc_id": pa.array(ids, mask=null), "n_words": n, "t0": sums[0], "t1": sums[1]})
 
     # As many partitions as the data asks for: a task's share does not grow with them.
     dealt = dealt.repartition(max(1, buckets // BUCKETS_A_TASK), "target")
@@ -341,8 +363,8 @@ def score_texts(docs: DataFrame, target: DataFrame, background: DataFrame, size:
     if same:  # of words that occur once in all texts, and are no text's last, nothing is told
         facts = facts.where("NOT (n0 = 0 AND c0 = 0 AND n1 = 1 AND c1 = 1)")
     told = asked.join(facts, "word").select("target", "word", "n0", "c0", "n1", "c1")
-    parts = dealt.groupBy("target").cogroup(told.repartition(max(1, buckets // BUCKETS_A_TASK), "target").groupBy("target")).applyInArrow(score, "ref long, doc_id long, n_words long, t0 long, t1 long")
-    out = parts.groupBy("ref").agg(F.max("doc_id").alias("doc_id"), F.sum("n_words").alias("n_words"), F.sum("t0").alias("t0"), F.sum("t1").alias("t1"))
+    parts = dealt.groupBy("target").cogroup(told.repartition(max(1, buckets // BUCKETS_A_TASK), "target").groupBy("target")).applyInArrow(score, "base long, " + ", ".join(f"{c} binary" for c in SUMMED[1:]))
+    out = parts.groupBy("base").applyInArrow(total, "doc_id long, n_words long, t0 long, t1 long")
     mean = lambda c: F.when(F.col("n_words") > 0, F.col(c) / F.col("n_words") / UNIT)
     out = out.select("doc_id", "n_words", mean("t0").alias("target_loss"), mean("t1").alias("background_loss"))
     return out.withColumn("score", F.col("target_loss") - F.col("background_loss"))

@@ -5,8 +5,9 @@ words of neither), their order and their smoothing. A document's score is the me
 of target loss minus background loss, in nats: the lower, the more the text is like the target.
 
 1. Words are counted as such and as contexts: a table (word, n and c of each text kind).
-2. Pairs that occur HOT times among the documents or more are counted alone, by partial sums over
-   the hot words; their losses go to every task. There are at most (words / HOT) of them.
+2. Pairs that occur HOT times among the documents or more, and are one of HOT_KEYS of all or more, are
+   counted alone, by partial sums over the hot words; their losses go to every task. There are at most
+   HOT_KEYS of them at any size.
 3. All other pairs, summed for each document, are dealt to buckets of about BUCKET_BYTES of text by
    their context's hash (by the pair's for hot contexts), as are those of the target and background. A bucket asks the word table for its words,
    counts its pairs, and sums their losses for each document.
@@ -45,7 +46,8 @@ OWN = 0.7
 FLUSH = 1_000_000
 DEALT = 600_000
 BUCKET_BYTES, LEAST_BUCKETS, BUCKETS_A_TASK = 8_000_000, 8, 4
-HOT = 200_000
+#: A word or pair is hot from so many occurrences on and from this share of all, so at most HOT_KEYS are.
+HOT, HOT_KEYS = 200_000, 1 << 16
 UNIT = 1 << 30
 #: Kinds of text; a bucket's rows of kind ROWS name the documents themselves.
 TARGET, BACKGROUND, DOCS, ROWS = range(4)
@@ -280,13 +282,14 @@ def score_texts(docs: DataFrame, target: DataFrame, background: DataFrame, size:
     words = stored(word_table({k: t.select("text") for k, t in texts.items()}, known))
     if same:
         words = words.withColumns({"n1": F.col("n2"), "c1": F.col("c2")})
-    facts = words.agg(F.count_if(F.col("n0") + F.col("n1") > 0).alias("v"), F.sum("n0").alias("t0"), F.sum("n1").alias("t1")).first()
+    facts = words.agg(F.count_if(F.col("n0") + F.col("n1") > 0).alias("v"), F.sum("n0").alias("t0"), F.sum("n1").alias("t1"), F.sum("n2").alias("t2")).first()
     size, totals = size or facts["v"] + 2, (facts["t0"] or 0, facts["t1"] or 0)
 
-    hot = words.where(F.greatest("n2", "c2") >= HOT).toPandas().sort_values("word")
+    most = max(HOT, (facts["t2"] or 0) // HOT_KEYS)
+    hot = words.where(F.greatest("n2", "c2") >= most).toPandas().sort_values("word")
     hot_words, keys, hot_losses = np.sort(hot["word"].to_numpy(np.int64).view(np.uint64)), np.zeros(0, np.uint64), [np.zeros(0, np.int64)] * 2
     if len(hot):
-        pairs = hot_pairs({k: t.select("text") for k, t in texts.items()}, known, hot_words, HOT)
+        pairs = hot_pairs({k: t.select("text") for k, t in texts.items()}, known, hot_words, most)
         if same:
             pairs["p1"] = pairs["p2"]
         hot = hot.set_index("word")

@@ -216,23 +216,24 @@ def _dealt(texts: DataFrame, kind: int, known, hot, buckets: int) -> DataFrame:
             # Pairs of a context share a bucket, so that it is named and asked for once; those of a hot one are parted.
             spread = np.where(_place(before, hot_words) < len(hot_words), key, mixed(before))
             bucket = ((spread >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(_width(buckets))
-            order = np.argsort(key, kind="stable")
-            order = order[np.argsort(bucket[order], kind="stable")]  # by bucket and pair, documents in order
-            before, words, doc, key, bucket = before[order], words[order], doc[order], key[order], bucket[order]
-            del at, rest, order, spread
-            if len(key):
-                new = np.concatenate([[True], key[1:] != key[:-1]])
+            order = np.argsort(words, kind="stable")  # by bucket, context and word, documents in order
+            for by in (before, bucket):
+                order = order[np.argsort(by[order], kind="stable")]
+            before, words, doc, bucket = before[order], words[order], doc[order], bucket[order]
+            del at, rest, order, spread, key
+            if len(words):
+                new = np.concatenate([[True], (words[1:] != words[:-1]) | (before[1:] != before[:-1])])
                 once = np.flatnonzero(new | np.concatenate([[True], doc[1:] != doc[:-1]]))
-                n = np.diff(np.append(once, len(key)))
+                n = np.diff(np.append(once, len(doc)))
                 doc, first = doc[once], np.flatnonzero(new[once])
                 before, words, bucket = before[new], words[new], bucket[new]
                 ends = np.append(first, len(once))
                 cuts = np.append(np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])), len(bucket))
                 for i, j in zip(cuts[:-1], cuts[1:]):
                     own, place = np.unique(np.concatenate([before[i:j], words[i:j]]), return_inverse=True)
-                    place, entries = place.astype(_width(len(own))), slice(ends[i], ends[j])
+                    entries = slice(ends[i], ends[j])
                     sizes = (np.diff(ends[i : j + 1]), doc[entries], n[entries])
-                    out.append((int(bucket[i]), kind, base, _planes(own), place[: j - i].tobytes(), place[j - i :].tobytes(), *(_planes(x) for x in sizes)))
+                    out.append((int(bucket[i]), kind, base, _planes(own, False), *(_planes(x) for x in (place[: j - i], place[j - i :], *sizes))))
             columns = dict(zip(DEALT_KINDS, zip(*out) if out else [[]] * len(DEALT_KINDS)))
             return _batch({c: _packed(v) if DEALT_KINDS[c] == pa.binary() else v for c, v in columns.items()}, DEALT_KINDS)
 
@@ -257,9 +258,9 @@ def _width(n: int):
     return np.uint16 if n <= 1 << 16 else np.uint32
 
 
-def _planes(x: np.ndarray) -> bytes:
-    """Sorted hashes, or numbers under 2^32: all their lowest bytes first, as the high ones compress."""
-    x = x if x.dtype == np.uint64 else x.astype("<u4")
+def _planes(x: np.ndarray, small: bool = True) -> bytes:
+    """Numbers under 2^32, or else of 64 bits: all their lowest bytes first, as the high ones compress."""
+    x = x if x.dtype in (np.uint64, np.int64) and not small else x.astype("<u4")
     return np.ascontiguousarray(x.view(np.uint8).reshape(-1, x.itemsize).T).tobytes()
 
 
@@ -324,7 +325,7 @@ def score_texts(docs: DataFrame, target: DataFrame, background: DataFrame, size:
         for base, kind, own, a, b, docs_, doc, n in zip(bases, t["kind"].to_pylist(), _read(t["words"], np.uint8), *raw):
             own = _unplaned(own, np.uint64)
             at = _place(own, known_words)
-            a, b = (at[x.view(_width(len(own)))] for x in (a, b))
+            a, b = (at[_unplaned(x)] for x in (a, b))
             pair, n = np.repeat(a * (len(known_words) + 1) + b, _unplaned(docs_)), _unplaned(n)
             parts.append((pair, n, np.full(len(n), kind, np.int8), base + _unplaned(doc).astype(np.int64)))
         pair, n, kind, ref = (np.concatenate(x) for x in zip(*parts))
@@ -344,7 +345,7 @@ def score_texts(docs: DataFrame, target: DataFrame, background: DataFrame, size:
         cuts = np.append(np.searchsorted(refs, starts), len(refs))
         own = [(int(b), i, j) for b, i, j in zip(starts, cuts[:-1], cuts[1:]) if i < j]
         docs_ = _packed(_planes(refs[i:j] - b) for b, i, j in own)
-        told_ = [_packed(x[i:j].tobytes() for _, i, j in own) for x in sums]
+        told_ = [_packed(_planes(x[i:j], False) for _, i, j in own) for x in sums]
         columns = ([b for b, *_ in own], *([[None] * len(own)] * 3), docs_, *told_)
         return pa.Table.from_batches([_batch(dict(zip(SUMMED, columns)), kinds)])
 
@@ -353,10 +354,10 @@ def score_texts(docs: DataFrame, target: DataFrame, background: DataFrame, size:
         head, rest = t.filter(pa.array(rows)), t.filter(pa.array([not r for r in rows]))
         ids, null, n = (next(_read(head[c], kind)) for c, kind in (("ids", np.int64), ("null", bool), ("n", np.int64)))
         sums = [next(_read(head[c], np.int64)).copy() for c in ("t0", "t1")]
-        for doc, *more in zip(_read(rest["doc"], np.uint8), *(_read(rest[c], np.int64) for c in ("t0", "t1"))):
+        for doc, *more in zip(*(_read(rest[c], np.uint8) for c in ("doc", "t0", "t1"))):
             doc = _unplaned(doc)
             for s, x in zip(sums, more):
-                s[doc] += x  # a document stands once in a row
+                s[doc] += _unplaned(x, np.int64)  # a document stands once in a row
         return pa.table({"doc_id": pa.array(ids, mask=null), "n_words": n, "t0": sums[0], "t1": sums[1]})
 
     # As many partitions as the data asks for: a task's share does not grow with them.

@@ -13,7 +13,7 @@ are merged. Only the cells' summaries reach the driver.
 Nulls: vectors that are null or hold a null, NaN or infinity take no part, neither do null ids.
 Vectors of different lengths: missing components count as 0. Ties go to the smaller id; rows that
 repeat an id are candidates and queries each. Vectors are told apart by 64-bit hashes. Empty input: an empty result. Extra columns are ignored. Products are
-exact for any components below 2^53 after scaling.
+exact for components under 2^53 after scaling; one beyond 64 bits, which no score can hold, is an error.
 """
 
 from __future__ import annotations
@@ -54,7 +54,12 @@ def products(q: np.ndarray, x: np.ndarray) -> np.ndarray:
         return (q.astype(np.float32) @ x.astype(np.float32).T).astype(np.int64)
     if most < 2**53:
         return (q.astype(np.float64) @ x.astype(np.float64).T).astype(np.int64)
-    return q @ x.T
+    if most < 2**63:
+        return q @ x.T
+    whole = q.astype(object) @ x.astype(object).T
+    if any(not -(2**63) <= v < 2**63 for row in whole for v in row):
+        raise ValueError("an inner product is beyond 64 bits")
+    return whole.astype(np.int64)
 
 
 def assign(vectors: DataFrame, pivots: np.ndarray) -> DataFrame:

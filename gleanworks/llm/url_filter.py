@@ -2,8 +2,8 @@
 
 Every url, from behind its `://` on, with query and fragment, is searched for all terms at once (an
 Aho-Corasick automaton). A hit counts only between boundaries: the characters around it, if any, are
-not letters or digits. One strict term blocks, as do SOFT_LIMIT different soft terms; a soft term
-and its plural are two. Rules on (host, path prefix) come first and the longest that fits decides.
+not letters or digits of any script; an escape like `%20` is a boundary. One strict term blocks, as do
+SOFT_LIMIT different soft terms; a term and its plurals are one. Rules on (host, path prefix) come first and the longest that fits decides.
 
 Nulls: a null url has an empty host and path, fits no rule and holds no term, so it is allowed. A
 url without `://` has an empty host and path too, but is searched whole. Very long urls are searched
@@ -31,15 +31,20 @@ STRICT_TERMS = ("adclick", "adserver", "adultdating", "adultsex", "adultvideo",
 SOFT_TERMS = ("ads", "adult", "adulte", "adulto", "advert", "affiliate", "ambien", "apuesta", "argent", "babe", "baccarat", "banner", "barato", "bet", "betting", "bettor", "billig", "bingo", "blackjack", "bonus", "bonuses", "bookie", "bookmaker", "cam", "casino", "cheap", "cheapest", "clickbait", "crack", "cracked", "dating", "desnuda", "desnudo", "discount", "erotic", "erotica", "erotico", "erotik", "erotique", "escort", "escorte", "farmacia", "fetish", "fetishes", "free", "freebie", "gamble", "gambler", "gambling", "ganar", "gewinn", "gewinnspiel", "girls", "gluecksspiel", "gratis", "gratuit", "hot", "jackpot", "kasino", "kink", "kinky", "kostenlos", "lesbians", "lingerie", "loteria", "loterie", "lotterie", "lotteries", "lottery", "lotto", "medikament", "meds", "nackt", "naked", "nude", "nudist", "nudity", "opioid", "pastilla", "pharma", "pharmacie", "pharmacies", "pharmacy", "phentermine", "pill", "pilule", "poker", "popup", "potenzmittel", "premio", "prize", "rabatt", "rencontre", "roulette", "ruleta", "serialz", "sex", "sexe", "sexo", "sexual", "sexy", "slot", "sorteo", "spam", "spammer", "spammy", "spielautomat", "spielcasino", "sponsored", "steroid", "strip", "stripper", "striptease", "swinger", "tablets", "teen", "torrent", "track", "tracker", "tracking", "tragaperras", "tramadol", "valium", "wager", "wagering", "webcam", "wette", "wetten", "win", "winner", "winning", "xanax")
 
 
-def with_plurals(terms: tuple[str, ...]) -> tuple[str, ...]:
-    return terms + tuple(t + "s" for t in terms if not t.endswith("s") and t + "s" not in terms)
+def forms(terms: tuple[str, ...]) -> dict[str, str]:
+    """Each form that is searched, and the term that it counts as: a plural in s, es or ies counts as its singular, and every term has one in s."""
+    known, out = set(terms), {}
+    for t in terms:
+        singles = [t[:-3] + "y" if t.endswith("ies") else "", t[:-2] if t.endswith("es") else "", t[:-1] if t.endswith("s") else ""]
+        out[t] = next((x for x in singles if x in known), t)
+    return {t + "s": base for t, base in out.items() if not t.endswith("s")} | out
 
 
-STRICT, SOFT = with_plurals(STRICT_TERMS), with_plurals(SOFT_TERMS)
+STRICT, SOFT = forms(STRICT_TERMS), forms(SOFT_TERMS)
 #: One strict term blocks, as do so many different soft ones.
 SOFT_LIMIT = 2
-#: What the SQL form needs: a term between boundaries.
-BOUNDED = "(^|[^a-z0-9]){}([^a-z0-9]|$)"
+#: What the SQL form needs: a term's forms between boundaries.
+BOUNDED = "(^|[^\\p{{L}}\\p{{N}}])({})([^\\p{{L}}\\p{{N}}]|$)"
 
 
 def host_of(url: Column) -> Column:
@@ -53,8 +58,12 @@ def path_of(url: Column) -> Column:
 
 
 def searched(url: Column) -> Column:
-    """What is searched for terms: all behind the first `://`, or the whole url; A-Z lower-cased."""
-    return F.coalesce(_lower(F.when(F.contains(url, F.lit("://")), F.regexp_extract(url, r"(?s)^.*?://(.*)$", 1)).otherwise(url)), F.lit(""))
+    """What is searched for terms: all behind the first `://`, or the whole url; A-Z lower-cased, escapes as spaces."""
+    return F.coalesce(_spaced(_lower(F.when(F.contains(url, F.lit("://")), F.regexp_extract(url, r"(?s)^.*?://(.*)$", 1)).otherwise(url))), F.lit(""))
+
+
+def _spaced(c: Column) -> Column:
+    return F.regexp_replace(c, "%[0-9a-f]{2}", " ")
 
 
 def _lower(c: Column) -> Column:
@@ -62,34 +71,31 @@ def _lower(c: Column) -> Column:
     return F.translate(c, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
-def term_hits(terms: tuple[str, ...], strict: frozenset[str]):
-    """A pandas UDF: text (lower case) to struct<strict, soft>, the numbers of different terms hit."""
+def term_hits(strict: dict[str, str], soft: dict[str, str]):
+    """A pandas UDF: text (lower case) to struct<strict, soft>, the numbers of different terms hit by their forms."""
 
     @F.pandas_udf("strict int, soft int")
     def hits(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         machine = ahocorasick.Automaton()
-        for term in terms:
-            machine.add_word(term, term)
+        for form in {*strict, *soft}:
+            machine.add_word(form, form)
         machine.make_automaton()
         for texts in batches:
             rows = []
             for text in texts:
-                found = set()
-                for end, term in machine.iter(text):
-                    before, after = text[end - len(term) : end - len(term) + 1] if end >= len(term) else "", text[end + 1 : end + 2]
-                    if not _inner(before) and not _inner(after):
-                        found.add(term)
-                rows.append((len(found & strict), len(found - strict)))
+                found = {form for end, form in machine.iter(text) if not _inner(text[max(end - len(form), 0) : end - len(form) + 1]) and not _inner(text[end + 1 : end + 2])}
+                rows.append(tuple(len({terms[f] for f in found if f in terms}) for terms in (strict, soft)))
             yield pd.DataFrame(rows, columns=["strict", "soft"])
 
     return hits
 
 
 def _inner(c: str) -> bool:
-    return "a" <= c <= "z" or "0" <= c <= "9"
+    """A letter or digit of any script; nothing at an end of the text."""
+    return c.isalnum()
 
 
-def judge(df: DataFrame, url_col: str = "url", rules=RULES, strict=STRICT, soft=SOFT, soft_limit: int = SOFT_LIMIT) -> DataFrame:
+def judge(df: DataFrame, url_col: str = "url", rules=RULES, strict: dict[str, str] = STRICT, soft: dict[str, str] = SOFT, soft_limit: int = SOFT_LIMIT) -> DataFrame:
     """df with host, path, rule, verdict, strict_hits and soft_hits."""
     df = df.withColumn("_searched", searched(F.col(url_col)))
     df = df.withColumn("host", host_of(F.col(url_col))).withColumn("path", path_of(F.col(url_col)))
@@ -98,7 +104,7 @@ def judge(df: DataFrame, url_col: str = "url", rules=RULES, strict=STRICT, soft=
         host, slash, path = text.partition("/")
         fits = ((F.col("host") == host) | F.col("host").endswith("." + host)) & F.col("path").startswith(slash + path)
         rule, verdict = F.when(fits, F.lit(text)).otherwise(rule), F.when(fits, F.lit(said)).otherwise(verdict)
-    hits = term_hits(tuple(strict) + tuple(soft), frozenset(strict))
+    hits = term_hits(strict, soft)
     df = df.withColumn("_hits", hits(F.col("_searched")))
     own = F.when((F.col("_hits.strict") >= 1) | (F.col("_hits.soft") >= soft_limit), "block").otherwise("allow")
     return (
@@ -116,7 +122,8 @@ def op4_url_terms(spark, sf_dir):
 
 
 def _sql() -> str:
-    hits = lambda terms: " + ".join(f"CAST(regexp_matches(t, '{BOUNDED.format(x)}') AS INT)" for x in terms)
+    named = lambda terms: [[f for f, b in terms.items() if b == base] for base in dict.fromkeys(terms.values())]
+    hits = lambda terms: " + ".join(f"CAST(regexp_matches(t, '{BOUNDED.format('|'.join(own))}') AS INT)" for own in named(terms))
     lower = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')".format
     fits = lambda r: f"(host = '{r.partition('/')[0]}' OR ends_with(host, '.{r.partition('/')[0]}')) AND starts_with(path, '/{r.partition('/')[2]}')"
     rules = sorted(RULES, key=lambda r: -len(r[0]))
@@ -124,7 +131,7 @@ def _sql() -> str:
     said = "CASE " + " ".join(f"WHEN {fits(r)} THEN '{v}'" for r, v in rules) + " END"
     return f"""
 WITH r AS (SELECT page_id, coalesce(CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) END, '') AS rest, coalesce(CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE url END, '') AS whole FROM pages),
-s AS (SELECT page_id, {lower("whole")} AS t, {lower("regexp_extract(rest, '^[^/?#]*')")} AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM r),
+s AS (SELECT page_id, regexp_replace({lower("whole")}, '%[0-9a-f]{{2}}', ' ', 'g') AS t, {lower("regexp_extract(rest, '^[^/?#]*')")} AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM r),
 c AS (SELECT *, {hits(STRICT)} AS strict_hits, {hits(SOFT)} AS soft_hits FROM s)
 SELECT page_id, host, path, {rule} AS rule, coalesce({said}, CASE WHEN strict_hits >= 1 OR soft_hits >= {SOFT_LIMIT} THEN 'block' ELSE 'allow' END) AS verdict, strict_hits, soft_hits FROM c"""
 

@@ -6,7 +6,8 @@ import zlib
 import numpy as np
 from pyspark.sql import functions as F
 
-from gleanworks.sources import files, images, paged
+from gleanworks.operators import collection as co
+from gleanworks.sources import files, images
 
 
 def png(h, w, value=0):
@@ -49,35 +50,30 @@ def test_picture_arithmetic():
     assert bin((images.perceptual_hash(x) ^ images.perceptual_hash(near)) & (2**64 - 1)).count("1") <= 8
 
 
-def test_paged_sources(spark, tmp_path):
-    put = lambda name, records: (tmp_path / f"{name}.json").write_text(json.dumps(records))
+def test_pages_that_are_read(spark):
     ids = list(range(7, 0, -1))
-    for name, page in (("start", ids[:3]), (5, ids[3:6]), (2, ids[6:])):
-        put(name, [{"id": i, "photos": [f"p{i}a", f"p{i}b"] if i % 3 else []} for i in page])
-    paged.register(spark)
-    read = spark.read.format("cursor_pages").option("path", str(tmp_path)).option("per_page", 3).option("max_photos", 1)
-    assert [r["id"] for r in read.option("need", 3).load().orderBy(F.desc("id")).collect()] == [7, 5, 4, 2]  # the last page overshoots
-    assert read.option("need", 100).load().count() == 5
-    assert spark.read.format("cursor_pages").option("path", str(tmp_path)).option("per_page", 3).load().count() == 10
-    for start in range(1, 1001, 30):
-        put(start, [{"link": f"l{start + i}", "width": "x" if i == 2 else i} for i in range(30)])
-    got = paged.sized(spark.read.format("offset_pages").option("path", str(tmp_path)).option("display", 30).load())
-    assert got.count() == 1000 and got.where("link = 'l3'").first() == ("l3", 0, 0) and got.where("link = 'l1000'").count() == 1
-    put("answer", [{"link": f"l{i}", "width": i, "height": None} for i in range(9)])
-    one = spark.read.format("single_answer").option("path", str(tmp_path)).option("max_results", 4)
-    assert sorted(map(tuple, paged.sized(one.load()).collect())) == [(f"l{i}", i, 0) for i in range(4)]
-    (tmp_path / "answer.json").write_text("not json")
-    assert one.load().count() == 0
+    rows = [("q", k, i, [f"p{i}a", f"p{i}b"] if i % 3 else None, None) for k, page in enumerate((ids[:3], ids[3:6], ids[6:])) for i in page]
+    rows += [("gap", 0, i, ["x"], None) for i in range(3)] + [("gap", 2, 9, ["y"], None)]
+    records = spark.createDataFrame(rows, "query string, page int, id int, photos array<string>, licence string")
+    got = lambda q="q", **k: sorted((r["id"] for r in co.cursor_pages(records, per_page=3, **k).where(F.col("query") == q).collect()), reverse=True)
+    assert got(need=3, max_photos=1) == [7, 5, 4, 2]  # the last page overshoots
+    assert len(got(need=100, max_photos=1)) == 5 and len(got(need=None)) == 10 and got("gap", need=None) == [2, 1, 0]
+    results = spark.createDataFrame([("q", i, "x" if i == 2 else str(i), None) for i in range(1, 1500)] + [("e", 31, "1", "1")], "query string, position int, width string, height string")
+    read = co.sized(co.offset_pages(results, 30))
+    assert read.count() == 1000 and tuple(read.where("position = 2").select("width", "height").first()) == (0, 0)  # a search without a first page gives nothing
 
 
 def test_search_results(spark):
     wanted = spark.createDataFrame([("Cod",), ("eel",), ("ray",)], "query string")
-    found = spark.createDataFrame([("Cod", 0, 9, "Codling"), ("Cod", 1, 8, "COD"), ("Cod", 2, 7, "cod"), ("eel", 0, 6, "eels"), ("eel", 1, 5, "moray")], "query string, place int, id int, name string")
-    got = {r["query"]: (r["id"], r["seen"]) for r in paged.exact_names(wanted, found).collect()}
+    found = spark.createDataFrame([("Cod", 0, 9, "Codling"), ("Cod", 1, 8, "COD"), ("Cod", 2, 7, "cod"), ("eel", 0, 6, "eels"), ("eel", 1, 5, "moray"), ("ray", 10, 4, "ray")], "query string, place int, id int, name string")
+    got = {r["query"]: (r["id"], r["seen"]) for r in co.exact_names(wanted, found).collect()}
     assert got == {"Cod": (8, None), "eel": (None, ["eels", "moray"]), "ray": (None, None)}
-    rows = [(1, "a", 400, 400, True), (2, " ", 400, 400, True), (3, "b", 100, 400, True), (4, "c", 0, 0, False), (5, "bad", 400, 400, True), (6, "d", 400, 400, True), (7, "e", 400, 400, True)]
-    results = spark.createDataFrame(rows, "place int, link string, width int, height int, ok boolean")
-    assert tuple(paged.fetch_counts(results, spark.createDataFrame([("bad",)], "link string"), 2).first()) == (2, 3, 1)
+    rows = [(1, "a", 400, 400, True), (2, " ", 400, 400, True), (3, "b", 100, 400, True), (4, "c", 0, 0, False), (5, "bad", 400, 400, True), (6, "d", 400, 400, True), (7, "e", 400, 400, True), (8, None, None, None, True)]
+    results = spark.createDataFrame([(q, *r) for q in "xy" for r in rows], "query string, place int, link string, width int, height int, ok boolean")
+    counts = lambda want: {tuple(r) for r in co.fetch_counts(results, spark.createDataFrame([("bad",)], "link string"), want).collect()}
+    assert counts(2) == {("x", 2, 3, 1), ("y", 2, 3, 1)} and counts(9) == {("x", 3, 4, 1), ("y", 3, 4, 1)}
+    gains = spark.createDataFrame([("a", k, g) for k, g in enumerate((3, 1, 0, 5, 7))] + [("b", k, 2) for k in range(9)], "query string, pass int, gain int")
+    assert sorted(tuple(r)[:2] for r in co.retry_offsets(gains, 5).collect()) == [("a", 0), ("a", 1), ("a", 2), ("b", 0), ("b", 1), ("b", 2)]
 
 
 def test_scores_in_order_of_line(spark, tmp_path):

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: What the model block of a label document always says.
-MODEL_FIXED = {"input_name": "image", "output_name": "logits", "applies_softmax": False}
+MODEL_FIXED = {"input_name": "input", "output_name": "logits", "opset": 18, "applies_softmax": False}
 
 
 def label_document(classes: DataFrame, other: str, threshold: float, top_k: int) -> DataFrame:

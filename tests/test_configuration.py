@@ -36,18 +36,18 @@ def test_rules_read_the_table_once(spark, sf_dir):
 
 
 def test_documents(spark, tmp_path):
-    classes = spark.createDataFrame([(1, "기타", None, "other", "easy"), (0, "cod", "Gadus", "sea", None)], "idx int, name string, scientific string, habitat string, difficulty string")
-    doc = do.label_document(classes, "기타", 0.25, 3)
+    classes = spark.createDataFrame([(1, "autre é", None, "other", "easy"), (0, "cod", "Gadus", "sea", None)], "idx int, name string, scientific string, habitat string, difficulty string")
+    doc = do.label_document(classes, "autre é", 0.25, 3)
     plain = json.loads(doc.select(F.to_json("document").alias("d")).first()["d"])
-    assert plain["classes"] == ["cod", "기타"] and plain["other_index"] == 1 and plain["species"]["cod"] == {"scientific": "Gadus", "habitat": "sea"}
+    assert plain["classes"] == ["cod", "autre é"] and plain["other_index"] == 1 and plain["species"]["cod"] == {"scientific": "Gadus", "habitat": "sea"}
     assert do.missing_blocks(doc).first()["missing"] == ["img_size", "resize_shorter_to", "mean", "std"]
     full = do.with_threshold(do.stamped(doc, 384, [0.1, 0.2, 0.3], [1.0, 1.0, 1.0], "b0", "v2"), 0.4)
     do.save_documents(full, str(tmp_path / "d"))
     back = do.load_documents(spark, str(tmp_path / "d"))
     assert do.missing_blocks(back).first()["missing"] == []
     assert tuple(back.select(do.at("$.preprocess.resize_shorter_to", "int"), do.at("$.preprocess.mean[1]", "double"), do.at("$.model.version", "string"), do.at("$.confidence_threshold", "double"), do.at("$.no.such", "int")).first()) == (437, 0.2, "v2", 0.4, None)
-    assert [tuple(r) for r in do.species_rows(back).orderBy("idx").collect()] == [(0, "cod", "Gadus", "sea", None), (1, "기타", None, "other", "easy")]
-    assert do.health(back).first()["code"] == 200 and json.loads(do.labels(back).first()["body"])["species"]["기타"]["habitat"] == "other"
+    assert [tuple(r) for r in do.species_rows(back).orderBy("idx").collect()] == [(0, "cod", "Gadus", "sea", None), (1, "autre é", None, "other", "easy")]
+    assert do.health(back).first()["code"] == 200 and json.loads(do.labels(back).first()["body"])["species"]["autre é"]["habitat"] == "other"
     assert tuple(do.labels(back.limit(0)).first()) == (503, '{"error":"MODEL_NOT_LOADED"}')
     empty = do.label_document(classes.limit(0), "x", 0.25, 3).select(do.at("$.num_classes", "int").alias("n"), do.at("$.other_index", "int").alias("o")).first()
     assert tuple(empty) == (0, None)

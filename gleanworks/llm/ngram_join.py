@@ -3,10 +3,12 @@
 1. Equal sets are one entity, known by the fingerprint of its sorted hashes.
 2. All shingle hashes of all entities are dealt to hash buckets; there, those of two or more
    entities are found. Only they can be common to a pair. They go back to their entity, with the
-   number of entities that hold them.
+   number of entities that hold them. Shingles that a share of a sample of entities holds are dealt
+   by entity as well, so that no bucket gets all of their holders; they count as shared.
 3. An entity of n shingles can link only if at least 0.75 n of them are shared. The rest drop out.
 4. Near copies of one text mostly agree in the least hash under some order: each entity is compared
    with the most copied entity of its agreeing group, exactly. That joins large groups by a link each.
+   The heads of groups of more than a thousandth of the entities go to all tasks.
 5. Every other possible pair shares one of its (shared - 0.75 n + 1) rarest shingles. Entities
    meet in tiles of (size band, such a shingle) unless all of a tile are in one component already;
    large tiles are cut into pairs of blocks by bytes. Tiles are dealt to parts by hash; an entity's
@@ -45,6 +47,12 @@ BLOCK_BYTES, PART_BYTES = 500_000, 24_000_000
 TILE_ROW = 40
 BUCKETS_A_TASK = 4
 SEEDS = (0, 0x5851F42D4C957F2D, 0x14057B7EF767814F)
+#: Of about SAMPLE entities, drawn by their fingerprints, HELD must hold a shingle for it to be dealt by entity too;
+#: the COMMON most held at most. Where work is done depends on them, no result does.
+SAMPLE, HELD, COMMON = 4000, 20, 65_536
+#: Groups of one least hash beyond this share of the entities are met by a broadcast of their heads, HOT_HEADS a seed at most.
+HOT_HEADS = 1000
+LOW = np.uint64((1 << 48) - 1)
 
 
 def need(n):
@@ -109,10 +117,73 @@ def _gathered(t: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     return np.repeat(entity, counts), np.repeat(size, counts)
 
 
-def shared_sets(docs: DataFrame, k: int = 5) -> DataFrame:
+def common_shingles(docs: DataFrame, members: DataFrame, k: int = 5) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes, estimated numbers of holders) of the shingles that a share of the entities holds, in order of the low 48 bits.
+
+    A share, not a number: HELD of a sample of SAMPLE entities, so what one task gets of a shingle that
+    is not among them stays below about HELD / SAMPLE of the entities."""
+    own = members.where("entity IS NOT NULL")
+    n = own.agg(F.approx_count_distinct("entity").alias("n")).first()["n"]
+    if n > SAMPLE:
+        own = own.where(F.col("entity") < -(1 << 63) + (1 << 64) * SAMPLE // n)
+    mark = F.xxhash64("doc_id", "text_hash").alias("mark")
+    # About SAMPLE rows: entities are fingerprints, so evenly spread.
+    drawn = own.select("entity", mark).groupBy("entity").agg(F.min("mark").alias("mark")).select("mark")
+
+    def hashes(batches):
+        for _, texts in text_groups(batches, GROUP_BYTES):
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(shingle_sets(texts, k)).view(np.int64))], ["h"])
+
+    texts = docs.withColumn("mark", mark).join(F.broadcast(drawn), "mark").select("text")
+    counted = texts.mapInArrow(hashes, "h long").groupBy("h").agg(F.count("*").alias("held")).where(F.col("held") >= HELD)
+    rows = counted.orderBy(F.desc("held"), "h").limit(COMMON).collect()
+    h = np.array([r["h"] for r in rows], np.int64).view(np.uint64)
+    held = np.array([r["held"] * max(n, SAMPLE) // SAMPLE for r in rows], np.int64)
+    _, one = np.unique(h & LOW, return_index=True)
+    return h[one], np.clip(held[one], 2, 65535).astype(np.uint16)
+
+
+def _spread(h: np.ndarray, entity: np.ndarray, buckets: int) -> np.ndarray:
+    """The bucket of a common shingle of an entity."""
+    return mixed(h ^ entity.view(np.uint64)) % np.uint64(buckets)
+
+
+def _place(sorted_values: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(places of values in sorted_values, whether they are there)."""
+    if not len(sorted_values):
+        return np.zeros(len(values), np.int64), np.zeros(len(values), bool)
+    at = np.minimum(np.searchsorted(sorted_values, values), len(sorted_values) - 1)
+    return at, sorted_values[at] == values
+
+
+def bucket_of(h: np.ndarray, entity: np.ndarray, common: np.ndarray, buckets: int) -> np.ndarray:
+    """The bucket of each shingle: by the hash alone, or for common ones (in order of the low bits) by entity too."""
+    bucket = ((h >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
+    at, hit = _place(common & LOW, h & LOW)
+    hit = np.flatnonzero(hit)
+    hit = hit[common[at[hit]] == h[hit]]
+    bucket[hit] = _spread(h[hit], entity[hit], buckets)
+    return bucket.astype(np.int64)
+
+
+def named_hashes(low: np.ndarray, entity: np.ndarray, common: np.ndarray, bucket: int, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """(a shingle's name, its place among common or -1) from the low bits of what bucket_of put into a bucket."""
+    at, hit = _place(common & LOW, low)
+    hit = np.flatnonzero(hit)
+    hit = hit[_spread(common[at[hit]], entity[hit], buckets) == bucket]
+    place = np.full(len(low), -1, np.int64)
+    place[hit] = at[hit]
+    name = low | (np.uint64(bucket & 0xFFFF) << np.uint64(48))
+    name[hit] = common[place[hit]]
+    return name, place
+
+
+def shared_sets(docs: DataFrame, k: int = 5, common: tuple[np.ndarray, np.ndarray] = (np.zeros(0, np.uint64), np.zeros(0, np.uint16))) -> DataFrame:
     """(entity, n, weight, hashes, prefix, firsts, band, map0, map1) of the entities of which enough is shared.
 
-    weight: how many entities hold a shingle of the set, on average; large for what others copy."""
+    weight: how many entities hold a shingle of the set, on average; large for what others copy.
+    common: of common_shingles. Any set of hashes is right; those of it count as shared."""
+    often, holders = common
     size = docs.agg(F.sum(F.octet_length("text")).alias("b")).first()["b"] or 0
     buckets = max(LEAST_BUCKETS, -(-size // BUCKET_BYTES))
 
@@ -124,9 +195,8 @@ def shared_sets(docs: DataFrame, k: int = 5) -> DataFrame:
             n = np.array([len(s) for _, s in held], np.uint32)
             entity = np.repeat(np.array([e for e, _ in held], np.int64), n)
             held.clear()
-            bucket = ((h >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
             low = np.ascontiguousarray(h.view(np.uint8).reshape(-1, 8)[:, :6])
-            return _dealt(bucket.astype(np.int64), entity, np.repeat(n, n), {"data": low})
+            return _dealt(bucket_of(h, entity, often, buckets), entity, np.repeat(n, n), {"data": low})
 
         for _, texts in text_groups(batches, GROUP_BYTES):
             for s in shingle_sets(texts, k):
@@ -145,15 +215,17 @@ def shared_sets(docs: DataFrame, k: int = 5) -> DataFrame:
         entity, n = _gathered(t)
         low = np.zeros((len(entity), 8), np.uint8)
         low[:, :6] = joined_bytes(t["data"], np.uint8).reshape(-1, 6)
-        h = low.view(np.uint64)[:, 0] | (np.uint64(t["target"][0].as_py() & 0xFFFF) << np.uint64(48))
+        h, place = named_hashes(low.view(np.uint64)[:, 0], entity, often, t["target"][0].as_py(), buckets)
         order = np.lexsort((entity, h))
-        h, entity, n = h[order], entity[order], n[order]
+        h, entity, n, place = h[order], entity[order], n[order], place[order]
         once = np.concatenate([[True], (h[1:] != h[:-1]) | (entity[1:] != entity[:-1])])
-        h, entity, n = h[once], entity[once], n[once]
+        h, entity, n, place = h[once], entity[once], n[once], place[once]
         held = np.diff(np.append(_runs(h), len(h)))
-        held = np.repeat(held, held)
+        held = np.minimum(np.repeat(held, held), 65535).astype(np.uint16)
+        # Of a common shingle other buckets hold the rest: its number is the estimate, in all of them.
+        held[place >= 0] = holders[place[place >= 0]]
         shared = held > 1
-        h, entity, n, held = h[shared], entity[shared], n[shared], np.minimum(held[shared], 65535).astype(np.uint16)
+        h, entity, n, held = h[shared], entity[shared], n[shared], held[shared]
         target = (mixed(entity.view(np.uint64)) % np.uint64(buckets)).astype(np.int64)
         return pa.Table.from_batches([_dealt(target, entity, n, {"data": h, "held": held})])
 
@@ -260,16 +332,28 @@ def _tile(tile, cut, entity, n, c, comp, own, band, maps):
                 yield np.full(y.size, entity[x]), entity[y]
 
 
+def stars(sets: DataFrame) -> DataFrame:
+    """(u, v): each entity v with the entity u of the greatest weight in each of its groups of one least hash."""
+    spots = sets.select("entity", "weight", F.posexplode("firsts").alias("seed", "first"))
+    heads = spots.groupBy("seed", "first").agg(F.max(F.struct("weight", "entity"))["entity"].alias("u"), F.count("*").alias("rows"))
+    heads = durable(heads.where("rows > 1"))
+    limit = sets.count() // HOT_HEADS
+    # Fewer than len(SEEDS) * HOT_HEADS rows. Their groups are spread over the join that they need no more.
+    hot = heads.where(F.col("rows") > limit).select("seed", "first", F.col("u").alias("known"))
+    others = heads.where(F.col("rows") <= limit).select("seed", "first", F.lit(-1).alias("salt"), "u")
+    salt = F.when(F.col("known").isNull(), -1).otherwise(F.pmod(F.xxhash64("entity"), F.lit(1 << 16)).cast("int"))
+    met = spots.join(F.broadcast(hot), ["seed", "first"], "left").withColumn("salt", salt).join(others, ["seed", "first", "salt"], "left")
+    met = met.select(F.coalesce("known", "u").alias("u"), F.col("entity").alias("v"))
+    return met.where("u <> v").distinct()
+
+
 def grouped(docs: DataFrame, k: int = 5) -> DataFrame:
     """(doc_id, text_hash, n_shingles, entity, group, component_id) of docs(doc_id, text_hash, text).
 
     group: an entity of the component; component_id: its least doc_id; both null for an empty set."""
     members = durable(memberships(docs, k))
-    sets = durable(shared_sets(docs, k))
-    spots = sets.select("entity", "weight", F.posexplode("firsts").alias("seed", "first"))
-    heads = spots.groupBy("seed", "first").agg(F.max(F.struct("weight", "entity"))["entity"].alias("u"), F.count("*").alias("rows")).where("rows > 1").drop("rows")
-    stars = spots.join(heads, ["seed", "first"]).where("entity <> u").select("u", F.col("entity").alias("v")).distinct()
-    first_links = durable(linked(stars, sets))
+    sets = durable(shared_sets(docs, k, common_shingles(docs, members, k)))
+    first_links = durable(linked(stars(sets), sets))
     more_links = linked(tile_pairs(sets, components(first_links)), sets)
     comps = components(first_links.unionByName(more_links)).withColumnRenamed("node", "entity")
     named = members.where("entity IS NOT NULL").groupBy("entity").agg(F.min("doc_id").alias("least"))

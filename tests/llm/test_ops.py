@@ -225,6 +225,56 @@ def test_near_groups_with_cut_tiles(spark, monkeypatch):
     assert got == brute.near_groups(rows)
 
 
+@pytest.mark.parametrize("sample, held", [(4000, 2), (40, 2), (30, 1)])
+def test_near_groups_with_common_shingles(spark, monkeypatch, sample, held):
+    monkeypatch.setattr(ngram_join, "SAMPLE", sample)
+    monkeypatch.setattr(ngram_join, "HELD", held)
+    rows = copies(5, 160)
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in ngram_join.near_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == brute.near_groups(rows)
+
+
+def test_common_shingles_are_those_of_a_share(spark):
+    rng = random.Random(3)
+    passage = " ".join(f"p{i}" for i in range(60))
+    rows = [(i, " ".join(rng.choice("abcdefgh") + str(rng.randrange(10**6)) for _ in range(20)) + " " + passage * (i % 3 == 0)) for i in range(9000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("text_hash", F.xxhash64("text"))
+    h, held = ngram_join.common_shingles(docs, ngram_join.memberships(docs))
+    want = shingles.shingle_sets([passage.encode()])[0]
+    assert set(h.tolist()) == set(want.tolist()) and np.all(abs(held.astype(int) - 3000) < 600)
+
+
+def test_buckets_of_a_passage_in_a_third_of_all_texts():
+    rng = np.random.default_rng(7)
+    passage, buckets = rng.integers(0, 1 << 63, 65, dtype=np.uint64) * np.uint64(2), 64
+    sets = [np.concatenate([rng.integers(0, 1 << 63, 65, dtype=np.uint64), passage if i % 3 == 0 else passage[:0]]) for i in range(6000)]
+    h, entity = np.concatenate(sets), np.repeat(rng.integers(-(1 << 63), (1 << 63) - 1, 6000), [len(s) for s in sets])
+    common = passage[np.argsort(passage & ngram_join.LOW)]
+    for named, most in ((common[:0], None), (common, 2)):
+        bucket = ngram_join.bucket_of(h, entity, named, buckets)
+        sizes = np.bincount(bucket, minlength=buckets)
+        assert most is None or sizes.max() < most * np.median(sizes)
+        for b in (0, 7):
+            own = bucket == b
+            names, place = ngram_join.named_hashes(h[own] & ngram_join.LOW, entity[own], named, b, buckets)
+            hot = np.isin(h[own], named)
+            assert np.array_equal(place >= 0, hot) and np.array_equal(names[hot], h[own][hot])
+
+
+def test_stars_by_broadcast_and_by_join(spark, monkeypatch):
+    rng = random.Random(9)
+    rows = [(i, rng.randrange(50), [rng.choice([1, 2, rng.randrange(100, 400)]) for _ in range(3)]) for i in range(600)]
+    sets = spark.createDataFrame(rows, "entity long, weight long, firsts array<long>")
+    want = set()
+    for seed in range(3):
+        for first in {r[2][seed] for r in rows}:
+            own = [(r[1], r[0]) for r in rows if r[2][seed] == first]
+            want |= {(max(own)[1], e) for _, e in own if e != max(own)[1]}
+    for heads in (1, 20, 1000):
+        monkeypatch.setattr(ngram_join, "HOT_HEADS", heads)
+        assert {(r["u"], r["v"]) for r in ngram_join.stars(sets).collect()} == want
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.lists(st.text(st.sampled_from("aAbB \t\n\x1c\xa0é"), max_size=40), min_size=1, max_size=4))
 def test_set_sizes(texts):

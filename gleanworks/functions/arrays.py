@@ -13,6 +13,21 @@ def bound(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+def rounded(x: Column, digits: int) -> Column:
+    """A double at `digits` decimals as the SQL rounds it: scaled, halves away from zero, scaled back, all in binary.
+
+    Spark's round works on the shortest decimal text instead; the two differ where scaling meets a half."""
+    unit = 10.0**digits
+
+    def scaled(v: Column) -> Column:
+        y = v * unit
+        whole = F.round(y)
+        # A zero keeps its sign; what scaling makes infinite stays as it is.
+        return F.when(F.abs(y) < float("inf"), F.when(whole == 0, y * 0.0).otherwise(whole) / unit).otherwise(v)
+
+    return bound(x, scaled)
+
+
 def softmax(z: Column) -> Column:
     """exp(x - max) / sum over an array<double>; computed in double, each exponential once."""
     powers = bound(F.struct(z.alias("z"), F.array_max(z).alias("top")), lambda s: F.transform(s["z"], lambda x: F.exp(x - s["top"])))

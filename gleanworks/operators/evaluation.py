@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from gleanworks.functions.arrays import argmax, largest_difference, ranked_classes, softmax
+from gleanworks.functions.arrays import argmax, largest_difference, ranked_classes, rounded, softmax
 from gleanworks.functions.scalars import source_of
 
 NAN = float("nan")
@@ -198,7 +198,7 @@ def prediction_table(preds: DataFrame, names: DataFrame, path: Column) -> DataFr
     filename = F.element_at(F.split("path", "/"), -1)
     return df.select(
         "path", filename.alias("filename"), source_of(filename).alias("source"), F.col("_true").alias("true"), F.col("_said").alias("pred"),
-        F.round("conf", 4).alias("confidence"), hit(1).cast("int").alias("correct_top1"), hit(3).cast("int").alias("correct_top3"),
+        rounded(F.col("conf"), 4).alias("confidence"), hit(1).cast("int").alias("correct_top1"), hit(3).cast("int").alias("correct_top3"),
     )
 
 

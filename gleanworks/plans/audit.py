@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from gleanworks.functions.arrays import rounded
 from gleanworks.operators import audit as au
 from gleanworks.plans.catalog import query
 from gleanworks.session import table
@@ -60,5 +61,5 @@ c AS (SELECT *, score > best_before AS improved FROM b), d AS (SELECT *, CAST(rn
 SELECT CAST(day AS VARCHAR) AS day, score, best_before, improved, bad, coalesce(max(CASE WHEN bad >= 8 THEN 1 ELSE 0 END) OVER (ORDER BY day ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) = 1, false) AS stopped FROM d""")
 def early_stop_trace(spark, sf_dir):
     """A metric history of one row a day: the best so far and where training would stop."""
-    days = table(spark, sf_dir, "events").groupBy(F.to_date("ts").cast("string").alias("day")).agg(F.round(F.avg("value"), 6).alias("score"))
+    days = table(spark, sf_dir, "events").groupBy(F.to_date("ts").cast("string").alias("day")).agg(rounded(F.avg("value"), 6).alias("score"))
     return au.early_stop(days, "day", "score", 8)

@@ -6,6 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from gleanworks.functions.arrays import rounded
 from gleanworks.operators import cache as ca
 from gleanworks.operators import constraints as co
 from gleanworks.operators import documents as do
@@ -120,7 +121,7 @@ def metrics_fields(spark, sf_dir):
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out.select("part", "key", "field", F.round(number, 6).alias("value"))
+    return out.select("part", "key", "field", rounded(number, 6).alias("value"))
 
 
 @query("prediction_cache", """WITH v AS (SELECT array_to_string(embedding, ',') AS c, vec_id FROM embeddings), n AS (SELECT count(DISTINCT c) AS n FROM v),

@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import functions as F
 
-from gleanworks.functions.arrays import group_sum
+from gleanworks.functions.arrays import group_sum, rounded
 from gleanworks.operators import evaluation as ev
 from gleanworks.plans.catalog import query
 from gleanworks.session import table
@@ -90,7 +90,7 @@ def confusable_pairs(spark, sf_dir):
 @query("macro_and_ood", PREDS_SQL + f"""SELECT round((SELECT avg(recall) FROM per), 9) AS macro_recall,
   (SELECT coalesce(avg(CASE WHEN pred = {OTHER} THEN 1.0 ELSE 0.0 END), 0.0) FROM one WHERE y <> {OTHER}) AS other_fp""")
 def macro_and_ood(spark, sf_dir):
-    return ev.macro_and_ood(preds(spark, sf_dir), ev.class_dim(spark, CLASSES), OTHER).withColumn("macro_recall", F.round("macro_recall", 9))
+    return ev.macro_and_ood(preds(spark, sf_dir), ev.class_dim(spark, CLASSES), OTHER).withColumn("macro_recall", rounded(F.col("macro_recall"), 9))
 
 
 @query("threshold_curve", PREDS_SQL + f"SELECT t, avg(CASE WHEN conf >= t THEN 0.0 ELSE 1.0 END) AS reject_rate, {_KEPT.format('h1')} AS top1, {_KEPT.format('h3')} AS top3 FROM one CROSS JOIN {_T} GROUP BY t")
@@ -111,7 +111,7 @@ def choose_threshold(spark, sf_dir):
 
 @query("worst_cases", PREDS_SQL + "SELECT vec_id AS id, y, pred, round(conf, 6) AS conf FROM one WHERE pred <> y ORDER BY one.conf DESC, vec_id LIMIT 50")
 def worst_cases(spark, sf_dir):
-    return ev.worst_cases(preds(spark, sf_dir)).withColumn("conf", F.round("conf", 6))
+    return ev.worst_cases(preds(spark, sf_dir)).withColumn("conf", rounded(F.col("conf"), 6))
 
 
 @query("bottom_classes", PREDS_SQL + "SELECT class, recall, support, recall < 0.60 AS below FROM per ORDER BY recall, class LIMIT 8")
@@ -126,21 +126,21 @@ def accuracy_by_label(spark, sf_dir):
 
 @query("group_sum_probs", PREDS_SQL + "SELECT vec_id AS id, " + ", ".join(f"round(sum(CASE WHEN i IN ({', '.join(map(str, g))}) THEN p ELSE 0.0 END), 6) AS g{k}" for k, g in enumerate(GROUPS)) + " FROM preds GROUP BY vec_id")
 def group_sum_probs(spark, sf_dir):
-    return preds(spark, sf_dir).select("id", *(F.round(group_sum(F.col("p"), g), 6).alias(f"g{k}") for k, g in enumerate(GROUPS)))
+    return preds(spark, sf_dir).select("id", *(rounded(group_sum(F.col("p"), g), 6).alias(f"g{k}") for k, g in enumerate(GROUPS)))
 
 
 @query("tta_mean", f"WITH a AS ({_view(1)}), b AS ({_view(11)}) SELECT vec_id AS id, a.i AS class, round((a.p + b.p) / 2, 6) AS p FROM a JOIN b USING (vec_id, i)")
 def tta_mean(spark, sf_dir):
     df = table(spark, sf_dir, "embeddings")
     both = df.select(F.col("vec_id").alias("id"), F.zip_with(ev.softmax(logits(1)), ev.softmax(logits(11)), lambda a, b: (a + b) / 2).alias("p"))
-    return both.select("id", F.posexplode("p").alias("class", "p")).withColumn("p", F.round("p", 6))
+    return both.select("id", F.posexplode("p").alias("class", "p")).withColumn("p", rounded(F.col("p"), 6))
 
 
 @query("format_result_rows", PREDS_SQL + f"""SELECT vec_id AS id, CAST(rk AS INT) AS rank, i AS class, round(p, 6) AS confidence, conf < 0.25 OR pred = {OTHER} AS uncertain,
   round(conf, 6) AS top1_confidence, round(op, 6) AS other_confidence FROM others JOIN one USING (vec_id) WHERE rk <= 3""")
 def format_result_rows(spark, sf_dir):
     rows = ev.served_rows(preds(spark, sf_dir), 0.25, OTHER)
-    return rows.withColumns({c: F.round(c, 6) for c in ("confidence", "top1_confidence", "other_confidence")})
+    return rows.withColumns({c: rounded(F.col(c), 6) for c in ("confidence", "top1_confidence", "other_confidence")})
 
 
 @query("field_test_summary", PREDS_SQL + f"""SELECT count(*) AS n, avg(u) AS uncertain_rate, avg(CASE WHEN y = {OTHER} THEN u ELSE f1 END) AS top1, avg(CASE WHEN y = {OTHER} THEN u ELSE f3 END) AS top3
@@ -157,4 +157,4 @@ def temperature_accuracy(spark, sf_dir):
     df = table(spark, sf_dir, "embeddings")
     cooled = lambda t: F.array_max(ev.softmax(F.transform(logits(1), lambda x: x / F.lit(t))))
     conf = [F.struct(F.lit(t).alias("t"), cooled(t).alias("conf")) for t in (0.5, 1.0, 2.0)]
-    return df.select(F.inline(F.array(*conf))).groupBy("t").agg(F.round(F.avg("conf"), 6).alias("mean_conf"))
+    return df.select(F.inline(F.array(*conf))).groupBy("t").agg(rounded(F.avg("conf"), 6).alias("mean_conf"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from gleanworks.functions.arrays import rounded
 from gleanworks.operators import learning as le
 from gleanworks.operators import training as tr
 from gleanworks.plans.catalog import query
@@ -17,7 +18,7 @@ _DOT = ", ".join(f"round(list_sum(list_transform(range(64), lambda d: CAST(embed
 @query("batch_predict", f"SELECT vec_id, {_DOT} FROM embeddings")
 def batch_predict(spark, sf_dir):
     df = le.batch_scores(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), "embedding", WEIGHTS)
-    return df.select("vec_id", *(F.round(F.element_at("scores", c + 1), 6).alias(f"s{c}") for c in range(4)))
+    return df.select("vec_id", *(rounded(F.element_at("scores", c + 1), 6).alias(f"s{c}") for c in range(4)))
 
 
 @query("train_classifier")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from gleanworks.functions.arrays import rounded
 from gleanworks.plans.catalog import query
 from gleanworks.session import table
 from gleanworks.sources import headers, images
@@ -63,7 +64,7 @@ def augmentation_draws(spark, sf_dir):
     """The draws of epoch 3 and the crops they give, for pictures as large as the documents."""
     df = table(spark, sf_dir, "documents").select("doc_id", F.greatest(F.lit(1), "n_chars").alias("h"), (F.col("doc_id") % 900 + 1).alias("w"), images.augmentation_draws(F.col("doc_id"), 7, 3).alias("d"))
     box = df.select("doc_id", "d", images.crop_box(F.col("h"), F.col("w"), F.col("d")).alias("b"))
-    return box.select("doc_id", "b.height", "b.width", "b.top", F.col("b.left").alias("lft"), (F.col("d.flip") < 0.5).alias("flip"), F.round("d.noise", 9).alias("noise"))
+    return box.select("doc_id", "b.height", "b.width", "b.top", F.col("b.left").alias("lft"), (F.col("d.flip") < 0.5).alias("flip"), rounded(F.col("d.noise"), 9).alias("noise"))
 
 
 @query("model_planes", """WITH m AS (SELECT doc_id, md5(doc_id || 'a') || md5(doc_id || 'b') AS m FROM documents)
@@ -73,4 +74,4 @@ def model_planes(spark, sf_dir):
     i = F.col("doc_id").cast("string")
     pictures = table(spark, sf_dir, "documents").select("doc_id", F.concat(F.md5(F.concat(i, F.lit("a"))), F.md5(F.concat(i, F.lit("b")))).cast("binary").alias("data"), F.lit(8).alias("height"), F.lit(8).alias("width"), F.lit(1).alias("channels"))
     out = images.model_inputs(pictures, 6, 8, [0.5, 0.25, 0.125], [0.25, 0.5, 1.0], key="doc_id")
-    return out.select("doc_id", F.transform("plane", lambda x: F.round(x.cast("double"), 5)).alias("plane"))
+    return out.select("doc_id", F.transform("plane", lambda x: rounded(x.cast("double"), 5)).alias("plane"))

@@ -178,13 +178,13 @@ def output_parity(spark, sf_dir):
     """Outputs against the same rounded to thousandths."""
     a = F.transform(F.slice("embedding", 1, CLASSES), lambda x: x.cast("double"))
     df = table(spark, sf_dir, "embeddings").select(a.alias("a")).withColumn("b", F.transform("a", lambda x: F.round(x * 1000).cast("long") / 1000.0))
-    return ev.parity(df, "a", "b", 0.0004).withColumn("largest", F.round("largest", 9))
+    return ev.parity(df, "a", "b", 0.0004).withColumn("largest", ar.rounded(F.col("largest"), 9))
 
 
 @query("normalised_plane", "SELECT vec_id, list_transform(embedding, lambda x: round((CAST(x AS DOUBLE) - 0.5 * 255) * (1 / (0.25 * 255)), 9)) AS plane FROM embeddings")
 def normalised_plane(spark, sf_dir):
     x = F.transform("embedding", lambda v: v.cast("double"))
-    return table(spark, sf_dir, "embeddings").select("vec_id", F.transform(ar.normalised(x, F.lit(0.5), F.lit(0.25)), lambda v: F.round(v, 9)).alias("plane"))
+    return table(spark, sf_dir, "embeddings").select("vec_id", F.transform(ar.normalised(x, F.lit(0.5), F.lit(0.25)), lambda v: ar.rounded(v, 9)).alias("plane"))
 
 
 @query("hamming_near_8", """WITH f AS (SELECT p_partkey AS id, p_size AS class, CAST('0x' || substr(md5('' || (p_partkey // 4)), 1, 15) AS BIGINT) AS h0 FROM part),

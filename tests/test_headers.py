@@ -84,3 +84,13 @@ def test_errors_in_order(spark):
     assert [r["status"] for r in rows] == [200 if e is None else images.ERRORS[e] for _, e in cases]
     assert (rows[15]["shown_width"], rows[15]["shown_height"]) == (9, 2)
     assert headers.served_pictures(df.limit(0)).count() == 0
+
+
+def test_serving_sends_a_picture_once(spark):
+    """One evaluation in Python, whose rows carry no content on; each more would hold batches of its own."""
+    df = spark.createDataFrame([(i, bytearray(c)) for i, (c, _) in enumerate(CASES)], "i int, content binary")
+    out = headers.served_pictures(df).select("i", "header", "error", "status", "shown_width", "shown_height")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") + plan.count("BatchEvalPython") == 1
+    above = plan[: plan.index("EvalPython")]
+    assert "content" not in above

@@ -2,8 +2,8 @@
 
 Pairs are found exactly in one of two ways, whichever costs less at the table's size. By bands: a
 fingerprint is cut into bands, and of two that differ in `most` bits some band differs in at most
-its radius; one side is dealt to all band values that near, the other to its own, and a pair is
-emitted only where its first such band meets. By blocks: rows are packed into blocks and each pair of
+its radius; each side is dealt to all band values within half of it, so that two rows meet half way, and a pair is
+emitted only at one such value of its first such band. By blocks: rows are packed into blocks and each pair of
 blocks i <= j is compared as arrays in one task.
 
 Leader groups (in order of id a row joins the least leader within `most` bits, else leads) are the
@@ -23,7 +23,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gleanworks.session import durable
@@ -31,6 +31,8 @@ from gleanworks.session import durable
 BITS, BLOCK = 64, 2048
 #: What a comparison in a block costs against a dealt row.
 COMPARED = 0.005
+#: What a pair met at a value of a band costs against a dealt row.
+MET = 0.05
 #: Pairs of a class that one task walks, 16 bytes each; beyond, rounds go on.
 WALKED = 200_000
 #: Rows (of different fingerprint) settled at first, and how much more each time.
@@ -52,8 +54,8 @@ def _probes(width: int, radius: int) -> int:
 
 
 def _cost(cut: list[tuple[int, int, int]], n: int) -> float:
-    """Rows dealt and pairs met for each row."""
-    return sum(_probes(w, r) * (1 + n / 2**w) for _, w, r in cut)
+    """Rows dealt and pairs met for each row; both rows of a pair are dealt half way, where it meets at a few values."""
+    return sum(sum(_probes(w, far) for far in _halves(r)) + MET * _probes(w, _halves(r)[0]) * _probes(w, _halves(r)[1]) * n / 2**w for _, w, r in cut)
 
 
 def near(left: DataFrame, right: DataFrame | None, most: int, same: bool) -> DataFrame:
@@ -62,26 +64,54 @@ def near(left: DataFrame, right: DataFrame | None, most: int, same: bool) -> Dat
     same: of one key, else of different ones (key is then left's). No column is null."""
     n = left.count() if right is None else max(left.count(), right.count())
     cut = bands(most, n)
-    way = _by_bands if _cost(cut, n) < COMPARED * n and max(_probes(w, r) for _, w, r in cut) < 20_000 else _by_blocks
+    way = _by_bands if _cost(cut, n) < COMPARED * n and max(_probes(w, _halves(r)[1]) for _, w, r in cut) < 20_000 else _by_blocks
     return way(left, right, most, same, cut)
 
 
+def _halves(radius: int) -> tuple[int, int]:
+    """How far left's and right's rows are dealt in a band: as far as each other, so that they meet half way."""
+    return radius // 2, radius - radius // 2
+
+
+def _dealt(df: DataFrame, cut: list, side: int) -> DataFrame:
+    """(key, id, h, cell): a row to all values of each band within this side's share of its radius."""
+    out = None
+    for i, (shift, width, radius) in enumerate(cut):
+        # A band's flips are one literal, so the plan does not grow with them.
+        flips = F.lit([sum(1 << b for b in bits) for k in range(_halves(radius)[side] + 1) for bits in itertools.combinations(range(width), k)]).cast("array<long>")
+        own = df.select("key", "id", "h", F.explode(flips).alias("flip")).select("key", "id", "h", _cell(_part(F.col("h"), shift, width).bitwiseXOR(F.col("flip")), i).alias("cell"))
+        out = own if out is None else out.unionByName(own)
+    return out
+
+
+def _cell(part: Column, band: int) -> Column:
+    """A band and its value in one number: of several bands none is wider than 32 bits."""
+    return part.bitwiseOR(F.lit(band << 32).cast("long"))
+
+
+def _part(h: Column, shift: int, width: int) -> Column:
+    return F.shiftrightunsigned(h, shift).bitwiseAND(F.lit((1 << width) - 1 if width < BITS else -1).cast("long"))
+
+
 def _by_bands(left: DataFrame, right: DataFrame | None, most: int, same: bool, cut: list) -> DataFrame:
-    part = lambda h, s, w: F.shiftrightunsigned(h, s).bitwiseAND(F.lit((1 << w) - 1 if w < BITS else -1))
-    spots = lambda df: df.select("key", "id", "h", F.inline(F.array(*(F.struct(F.lit(i).alias("band"), part(F.col("h"), s, w).alias("part")) for i, (s, w, _) in enumerate(cut)))))
-    probes = None
-    for i, (_, w, r) in enumerate(cut):
-        flips = F.array(*(F.lit(sum(1 << b for b in bits)) for k in range(r + 1) for bits in itertools.combinations(range(w), k)))
-        own = spots(left).where(F.col("band") == i).withColumn("flip", F.explode(flips))
-        own = own.select(F.col("key").alias("key1"), F.col("id").alias("a"), F.col("h").alias("h1"), "band", F.col("part").bitwiseXOR(F.col("flip").cast("long")).alias("part"))
-        probes = own if probes is None else probes.unionByName(own)
-    met = probes.join(spots(left if right is None else right), ["band", "part"]).where(F.col("key1") == F.col("key") if same else F.col("key1") != F.col("key"))
+    ones = _dealt(left, cut, 0).select(F.col("key").alias("key1"), F.col("id").alias("a"), F.col("h").alias("h1"), "cell")
+    both = F.col("h1").bitwiseXOR(F.col("h"))
+    # Two rows meet at several values half way and in several bands; one of them is theirs.
+    meets = F.lit(False)
+    for i, (s, w, r) in reversed(list(enumerate(cut))):
+        apart, far = _part(both, s, w), _halves(r)
+        rest = apart
+        for _ in range(far[0]):
+            rest = rest.bitwiseAND(rest - 1)
+        # Left flips the lowest bits that differ, as many as it is dealt to, and right the others.
+        at = _part(F.col("h"), s, w).bitwiseXOR(rest)
+        meets = F.when(F.bit_count(apart) <= r, F.col("cell") == _cell(at, i)).otherwise(meets)
+    # Statistics do not know how many rows are dealt, so a broadcast would be taken for small.
+    met = ones.join(_dealt(left if right is None else right, cut, 1).hint("merge"), "cell").where(F.bit_count(both) <= most)
+    met = met.where(F.col("key1") == F.col("key") if same else F.col("key1") != F.col("key"))
     if right is None:
         met = met.where("a < id")
-    both = F.col("h1").bitwiseXOR(F.col("h"))
-    earlier = [F.when(F.bit_count(part(both, s, w)) <= r, i) for i, (s, w, r) in enumerate(cut)]
-    met = met.where(F.coalesce(*earlier) == F.col("band"))
-    return met.select(F.col("key1").alias("key"), "a", F.col("id").alias("b"), F.bit_count(both).alias("distance")).where(F.col("distance") <= most)
+    return met.where(meets).select(F.col("key1").alias("key"), "a", F.col("id").alias("b"), F.bit_count(both).alias("distance"))
 
 
 def _by_blocks(left: DataFrame, right: DataFrame | None, most: int, same: bool, cut: list) -> DataFrame:

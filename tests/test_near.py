@@ -80,3 +80,17 @@ def test_blocks_of_several(spark, monkeypatch):
     rows = [(c, i, h) for c, i, h in scattered(3, 120, 9) if c]
     want = sorted((a, b, (x ^ y).bit_count()) for ca, a, x in rows for cb, b, y in rows if a < b and ca != cb and (x ^ y).bit_count() <= 24)
     assert sorted(map(tuple, near.hamming_pairs(frame(spark, rows), 24).collect())) == want
+
+
+def test_rows_meet_half_way(spark):
+    """A row is dealt to the values within half of a band's radius, not within all of it, and meets each near row once."""
+    rnd = random.Random(8)
+    heads = [rnd.getrandbits(64) for _ in range(30)]
+    rows = [("ab"[i % 2], i, heads[i % 30] ^ sum(1 << b for b in rnd.sample(range(64), rnd.randrange(6)))) for i in range(240)]
+    want = sorted((a, b, (x ^ y).bit_count()) for ca, a, x in rows for cb, b, y in rows if a < b and ca != cb and (x ^ y).bit_count() <= 8)
+    df = frame(spark, [(c, i, h) for c, i, h in rows]).withColumnRenamed("class", "key")
+    for cut in ([(0, 22, 2), (22, 21, 2), (43, 21, 2)], [(0, 32, 3), (32, 32, 4)], [(0, 16, 2), (16, 16, 1), (32, 16, 1), (48, 16, 1)]):
+        met = near._by_bands(df, None, 8, False, cut)
+        assert sorted(tuple(r)[1:] for r in met.collect()) == want
+        assert near._dealt(df, cut, 0).count() == len(rows) * sum(near._probes(w, r // 2) for _, w, r in cut)
+    assert [(w, r) for _, w, r in near.bands(8, 7_200_000)] == [(22, 2), (21, 2), (21, 2)]

@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 VIOLATION = ("rule", "who", "n")
+#: Rows whose facts one task adds up, at about.
+ROWS = 100_000
 
 
 @dataclass(frozen=True)
@@ -84,6 +86,9 @@ def violations(df: DataFrame, rules: list) -> tuple[DataFrame, Observation]:
     seen = Observation("constraints")
     bad = [F.count_if(~F.coalesce(F.col(r.column).isin(*r.values), F.lit(False))).alias(r.rule) for r in rules if isinstance(r, Among)]
     rows = df.observe(seen, F.count("*").alias("rows"), *bad)
+    # A row is several facts, most of keys of their own, and a file of many rows may be one task: facts arise after rows are dealt.
+    if (parts := -(-df.count() // ROWS)) > 1:
+        rows = rows.repartition(parts, F.xxhash64(*(F.col(f"`{c}`").cast("string") for c in df.columns)))
     last = {r.rule: r for r in rules if isinstance(r, Last)}
     facts = rows.select(F.explode(F.concat(*(_facts(r) for r in rules))).alias("f"), *(F.col(c) for c in {r.column for r in last.values()} - {"f"}))
     of = lambda role: F.count_if(F.col("f.role") == role)

@@ -71,3 +71,14 @@ def test_cache(spark, tmp_path):
     # The ends of the key's parts can't be moved into one another.
     keys = spark.range(1).select(ca.fingerprint(F.lit("c"), "ab", "x"), ca.fingerprint(F.lit("c"), "a", "bx"), ca.fingerprint(F.lit("xc"), "ab", "")).first()
     assert len(set(keys)) == 3
+
+
+def test_rules_over_dealt_rows(spark, sf_dir, monkeypatch):
+    """Rows are dealt to tasks by their number before they become facts, so one file is not one task's facts."""
+    few = sorted(map(tuple, co.violations(conf.species(spark, sf_dir), conf.RULES)[0].collect()), key=str)
+    monkeypatch.setattr(co, "ROWS", 30)
+    df = conf.species(spark, sf_dir)
+    found, seen = co.violations(df, conf.RULES)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "RepartitionByExpression" in plan and f", {-(-df.count() // 30)}" in plan
+    assert sorted(map(tuple, found.collect()), key=str) == few and seen.get["rows"] == df.count()

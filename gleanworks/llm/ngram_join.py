@@ -4,7 +4,10 @@
 2. All shingle hashes of all entities are dealt to hash buckets; there, those of two or more
    entities are found. Only they can be common to a pair. They go back to their entity, with the
    number of entities that hold them. Shingles that a share of a sample of entities holds are dealt
-   by entity as well, so that no bucket gets all of their holders; they count as shared.
+   by entity as well, so that no bucket gets all of their holders; they count as shared. Sets are
+   dealt in batches, and on the way an entity is its number in its batch: about a byte a shingle,
+   whatever the number of buckets. Copies are left out; where one is dealt all the same, its
+   shingles count as shared, which costs work and changes no result.
 3. An entity of n shingles can link only if at least 0.75 n of them are shared. The rest drop out.
 4. Near copies of one text mostly agree in the least hash under some order: each entity is compared
    with the most copied entity of its agreeing group, exactly. That joins large groups by a link each.
@@ -41,7 +44,9 @@ from gleanworks.session import table
 #: Two sets link when PART * |both| >= SHARE * |either|.
 SHARE, PART = 75, 100
 BUCKET_BYTES, LEAST_BUCKETS = 4_000_000, 48
-FLUSH = 500_000
+FLUSH = 1_000_000
+#: Of the rows whose set another row stands for, about so many at most are named to all tasks, which leave them out.
+COPIES = 1_000_000
 #: Bytes of bitmaps in a block of a tile, and in what one task compares at once.
 BLOCK_BYTES, PART_BYTES = 500_000, 24_000_000
 TILE_ROW = 40
@@ -53,6 +58,7 @@ SAMPLE, HELD, COMMON = 4000, 20, 65_536
 #: Groups of one least hash beyond this share of the entities are met by a broadcast of their heads, HOT_HEADS a seed at most.
 HOT_HEADS = 1000
 LOW = np.uint64((1 << 48) - 1)
+CODEC = pa.Codec("zstd", 1)
 
 
 def need(n):
@@ -71,14 +77,32 @@ def band_edges(top: int = 1 << 40) -> np.ndarray:
 EDGES = band_edges()
 
 
+def map_bits(band: int) -> int:
+    """About four bits for each shingle of the band's largest set."""
+    return 64 << max(0, int(4 * EDGES[band + 1] - 1).bit_length() - 6)
+
+
 def bitmap(s: np.ndarray, band: int) -> bytes:
-    """A bitmap of hashed shingles, about four bits for each of the band's largest set."""
-    width = 64 << max(0, int(4 * EDGES[band + 1] - 1).bit_length() - 6)
+    """A bitmap of hashed shingles, of the band's width."""
+    width = map_bits(band)
     bits = np.zeros(width, np.uint8)
     bits[(mixed(s) & np.uint64(width - 1)).astype(np.int64)] = 1
     return np.packbits(bits).tobytes()
 
 
+def _mark():
+    """A row's name among rows(doc_id, text_hash)."""
+    return F.xxhash64("doc_id", "text_hash").alias("mark")
+
+
+def folded(maps: np.ndarray, width: int) -> np.ndarray:
+    """Rows of bitmaps, at `width` bytes each: what bitmap makes for a narrower band."""
+    while maps.shape[1] > width:
+        half = maps.shape[1] // 2
+        maps = maps[:, :half] | maps[:, half:]
+    return maps
+
+
 def memberships(docs: DataFrame, k: int = 5) -> DataFrame:
     """(doc_id, text_hash, n_shingles, entity) of docs(doc_id, text_hash, text); entity is null for an empty set."""
 
@@ -97,24 +121,58 @@ def _runs(sorted_values: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.concatenate([[True], sorted_values[1:] != sorted_values[:-1]])) if len(sorted_values) else np.zeros(0, np.int64)
 
 
-def _dealt(target: np.ndarray, entity: np.ndarray, size: np.ndarray, columns: dict[str, np.ndarray]) -> pa.RecordBatch:
-    """A row for each target: its entities, their sizes and counts, and columns in order of entity; all in bytes."""
-    order = np.lexsort((entity, target))
-    target, entity, size = target[order], entity[order], size[order]
-    columns = {k: v[order] for k, v in columns.items()}
-    ends, rows = np.append(_runs(target), len(target)), []
+def _squeezed(v: np.ndarray) -> bytes:
+    """Small numbers in the narrowest of 1, 2 or 4 bytes, compressed; the first byte tells the width."""
+    width = next(w for w in (1, 2, 4) if not len(v) or v.max() < 1 << 8 * w)
+    return bytes([width]) + CODEC.compress(v.astype(f"u{width}").tobytes(), asbytes=True)
+
+
+def _unsqueezed(column: pa.ChunkedArray, lengths: np.ndarray) -> np.ndarray:
+    """The numbers of all rows of a column of _squeezed, in one array."""
+    out = [np.frombuffer(CODEC.decompress(b[1:], int(n) * b[0], asbytes=True), f"u{b[0]}") for b, n in zip(column.to_pylist(), lengths)]
+    return np.concatenate([x.astype(np.int64) for x in out]) if out else np.zeros(0, np.int64)
+
+
+def _low_bytes(h: np.ndarray) -> np.ndarray:
+    return np.ascontiguousarray(h.view(np.uint8).reshape(-1, 8)[:, :6])
+
+
+def _batched(key: np.ndarray, number: np.ndarray, h: np.ndarray):
+    """(start, end, key, gaps of the numbers, low bytes of the hashes) of each run of a key; rows are in order of key, then number."""
+    low, ends = _low_bytes(h), np.append(_runs(key), len(key))
     for a, b in zip(ends[:-1], ends[1:]):
-        first = _runs(entity[a:b]) + a
-        counts = np.diff(np.append(first, b)).astype(np.uint32)
-        rows.append((int(target[a]), entity[first].tobytes(), size[first].astype(np.uint32).tobytes(), counts.tobytes(), *(v[a:b].tobytes() for v in columns.values())))
-    names = ["target", "entities", "sizes", "counts", *columns]
-    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.binary() if i else pa.int64()) for i in range(len(names))], names)
+        yield a, b, int(key[a]), _squeezed(np.diff(number[a:b], prepend=0)), low[a:b].tobytes()
+
+
+def _gathered(t: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row of t, entity's number in its batch, low bits of the hash) of each shingle of rows that _batched made."""
+    lengths = pc.binary_length(t["data"]).to_numpy().astype(np.int64) // 6
+    gaps = _unsqueezed(t["numbers"], lengths)
+    total, starts = np.cumsum(gaps), np.cumsum(lengths) - lengths
+    number = total - np.repeat(total[starts] - gaps[starts], lengths)
+    low = np.zeros((len(gaps), 8), np.uint8)
+    low[:, :6] = joined_bytes(t["data"], np.uint8).reshape(-1, 6)
+    return np.repeat(np.arange(len(t)), lengths), number, low.view(np.uint64)[:, 0]
+
+
+def _rows(rows: list[tuple]) -> pa.Table:
+    """rows(target, batch, numbers, data, held)."""
+    kinds = [pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
+    return pa.table([pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)], ["target", "batch", "numbers", "data", "held"])
 
 
-def _gathered(t: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    """(entity, size) of each entry of the rows that _dealt made."""
-    entity, size, counts = (joined_bytes(t[c], d) for c, d in (("entities", np.int64), ("sizes", np.uint32), ("counts", np.uint32)))
-    return np.repeat(entity, counts), np.repeat(size, counts)
+def _holder(batch: np.ndarray | int, number: np.ndarray) -> np.ndarray:
+    """What stands for the entity of a number in a batch when its common shingles are dealt."""
+    return np.asarray(batch, np.int64).view(np.uint64) + number.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+
+
+def copies(members: DataFrame) -> DataFrame:
+    """(mark): of rows whose set a row of a lesser mark has too, about COPIES at most; the rows of an entity of one mark are equal."""
+    own = members.where("entity IS NOT NULL").select("entity", _mark()).distinct()
+    least = own.groupBy("entity").agg(F.min("mark").alias("least"), F.count("*").alias("rows")).where("rows > 1")
+    more = durable(own.join(least, "entity").where("mark <> least").select("mark"))
+    n = more.count()
+    return more if n <= COPIES else more.where(F.col("mark") < -(1 << 63) + (1 << 64) * COPIES // n)
 
 
 def common_shingles(docs: DataFrame, members: DataFrame, k: int = 5) -> tuple[np.ndarray, np.ndarray]:
@@ -126,15 +184,14 @@ def common_shingles(docs: DataFrame, members: DataFrame, k: int = 5) -> tuple[np
     n = own.agg(F.approx_count_distinct("entity").alias("n")).first()["n"]
     if n > SAMPLE:
         own = own.where(F.col("entity") < -(1 << 63) + (1 << 64) * SAMPLE // n)
-    mark = F.xxhash64("doc_id", "text_hash").alias("mark")
     # About SAMPLE rows: entities are fingerprints, so evenly spread.
-    drawn = own.select("entity", mark).groupBy("entity").agg(F.min("mark").alias("mark")).select("mark")
+    drawn = own.select("entity", _mark()).groupBy("entity").agg(F.min("mark").alias("mark")).select("mark")
 
     def hashes(batches):
         for _, texts in text_groups(batches, GROUP_BYTES):
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(shingle_sets(texts, k)).view(np.int64))], ["h"])
 
-    texts = docs.withColumn("mark", mark).join(F.broadcast(drawn), "mark").select("text")
+    texts = docs.select("text", _mark()).join(F.broadcast(drawn), "mark").select("text")
     counted = texts.mapInArrow(hashes, "h long").groupBy("h").agg(F.count("*").alias("held")).where(F.col("held") >= HELD)
     rows = counted.orderBy(F.desc("held"), "h").limit(COMMON).collect()
     h = np.array([r["h"] for r in rows], np.int64).view(np.uint64)
@@ -166,25 +223,29 @@ def bucket_of(h: np.ndarray, entity: np.ndarray, common: np.ndarray, buckets: in
     return bucket.astype(np.int64)
 
 
-def named_hashes(low: np.ndarray, entity: np.ndarray, common: np.ndarray, bucket: int, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+def named_hashes(low: np.ndarray, entity: np.ndarray, common: np.ndarray, bucket: int | np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
     """(a shingle's name, its place among common or -1) from the low bits of what bucket_of put into a bucket."""
+    bucket = np.broadcast_to(np.asarray(bucket, np.int64), low.shape)
     at, hit = _place(common & LOW, low)
     hit = np.flatnonzero(hit)
-    hit = hit[_spread(common[at[hit]], entity[hit], buckets) == bucket]
+    hit = hit[_spread(common[at[hit]], entity[hit], buckets) == bucket[hit].astype(np.uint64)]
     place = np.full(len(low), -1, np.int64)
     place[hit] = at[hit]
-    name = low | (np.uint64(bucket & 0xFFFF) << np.uint64(48))
+    name = low | ((bucket & 0xFFFF).astype(np.uint64) << np.uint64(48))
     name[hit] = common[place[hit]]
     return name, place
 
 
-def shared_sets(docs: DataFrame, k: int = 5, common: tuple[np.ndarray, np.ndarray] = (np.zeros(0, np.uint64), np.zeros(0, np.uint16))) -> DataFrame:
-    """(entity, n, weight, hashes, prefix, firsts, band, map0, map1) of the entities of which enough is shared.
+def shared_sets(docs: DataFrame, k: int = 5, common: tuple[np.ndarray, np.ndarray] = (np.zeros(0, np.uint64), np.zeros(0, np.uint16)), skipped: DataFrame | None = None) -> DataFrame:
+    """(entity, n, weight, hashes, prefix, firsts, band, map) of the entities of which enough is shared.
 
     weight: how many entities hold a shingle of the set, on average; large for what others copy.
-    common: of common_shingles. Any set of hashes is right; those of it count as shared."""
+    common: of common_shingles. Any set of hashes is right; those of it count as shared.
+    skipped: of copies; rows of these marks are left out. Without it, and beyond it, an entity may come repeatedly."""
     often, holders = common
     size = docs.agg(F.sum(F.octet_length("text")).alias("b")).first()["b"] or 0
+    if skipped is not None:
+        docs = docs.select("text", _mark()).join(F.broadcast(skipped), "mark", "left_anti").select("text")
     buckets = max(LEAST_BUCKETS, -(-size // BUCKET_BYTES))
 
     def deal(batches):
@@ -192,11 +253,16 @@ def shared_sets(docs: DataFrame, k: int = 5, common: tuple[np.ndarray, np.ndarra
 
         def flush():
             h = np.concatenate([s for _, s in held])
-            n = np.array([len(s) for _, s in held], np.uint32)
-            entity = np.repeat(np.array([e for e, _ in held], np.int64), n)
+            entity, n = np.array([e for e, _ in held], np.int64), np.array([len(s) for _, s in held])
             held.clear()
-            low = np.ascontiguousarray(h.view(np.uint8).reshape(-1, 8)[:, :6])
-            return _dealt(bucket_of(h, entity, often, buckets), entity, np.repeat(n, n), {"data": low})
+            # Named by what it holds: the same when a task runs again, and batches of one content are one.
+            batch = set_key(entity)
+            number = np.repeat(np.arange(len(n), dtype=np.uint32), n)
+            target = bucket_of(h, _holder(batch, number), often, buckets)
+            order = np.argsort(target, kind="stable")
+            rows = [(-1 - batch % buckets, batch, _squeezed(n), entity.tobytes(), None)]
+            rows += [(key, batch, numbers, data, None) for _, _, key, numbers, data in _batched(target[order], number[order].astype(np.int64), h[order])]
+            return _rows(rows).to_batches()[0]
 
         for _, texts in text_groups(batches, GROUP_BYTES):
             for s in shingle_sets(texts, k):
@@ -212,48 +278,57 @@ def shared_sets(docs: DataFrame, k: int = 5, common: tuple[np.ndarray, np.ndarra
             yield flush()
 
     def find(t):
-        entity, n = _gathered(t)
-        low = np.zeros((len(entity), 8), np.uint8)
-        low[:, :6] = joined_bytes(t["data"], np.uint8).reshape(-1, 6)
-        h, place = named_hashes(low.view(np.uint64)[:, 0], entity, often, t["target"][0].as_py(), buckets)
-        order = np.lexsort((entity, h))
-        h, entity, n, place = h[order], entity[order], n[order], place[order]
-        once = np.concatenate([[True], (h[1:] != h[:-1]) | (entity[1:] != entity[:-1])])
-        h, entity, n, place = h[once], entity[once], n[once], place[once]
+        bucket = t["target"][0].as_py()
+        if bucket < 0:  # what the numbers in a batch stand for
+            return t
+        row, number, low = _gathered(t)
+        batches, nth = np.unique(t["batch"].to_numpy(), return_inverse=True)
+        nth = nth[row]
+        h, place = named_hashes(low, _holder(batches[nth], number), often, bucket, buckets)
+        who = nth << 32 | number
+        order = np.lexsort((who, h))
+        h, who, place = h[order], who[order], place[order]
+        once = np.concatenate([[True], (h[1:] != h[:-1]) | (who[1:] != who[:-1])])
+        h, who, place = h[once], who[once], place[once]
         held = np.diff(np.append(_runs(h), len(h)))
         held = np.minimum(np.repeat(held, held), 65535).astype(np.uint16)
         # Of a common shingle other buckets hold the rest: its number is the estimate, in all of them.
         held[place >= 0] = holders[place[place >= 0]]
-        shared = held > 1
-        h, entity, n, held = h[shared], entity[shared], n[shared], held[shared]
-        target = (mixed(entity.view(np.uint64)) % np.uint64(buckets)).astype(np.int64)
-        return pa.Table.from_batches([_dealt(target, entity, n, {"data": h, "held": held})])
+        shared = np.flatnonzero(held > 1)
+        shared = shared[np.argsort(who[shared], kind="stable")]
+        h, who, held = h[shared], who[shared], held[shared]
+        return _rows([(bucket, int(batches[key]), numbers, data, _squeezed(held[a:b])) for a, b, key, numbers, data in _batched(who >> 32, who & 0xFFFFFFFF, h)])
 
     def keep(t):
-        entity, n = _gathered(t)
-        h, held = joined_bytes(t["data"], np.uint64), joined_bytes(t["held"], np.uint16)
-        order = np.lexsort((h, held, entity))
-        entity, n, h = entity[order], n[order].astype(np.int64), h[order]
-        held = held[order]
-        ends, rows = np.append(_runs(entity), len(entity)), []
+        target = t["target"].to_numpy()
+        names, t = t.filter(pa.array(target < 0)), t.filter(pa.array(target >= 0))
+        if not len(names):
+            raise ValueError("a task that ran again got its rows in another order; write the input to a table first")
+        entities = np.frombuffer(names["data"][0].as_py(), np.int64)
+        sizes = _unsqueezed(names["numbers"][:1], [len(entities)])
+        row, number, low = _gathered(t)
+        h, _ = named_hashes(low, _holder(names["batch"][0].as_py(), number), often, t["target"].to_numpy()[row], buckets)
+        held = _unsqueezed(t["held"], np.bincount(row, minlength=len(t)))
+        order = np.lexsort((h, held, number))
+        number, h, held = number[order], h[order], held[order]
+        ends, rows = np.append(_runs(number), len(number)), []
         for a, b in zip(ends[:-1], ends[1:]):
-            own, size = h[a:b], int(n[a])
+            own, size = h[a:b], int(sizes[number[a]])
             if (spare := len(own) - need(size)) < 0:
                 continue
             band = int(np.searchsorted(EDGES, size, side="right")) - 1
             firsts = [int(mixed(own ^ np.uint64(s)).min().view(np.int64)) for s in SEEDS]
-            rows.append((int(entity[a]), size, int(held[a:b].sum(dtype=np.int64)) * 1000 // size, np.sort(own).view(np.int64), own[: spare + 1].view(np.int64), firsts, band, bitmap(own, band), bitmap(own, band + 1)))
+            rows.append((int(entities[number[a]]), size, int(held[a:b].sum(dtype=np.int64)) * 1000 // size, np.sort(own).view(np.int64), own[: spare + 1].view(np.int64), firsts, band, bitmap(own, band + 1)))
         long, longs = pa.int64(), pa.list_(pa.int64())
-        kinds = [long, long, long, longs, longs, longs, pa.int32(), pa.binary(), pa.binary()]
-        return pa.table([pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)], ["entity", "n", "weight", "hashes", "prefix", "firsts", "band", "map0", "map1"])
+        kinds = [long, long, long, longs, longs, longs, pa.int32(), pa.binary()]
+        return pa.table([pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)], ["entity", "n", "weight", "hashes", "prefix", "firsts", "band", "map"])
 
-    dealt = docs.mapInArrow(deal, "target long, entities binary, sizes binary, counts binary, data binary")
+    schema = "target long, batch long, numbers binary, data binary, held binary"
+    dealt = docs.select("text").mapInArrow(deal, schema)
     # As many partitions as the data asks for: a task's share does not grow with them.
-    by_bucket = lambda df: df.repartition(max(1, buckets // BUCKETS_A_TASK), "target").groupBy("target")
-    found = by_bucket(dealt).applyInArrow(find, "target long, entities binary, sizes binary, counts binary, data binary, held binary")
-    return by_bucket(found).applyInArrow(
-        keep, "entity long, n long, weight long, hashes array<long>, prefix array<long>, firsts array<long>, band int, map0 binary, map1 binary"
-    )
+    by = lambda df, key: df.repartition(max(1, buckets // BUCKETS_A_TASK), key).groupBy(key)
+    found = by(dealt, "target").applyInArrow(find, schema)
+    return by(found, "batch").applyInArrow(keep, "entity long, n long, weight long, hashes array<long>, prefix array<long>, firsts array<long>, band int, map binary")
 
 
 def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -269,8 +344,8 @@ def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 def tile_pairs(sets: DataFrame, component: DataFrame) -> DataFrame:
     """(u, v): pairs of different components that share a tile and pass the bounds."""
     known = sets.join(component.withColumnRenamed("node", "entity"), "entity", "left")
-    known = known.select("entity", "n", "band", "prefix", F.size("hashes").alias("c"), "map0", "map1", F.coalesce("component", "entity").alias("component"))
-    spots = known.select("entity", "component", F.explode(F.array(F.col("band"), F.col("band") + 1)).alias("tile"), "prefix", F.octet_length("map1").cast("long").alias("bytes"))
+    known = known.select("entity", "n", "band", "prefix", F.size("hashes").alias("c"), "map", F.coalesce("component", "entity").alias("component"))
+    spots = known.select("entity", "component", F.explode(F.array(F.col("band"), F.col("band") + 1)).alias("tile"), "prefix", F.octet_length("map").cast("long").alias("bytes"))
     spots = spots.select("entity", "component", "tile", F.explode("prefix").alias("h"), "bytes")
     mixed_tiles = (
         spots.groupBy("tile", "h")
@@ -283,11 +358,11 @@ def tile_pairs(sets: DataFrame, component: DataFrame) -> DataFrame:
     met = met.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     met = durable(met.select("entity", "tile", "h", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "bytes"))
     # An upper bound: as if an entity's bitmaps went along with each of its tiles.
-    total = met.agg(F.sum(2 * F.col("bytes") + TILE_ROW).alias("b")).first()["b"] or 0
+    total = met.agg(F.sum(F.col("bytes") + TILE_ROW).alias("b")).first()["b"] or 0
     parts = -(-total // PART_BYTES) or 1
     met = met.withColumn("part", F.pmod(F.xxhash64("tile", "h", "i", "j"), F.lit(parts)).cast("int"))
     packed = met.groupBy("part", "entity").agg(F.collect_list(F.struct("tile", "h", "i", "j", "own")).alias("spots"))
-    facts = known.select("entity", "n", "c", "band", "component", "map0", "map1")
+    facts = known.select("entity", "n", "c", "band", "component", "map")
     rows = packed.join(facts, "entity").repartition(parts, "part").groupBy("part")
     return rows.applyInArrow(_part_pairs, "u long, v long").distinct()
 
@@ -301,7 +376,7 @@ def _part_pairs(t: pa.Table) -> pa.Table:
     tile, h, i, j, own = held.flatten().flatten()
     tile, h, i, j, own = (x.to_numpy() for x in (tile, h, i, j, own))
     entity, n, c, comp, band = (t[x].to_numpy() for x in ("entity", "n", "c", "component", "band"))
-    maps = [t[x].to_pylist() for x in ("map0", "map1")]
+    maps = t["map"].to_pylist()
     order = np.lexsort((entity[row], j, i, h, tile))
     row, tile, h, i, j, own = (x[order] for x in (row, tile, h, i, j, own))
     new = (tile[1:] != tile[:-1]) | (h[1:] != h[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])
@@ -310,13 +385,22 @@ def _part_pairs(t: pa.Table) -> pa.Table:
     for a, b in zip(ends[:-1], ends[1:]):
         if b - a > 1:
             r = row[a:b]
-            bits = np.frombuffer(b"".join(maps[int(band[x] != tile[a])][x] for x in r), np.uint64).reshape(b - a, -1)
+            bits = _tile_maps(maps, r, band[r], tile[a])
             for u, v in _tile(tile[a], i[a] != j[a], entity[r], n[r], c[r], comp[r], own[a:b], band[r], bits):
                 us.append(np.minimum(u, v))
                 vs.append(np.maximum(u, v))
     return pa.table([pa.array(np.concatenate(x) if x else [], pa.int64()) for x in (us, vs)], ["u", "v"])
 
 
+def _tile_maps(maps: list[bytes], rows: np.ndarray, band: np.ndarray, tile: int) -> np.ndarray:
+    """The bitmaps of a tile's rows at the tile's width; an entity's own is of the width of the band above its own."""
+    out = np.empty((len(rows), map_bits(tile) // 8), np.uint8)
+    for at in (np.flatnonzero(band == tile), np.flatnonzero(band != tile)):
+        if at.size:
+            out[at] = folded(np.frombuffer(b"".join(maps[x] for x in rows[at]), np.uint8).reshape(at.size, -1), out.shape[1])
+    return out.view(np.uint64)
+
+
 def _tile(tile, cut, entity, n, c, comp, own, band, maps):
     """The pairs of one tile that may link: different components, sizes and bitmaps within the bounds."""
     for x in range(len(entity) - 1):
@@ -352,7 +436,7 @@ def grouped(docs: DataFrame, k: int = 5) -> DataFrame:
 
     group: an entity of the component; component_id: its least doc_id; both null for an empty set."""
     members = durable(memberships(docs, k))
-    sets = durable(shared_sets(docs, k, common_shingles(docs, members, k)))
+    sets = durable(shared_sets(docs, k, common_shingles(docs, members, k), copies(members)))
     first_links = durable(linked(stars(sets), sets))
     more_links = linked(tile_pairs(sets, components(first_links)), sets)
     comps = components(first_links.unionByName(more_links)).withColumnRenamed("node", "entity")

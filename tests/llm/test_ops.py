@@ -234,6 +234,57 @@ def test_near_groups_with_common_shingles(spark, monkeypatch, sample, held):
     assert got == brute.near_groups(rows)
 
 
+@pytest.mark.parametrize("kept", [0, 7, 1_000_000])
+def test_near_groups_in_small_batches_with_copies(spark, monkeypatch, kept):
+    monkeypatch.setattr(ngram_join, "FLUSH", 300)
+    monkeypatch.setattr(ngram_join, "BUCKET_BYTES", 200)
+    monkeypatch.setattr(ngram_join, "COPIES", kept)
+    rows = copies(6, 120)
+    rows += [(1000 + i, rows[i % 40][1]) for i in range(120)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5, "doc_id")
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in ngram_join.near_groups(docs).collect()}
+    assert got == brute.near_groups(rows)
+
+
+def shuffled(spark, df):
+    """Bytes that a run of df shuffles."""
+    sc = spark.sparkContext
+    stages = lambda: sc._jsc.sc().statusStore().stageList(None, False, False, sc._gateway.new_array(sc._jvm.double, 0), sc._jvm.java.util.ArrayList())
+    seen = lambda: {(x := s.apply(i)).stageId(): x.shuffleWriteBytes() for s in [stages()] for i in range(s.size())}
+    before = set(seen())
+    df.write.format("noop").mode("overwrite").save()
+    sc._jsc.sc().listenerBus().waitUntilEmpty()
+    return sum(v for k, v in seen().items() if k not in before)
+
+
+def test_a_dealt_shingle_takes_as_many_bytes_in_many_buckets(spark, monkeypatch):
+    rng = random.Random(8)
+    rows = [(" ".join(f"w{rng.randrange(10**6)}" for _ in range(300)),) for _ in range(600)]
+    docs = spark.createDataFrame(rows, "text string").coalesce(1)
+    took = []
+    for size in (4_000_000, 4_000):
+        monkeypatch.setattr(ngram_join, "BUCKET_BYTES", size)
+        took.append(shuffled(spark, ngram_join.shared_sets(docs)) / (600 * 296))
+    assert max(took) < 8, took
+
+
+@settings(max_examples=50, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 3), st.integers(0, 2**31), st.integers(0, 2**64 - 1)), min_size=1, max_size=60))
+def test_batched_rows_are_read_back(rows):
+    key, number, h = (np.array(x, kind) for x, kind in zip(zip(*sorted(rows)), (np.int64, np.int64, np.uint64)))
+    made = list(ngram_join._batched(key, number, h))
+    row, numbers, low = ngram_join._gathered(ngram_join._rows([(k, 0, gaps, data, None) for _, _, k, gaps, data in made]))
+    assert [made[i][2] for i in row] == key.tolist() and numbers.tolist() == number.tolist() and np.array_equal(low, h & ngram_join.LOW)
+
+
+@settings(max_examples=50, deadline=None)
+@given(st.sets(st.integers(0, 2**63), min_size=1, max_size=60), st.integers(0, 40))
+def test_folded_bitmaps_are_those_of_the_band_below(s, band):
+    h = np.array(sorted(s), np.uint64)
+    own, above = (np.frombuffer(ngram_join.bitmap(h, b), np.uint8)[None] for b in (band, band + 1))
+    assert np.array_equal(ngram_join.folded(above, own.shape[1]), own)
+
+
 def test_common_shingles_are_those_of_a_share(spark):
     rng = random.Random(3)
     passage = " ".join(f"p{i}" for i in range(60))
